@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, media, packing
+from . import bpe, langid, lattice, media, packing, toxicity
 from .tables import table
 
 
@@ -15,6 +15,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("train", ~langid.held_out(F.col("doc_id"), 7, 2))
+    scored = lattice.score_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return scored.withColumn("held_out", langid.held_out(F.col("doc_id"), 7, 2)).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
@@ -34,7 +40,23 @@ def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op4_byte_bpe, op6_media)}
+#: In the chain's order. The labels give these two; bad writing is known first and feeds the toxic model.
+TOXIC = {"low_quality": "quality = 0", "toxic": "toxic = 1"}
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    models = toxicity.learn(docs, table(spark, sf_dir, "labels"), TOXIC)
+    return toxicity.score(docs, models, TOXIC).withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", langid.held_out(F.col("doc_id"), 4, 2))
+    found = langid.identify(docs.select("doc_id", "held_out", "text"), langid.learn(docs.where("not held_out")))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op3_lattice_likelihood, op4_byte_bpe, op6_media, op7_toxicity, op8_language_id)}
 
 #: Where DuckDB can express the whole result.
 ORACLE_SQL: dict[str, str] = {}

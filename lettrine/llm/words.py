@@ -66,10 +66,10 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased (A-Z) buffer, starts and ends of its words ``[^\\x20\\x09-\\x0D]+``, and for each text the number of its first word (len + 1 numbers)."""
+def words(texts: list[str | None], bytes_as: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased (A-Z) buffer, starts and ends of its words ``[^\\x20\\x09-\\x0D]+``, and for each text the number of its first word (len + 1 numbers). ``bytes_as`` replaces bytes before."""
     data, offsets = joined(texts)
-    data = _LOWER[data]
+    data = _LOWER[data if bytes_as is None else bytes_as[data]]
     edge = np.diff(np.concatenate(([True], _SPACE[data], [True])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     return data, starts, ends, np.searchsorted(starts, offsets)
