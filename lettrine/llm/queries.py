@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lattice, media, packing, toxicity
+from . import bpe, langid, lattice, media, packing, secrets, toxicity
 from .tables import table
 
 
@@ -26,6 +26,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scanned = secrets.scan(docs, secrets.learn(docs))
+    count = lambda kind: F.size(F.filter("base_spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return scanned.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(secrets.listed("base_spans"), 256).alias("base_sha256"), secrets.listed("spans").alias("spans"))
+
+
 def op6_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = media.read_media(media.store_texts(table(spark, sf_dir, "documents")))
     return read.select(
@@ -56,7 +63,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_lattice_likelihood, op4_byte_bpe, op6_media, op7_toxicity, op8_language_id)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id)}
 
 #: Where DuckDB can express the whole result.
 ORACLE_SQL: dict[str, str] = {}
