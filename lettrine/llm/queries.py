@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lattice, media, packing, secrets, toxicity
+from . import bpe, langid, lattice, media, minhash, packing, secrets, toxicity
 from .tables import table
 
 
@@ -15,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", packing.ids_crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "tier", "step_group")
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
 def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("train", ~langid.held_out(F.col("doc_id"), 7, 2))
     scored = lattice.score_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
@@ -63,7 +67,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id)}
 
 #: Where DuckDB can express the whole result.
 ORACLE_SQL: dict[str, str] = {}
