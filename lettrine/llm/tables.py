@@ -11,17 +11,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """The same rows, written to the shared checkpoint folder, so that a lost executor costs no recomputation.
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; only where that is unset (as in tests) a folder beside the warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
-    The folder is the cluster's ``spark.checkpoint.dir``; only where that is
-    unset (as in tests) one beside the warehouse is taken.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, written to the shared folder, so that a lost executor costs no recomputation."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
