@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lattice, media, minhash, packing, repeats, secrets, toxicity
+from . import bpe, langid, lattice, media, minhash, packing, repeats, secrets, toxicity, vectors
 from .tables import table
 
 
@@ -67,13 +67,17 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = repeats.cut(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("removed", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id, op10_repeats)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id, op9_vectors, op10_repeats)}
 
 #: Where DuckDB can express the whole result.
 ORACLE_SQL: dict[str, str] = {}

@@ -18,7 +18,6 @@ walked in overlapping stretches.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import runs
-from .tables import shared_folder, slices
+from .tables import slices, stored
 from .words import Ranges, joined
 
 CHUNK = 1 << 20
@@ -37,13 +36,6 @@ STRETCH = 8 << 20
 RUNS = "key long, g long, w long, first int, count int"
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows as a table in the shared folder; column files are smaller than a checkpoint's rows."""
-    path = f"{shared_folder(df.sparkSession)}/repeats-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _buffers(batch: pa.RecordBatch, window: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(data, starts, sizes, row numbers, places in their texts) of stretches of the batch's texts."""
     keys = np.asarray(batch.column("key").to_pylist(), np.int64)
@@ -235,14 +227,14 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text").where(F.octet_length("text") >= window)
     dealt = _runs(texts, window).repartition("g")  # one shuffle for both uses
     often = dealt.groupBy("g").agg(F.count("*").alias("n"), F.min("w").alias("low"), F.max("w").alias("high")).where("n > 1")
-    found = stored(dealt.join(often, "g").select("key", "g", "w", "first", "count", (F.col("low") < F.col("high")).alias("open")))
+    found = stored(dealt.join(often, "g").select("key", "g", "w", "first", "count", (F.col("low") < F.col("high")).alias("open")), "runs")
 
     bits = np.zeros(SLOTS, bool)
     open_slots = found.where("open").select(F.col("g").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).distinct().toPandas()
     bits[open_slots["slot"].to_numpy(np.int64)] = True
     different = _run_texts(texts, np.packbits(bits).tobytes(), window).groupBy("g", "w").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"))
     sizes = found.where("open").groupBy("g").agg(F.approx_count_distinct("w").alias("kinds"))
-    groups = stored(different.join(sizes, "g"))
+    groups = stored(different.join(sizes, "g"), "run-texts")
     inside = _by_suffix_array(groups.where(F.col("kinds") <= HOT).select("g", "w", "times", "bytes"), window)
     hot = groups.where(F.col("kinds") > HOT).select("g", "w", "times", "bytes")
     inside = inside.union(_by_counting(hot, window))

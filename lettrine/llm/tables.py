@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,16 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table of the shared folder; its column files are smaller than a checkpoint's rows.
+
+    The table stays until the folder is cleared, as other jobs' checkpoints do.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def slices(batches, names: list[str], chars: int = 1 << 20) -> Iterator[list[list]]:
     """Columns of the Arrow batches as lists, in slices of about ``chars`` characters of the last named column.
 
