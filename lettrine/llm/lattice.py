@@ -11,7 +11,7 @@ probability is the product over them.
 
 Texts are dealt to blocks of about ``block_bytes``. A block asks for its
 distinct words once and gets their probabilities back, so what is shuffled is
-the texts once and distinct words per block, and no vocabulary is held whole.
+the texts once and distinct words per block and task, and no vocabulary is held whole.
 
 Null texts are empty: an end alone. With no training text the words have only
 their lattice, with equal pieces. Repeated rows are scored each; extra columns
@@ -24,11 +24,12 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import settled
+from .tables import settled, slices
 
 LN10 = math.log(10)
 
@@ -52,22 +53,36 @@ class Lattice:
                 self.pieces[model.id_to_piece(i)] = logp
         self.longest = max(map(len, self.pieces))
 
-    def log_probability(self, word: str) -> float:
-        """Natural logarithm of the sum over all segmentations of the word, with its mark of a word's start."""
-        text = "▁" + word
+    def log_probabilities(self, words: list[str]) -> list[float]:
+        """Natural logarithms of the sums over all segmentations of the words, with the mark of a word's start.
+
+        The words are taken in order, so that the recursion goes on from the
+        letters that one shares with the one before it.
+        """
         get, longest = self.pieces.get, self.longest
-        forward = [0.0]
-        for end in range(1, len(text) + 1):
-            terms = []
-            for start in range(max(0, end - longest), end):
-                p = get(text[start:end])
-                if p is not None:
-                    terms.append(forward[start] + p)
-            if get(text[end - 1]) is None:
-                terms.append(forward[end - 1] + sum(self.bytes[b] for b in text[end - 1].encode("utf-8", "surrogatepass")))
-            most = max(terms)
-            forward.append(most + math.log(sum([math.exp(t - most) for t in terms])) if len(terms) > 1 else most)
-        return forward[-1]
+        log, exp = math.log, math.exp
+        out = [0.0] * len(words)
+        last, forward = "", [0.0]
+        for i in sorted(range(len(words)), key=words.__getitem__):
+            text = "▁" + words[i]
+            same = 0
+            for x, y in zip(last, text):
+                if x != y:
+                    break
+                same += 1
+            del forward[same + 1 :]
+            for end in range(same + 1, len(text) + 1):
+                terms = [forward[start] + p for start in range(max(0, end - longest), end) if (p := get(text[start:end])) is not None]
+                if get(text[end - 1]) is None:
+                    terms.append(forward[end - 1] + sum([self.bytes[b] for b in text[end - 1].encode("utf-8", "surrogatepass")]))
+                if len(terms) == 1:
+                    forward.append(terms[0])
+                else:
+                    most = max(terms)
+                    forward.append(most + log(sum([exp(t - most) for t in terms])))
+            last = text
+            out[i] = forward[len(text)]
+        return out
 
 
 def count_pieces(words: DataFrame, vocabulary: str) -> dict[int, int]:
@@ -100,20 +115,35 @@ def score_documents(docs: DataFrame, vocabulary: str, train: str = "train", bloc
     n_blocks, ends = max(1, -(-(size[0] or 0) // block_bytes)), size[1]
     blocked = docs.select("doc_id", F.col(train).alias("train"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+        size = 0
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+
+        for learns, texts in slices(batches, ["train", "text"]):
+            for learn, text in zip(learns, texts):
+                if learn:
+                    counts.update(split(text))
+                else:
+                    counts.update(dict.fromkeys(split(text), 0))
+                size += len(text or "")
+            if size > block_bytes:
+                yield rows()
+                counts.clear()
+                size = 0
+        yield rows()
+
     def ask(table: pa.Table) -> pa.Table:
-        trained: Counter = Counter()
-        other: set = set()
-        for text, learns in zip(table.column("text").to_pylist(), table.column("train").to_pylist()):
-            if learns:
-                trained.update(split(text))
-            else:
-                other.update(split(text))
-        other.difference_update([w for w in other if w in trained])
-        words = [*trained, *other]
-        return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(words), pa.int64()), "word": pa.array(words, pa.binary()), "n": pa.array([*trained.values(), *[0] * len(other)], pa.int64())})
-
-    asked = blocked.groupBy("block").applyInArrow(ask, "block long, word binary, n long")
-    counted = settled(asked.groupBy("word").agg(F.sum("n").alias("n")))
+        words: set = set()
+        for text in table.column("text").to_pylist():
+            words.update(split(text))
+        return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(words), pa.int64()), "word": pa.array(list(words), pa.binary())})
+
+    learned = docs.select(F.col(train).alias("train"), "text").mapInArrow(count, "word binary, n long")
+    counted = settled(learned.groupBy("word").agg(F.sum("n").alias("n")))
+    asked = blocked.groupBy("block").applyInArrow(ask, "block long, word binary")
     known = counted.where("n > 0")
     total, distinct, once = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*"), F.count_if(F.col("n") == 1)).first()
     pieces = count_pieces(known, vocabulary)
@@ -127,31 +157,30 @@ def score_documents(docs: DataFrame, vocabulary: str, train: str = "train", bloc
         lattice = Lattice(vocabulary, pieces)
         for batch in batches:
             scores = []
-            for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                spelled = math.log(unseen) + lattice.log_probability(word.decode("utf-8", "replace"))
+            spelled = lattice.log_probabilities([w.decode("utf-8", "replace") for w in batch.column("word").to_pylist()])
+            for lattice_score, n in zip(spelled, batch.column("n").to_pylist()):
+                score = math.log(unseen) + lattice_score
                 if n:
                     whole = math.log((1 - unseen) * n / tokens)
-                    most = max(whole, spelled)
-                    spelled = most + math.log(math.exp(whole - most) + math.exp(spelled - most))
-                scores.append(spelled / LN10)
+                    most = max(whole, score)
+                    score = most + math.log(math.exp(whole - most) + math.exp(score - most))
+                scores.append(score / LN10)
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(scores, pa.float64())], ["word", "n", "p"])
 
     weighed = counted.mapInArrow(weigh, "word binary, n long, p double")
-    answered = asked.select("block", "word").join(weighed, "word")
+    answered = asked.join(weighed, "word")
 
     def add(texts: pa.Table, answers: pa.Table) -> pa.Table:
-        base, score, seen = {}, {}, set()
-        for word, n, p in zip(answers.column("word").to_pylist(), answers.column("n").to_pylist(), answers.column("p").to_pylist()):
-            base[word], score[word] = math.log10(n + 1) - base_of, p
-            if n:
-                seen.add(word)
+        place = {w: i for i, w in enumerate(answers.column("word").to_pylist())}
+        n, score = answers.column("n").to_numpy(), answers.column("p").to_numpy()
+        base = np.log10(n + 1) - base_of
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
         for text in texts.column("text").to_pylist():
-            found = split(text)
-            out["n_tokens"].append(len(found) + 1)
-            out["n_known"].append(sum([w in seen for w in found]) + (ends > 0))
-            out["base_score"].append(math.fsum([base[w] for w in found]) + end_base)
-            out["score"].append(math.fsum([score[w] for w in found]) + end_score)
+            at = np.array([place[w] for w in split(text)], np.int64)
+            out["n_tokens"].append(len(at) + 1)
+            out["n_known"].append(int((n[at] > 0).sum()) + (ends > 0))
+            out["base_score"].append(float(base[at].sum()) + end_base)
+            out["score"].append(float(score[at].sum()) + end_score)
         return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([tokens] * len(texts), pa.int64()), "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
 
     return blocked.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(add, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
