@@ -102,7 +102,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)).cast("int")
     bits = np.zeros(FILTER_SLOTS, bool)
-    bits[wanted.select(F.col("rep").alias("doc_id")).select(slot.alias("slot")).distinct().toPandas()["slot"].to_numpy()] = True
+    bits[wanted.select(F.col("rep").alias("doc_id")).select(slot.alias("slot")).distinct().toArrow().column("slot").to_numpy()] = True
     packed = np.packbits(bits).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,9 +152,9 @@ def rest_pairs(sets: DataFrame, roots: DataFrame, least: tuple[int, int]) -> Dat
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(sums[used], pa.int64())], ["slot", "n"])
 
-    rows = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toPandas()
+    rows = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     rarity = np.zeros(RARITY_SLOTS, np.int64)
-    rarity[rows["slot"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
+    rarity[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
     ranks = np.argsort(np.argsort(rarity, kind="stable")).astype(np.uint32).tobytes()
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -230,8 +230,8 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     found = stored(dealt.join(often, "g").select("key", "g", "w", "first", "count", (F.col("low") < F.col("high")).alias("open")), "runs")
 
     bits = np.zeros(SLOTS, bool)
-    open_slots = found.where("open").select(F.col("g").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).distinct().toPandas()
-    bits[open_slots["slot"].to_numpy(np.int64)] = True
+    open_slots = found.where("open").select(F.col("g").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).distinct().toArrow()
+    bits[open_slots.column("slot").to_numpy()] = True
     different = _run_texts(texts, np.packbits(bits).tobytes(), window).groupBy("g", "w").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"))
     sizes = found.where("open").groupBy("g").agg(F.approx_count_distinct("w").alias("kinds"))
     groups = stored(different.join(sizes, "g"), "run-texts")
