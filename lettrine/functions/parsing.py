@@ -21,6 +21,11 @@ YEARS = (2000, 2035)
 LEGAL_FORMS = "SARL SA SUARL STE SNC SC SEP GIE ETS CIE LLC SPA NIF MF SOCIETE ENTREPRISE GROUPE CORP COMPANY".split()
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def digit_confusion(text: Column) -> Column:
     return F.translate(text, DIGIT_LIKE, DIGITS)
 
@@ -42,13 +47,16 @@ def whitelist(text: Column, allowed: Column) -> Column:
 
 def rib(text: Column) -> Column:
     """Account numbers: 2 + 3 + 13 + 2 digits; ``?`` stands for an unreadable one and keeps the parts but not the validity."""
-    digits = F.regexp_replace(text, "[^0-9?]", "")
+    return F.when(text.isNotNull(), let(F.regexp_replace(text, "[^0-9?]", ""), _rib_parts))
+
+
+def _rib_parts(digits: Column) -> Column:
     whole, unread = F.length(digits) == 20, F.contains(digits, F.lit("?"))
     kept = F.when(whole, digits)
     part = lambda i, n: F.substring(kept, i, n)
     valid = whole & ~unread & F.coalesce(rib_key(F.substring(digits, 1, 18)) == F.substring(digits, 19, 2).try_cast("int"), F.lit(False))
     error = F.when(~whole, "length").when(unread, "unreadable").when(~valid, "key")
-    return F.when(text.isNotNull(), F.struct(kept.alias("digits"), part(1, 2).alias("bank_code"), part(3, 3).alias("branch_code"), part(6, 13).alias("account"), part(19, 2).alias("key"), unread.alias("unread"), valid.alias("valid"), error.alias("error")))
+    return F.struct(kept.alias("digits"), part(1, 2).alias("bank_code"), part(3, 3).alias("branch_code"), part(6, 13).alias("account"), part(19, 2).alias("key"), unread.alias("unread"), valid.alias("valid"), error.alias("error"))
 
 
 def rib_key(number: Column) -> Column:
@@ -57,16 +65,26 @@ def rib_key(number: Column) -> Column:
 
 
 def date(text: Column) -> Column:
+    """Three parts, day or year first; years of two digits are of this century."""
     parts = F.transform(F.filter(F.split(text, r"[ \t\n\x0B\f\r/.-]+"), lambda p: p != ""), lambda p: F.translate(p, PART_LIKE, PART_DIGITS))
-    one, two, three = (F.get(parts, i).try_cast("int") for i in range(3))
+    return F.when(text.isNotNull(), let(let(parts, _date_numbers), _date_value))
+
+
+def _date_numbers(parts: Column) -> Column:
+    one, two, three = (F.get(parts, F.lit(i)).try_cast("int") for i in range(3))
     digits = (F.size(parts) == 3) & ~F.exists(parts, lambda p: ~F.regexp_like(p, F.lit("^[0-9]+$")))
     iso = (F.length(F.get(parts, F.lit(0))) == 4) | (one > 1000)
-    year, day = F.when(iso, one).otherwise(three), F.when(iso, three).otherwise(one)
-    year = F.when(year < 100, year + 2000).otherwise(year)
-    good = digits & two.between(1, 12) & day.between(1, 31) & year.between(*YEARS)
-    value = F.when(good, F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(two.cast("string"), 2, "0"), F.lpad(day.cast("string"), 2, "0")).try_cast("date"))
-    error = F.when(F.size(parts) != 3, "parts").when(~digits, "digits").when(~F.coalesce(two.between(1, 12), F.lit(False)), "month").when(~F.coalesce(day.between(1, 31), F.lit(False)), "day").when(~F.coalesce(year.between(*YEARS), F.lit(False)), "year").when(value.isNull(), "calendar")
-    return F.when(text.isNotNull(), F.struct(value.alias("value"), F.date_format(value, "dd/MM/yyyy").alias("normalised"), value.isNotNull().alias("valid"), error.alias("error")))
+    year = F.when(iso, one).otherwise(three)
+    return F.struct(F.size(parts).alias("n"), F.coalesce(digits, F.lit(False)).alias("digits"), F.when(year < 100, year + 2000).otherwise(year).alias("year"), two.alias("month"), F.when(iso, three).otherwise(one).alias("day"))
+
+
+def _date_value(d: Column) -> Column:
+    good = lambda x, low, high: F.coalesce(x.between(low, high), F.lit(False))
+    months, days, years = good(d["month"], 1, 12), good(d["day"], 1, 31), good(d["year"], *YEARS)
+    pad = lambda x: F.lpad(x.cast("string"), 2, "0")
+    value = F.when(d["digits"] & months & days & years, F.concat_ws("-", d["year"].cast("string"), pad(d["month"]), pad(d["day"])).try_cast("date"))
+    error = F.when(d["n"] != 3, "parts").when(~d["digits"], "digits").when(~months, "month").when(~days, "day").when(~years, "year").otherwise("calendar")
+    return let(value, lambda v: F.struct(v.alias("value"), F.date_format(v, "dd/MM/yyyy").alias("normalised"), v.isNotNull().alias("valid"), F.when(v.isNull(), error).alias("error")))
 
 
 def clean_amount(text: Column) -> Column:
@@ -75,7 +93,10 @@ def clean_amount(text: Column) -> Column:
 
 def resolve_separators(text: Column) -> Column:
     """The last separator before exactly three final digits is the decimal point; all others part thousands. NULL if nothing is left."""
-    compact = F.replace(text, F.lit(" "))
+    return let(F.replace(text, F.lit(" ")), _separated)
+
+
+def _separated(compact: Column) -> Column:
     split = r"^(.*)[.,]([0-9]{3})$"
     whole = F.regexp_replace(F.regexp_extract(compact, split, 1), "[.,]", "")
     decimal = F.concat(whole, F.lit("."), F.regexp_extract(compact, split, 2))
@@ -83,15 +104,17 @@ def resolve_separators(text: Column) -> Column:
 
 
 def amount(text: Column) -> Column:
-    cleaned = clean_amount(text)
-    normal = resolve_separators(cleaned)
-    unread = F.contains(text, F.lit("?"))
-    numeric = F.regexp_like(normal, F.lit(r"^[+-]?([0-9]+(\.[0-9]{3})?|\.[0-9]{3})$"))
-    number = F.when(numeric, normal).try_cast(AMOUNT)
-    good = ~unread & (number >= 0)
-    error = F.when((cleaned == "") | normal.isNull(), "empty").when(unread, "unreadable").when(number.isNull(), "number").when(number < 0, "negative")
-    value = F.when(good, number)
-    return F.when(text.isNotNull(), F.struct(value.alias("value"), F.when(unread, normal).when(good, value.cast("string")).alias("normalised"), unread.alias("unread"), value.isNotNull().alias("valid"), error.alias("error")))
+    """A decimal of three places; ``?`` stands for an unreadable digit and keeps the text but not the validity."""
+    number = lambda n: F.when(F.regexp_like(n, F.lit(r"^[+-]?([0-9]+(\.[0-9]{3})?|\.[0-9]{3})$")), n).try_cast(AMOUNT)
+    read = let(resolve_separators(clean_amount(text)), lambda n: F.struct(n.alias("normal"), number(n).alias("number"), F.contains(text, F.lit("?")).alias("unread")))
+    return F.when(text.isNotNull(), let(read, _amount_value))
+
+
+def _amount_value(r: Column) -> Column:
+    good = ~r["unread"] & F.coalesce(r["number"] >= 0, F.lit(False))
+    error = F.when(r["normal"].isNull(), "empty").when(r["unread"], "unreadable").when(r["number"].isNull(), "number").when(~good, "negative")
+    value = F.when(good, r["number"])
+    return F.struct(value.alias("value"), F.when(r["unread"], r["normal"]).when(good, value.cast("string")).alias("normalised"), r["unread"].alias("unread"), good.alias("valid"), error.alias("error"))
 
 
 def _lexicon() -> dict[str, int]:
@@ -149,22 +172,33 @@ def words_to_int(words: Column) -> Column:
 
 def amount_words(text: Column) -> Column:
     """Dinars before the first unit of currency, millimes after it; millimes that can't be read count as none."""
-    found = tokens(text)
-    unit = F.transform(found, lambda t: t.isin(*DINARS, *MILLIMES))
-    first = F.array_position(unit, F.lit(True)).cast("int")
-    first = F.when(first == 0, F.size(found) + 1).otherwise(first)
-    before = F.slice(found, F.lit(1), F.greatest(first - 1, F.lit(0)))
-    after = F.filter(F.slice(found, first + 1, F.greatest(F.size(found) - first, F.lit(0))), lambda t: ~t.isin(*DINARS, *MILLIMES))
-    dinars, millimes = words_to_int(before), F.coalesce(words_to_int(after), F.lit(0).cast("bigint"))
-    value = F.when(dinars.isNotNull() & (millimes <= 999), (dinars.cast(AMOUNT) + (millimes.cast(AMOUNT) / 1000).cast(AMOUNT)).cast(AMOUNT))
-    error = F.when(F.size(found) == 0, "empty").when(dinars.isNull(), "dinars").when(millimes > 999, "millimes")
-    return F.when(text.isNotNull(), F.struct(value.alias("value"), value.isNotNull().alias("valid"), error.alias("error")))
+    return F.when(text.isNotNull(), let(let(tokens(text), _word_parts), _word_value))
+
+
+def _word_parts(found: Column) -> Column:
+    is_unit = lambda t: t.isin(*DINARS, *MILLIMES)
+    first = F.array_position(F.transform(found, is_unit), F.lit(True)).cast("int")
+
+    def parts(at: Column) -> Column:
+        before = F.slice(found, F.lit(1), at - 1)
+        after = F.filter(F.slice(found, at, F.size(found) - at + 1), lambda t: ~is_unit(t))
+        return F.struct(F.size(found).alias("n"), words_to_int(before).alias("dinars"), F.coalesce(words_to_int(after), F.lit(0).cast("bigint")).alias("millimes"))
+
+    return let(F.when(first == 0, F.size(found) + 1).otherwise(first), parts)
+
+
+def _word_value(w: Column) -> Column:
+    good = w["dinars"].isNotNull() & (w["millimes"] <= 999)
+    value = F.when(good, (w["dinars"].cast(AMOUNT) + (w["millimes"].cast(AMOUNT) / 1000).cast(AMOUNT)).cast(AMOUNT))
+    error = F.when(w["n"] == 0, "empty").when(w["dinars"].isNull(), "dinars").when(~good, "millimes")
+    return F.struct(value.alias("value"), good.alias("valid"), error.alias("error"))
 
 
 def name(text: Column) -> Column:
     value = F.upper(collapse_spaces(F.regexp_replace(F.regexp_replace(text, r"(?i)\[STAMP\]", " "), r"[|\\]+", " ")))
-    company = F.regexp_like(value, F.lit(rf"(?U)\b({'|'.join(LEGAL_FORMS)})\b"))
-    return F.when(text.isNotNull(), F.struct(F.nullif(value, F.lit("")).alias("value"), company.alias("company"), F.regexp_like(text, F.lit(r"(?i)\[STAMP\]")).alias("occluded"), (value != "").alias("valid")))
+    company = lambda v: F.regexp_like(v, F.lit(rf"(?U)\b({'|'.join(LEGAL_FORMS)})\b"))
+    row = lambda v: F.struct(F.nullif(v, F.lit("")).alias("value"), company(v).alias("company"), F.regexp_like(text, F.lit(r"(?i)\[STAMP\]")).alias("occluded"), (v != "").alias("valid"))
+    return F.when(text.isNotNull(), let(value, row))
 
 
 def names_match(a: Column, b: Column, threshold: float = 0.8) -> Column:

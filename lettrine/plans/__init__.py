@@ -1,4 +1,9 @@
 """Queries of the engine over the given tables, and the SQL that they are held against."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from . import fields, geometry, readings
+
+_PAIRS = {**readings.PAIRS, **fields.PAIRS, **geometry.PAIRS}
+QUERIES = {f.__name__: f for f in _PAIRS}
+ORACLE_SQL = {f.__name__: sql for f, sql in _PAIRS.items() if sql}
