@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from . import fields, geometry, readings
+from . import checks, fields, geometry, readings, reports
+from .checks import review_by_bank
 
-_PAIRS = {**readings.PAIRS, **fields.PAIRS, **geometry.PAIRS}
+_PAIRS = {**readings.PAIRS, **fields.PAIRS, **geometry.PAIRS, **checks.PAIRS, **reports.PAIRS}
 QUERIES = {f.__name__: f for f in _PAIRS}
 ORACLE_SQL = {f.__name__: sql for f, sql in _PAIRS.items() if sql}
+
+__all__ = ["ORACLE_SQL", "QUERIES", "review_by_bank"]

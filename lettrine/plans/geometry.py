@@ -88,7 +88,7 @@ _DISTINCT = """, o AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY
 SELECT doc_id, seq, method, colour, cx, cy, rx, ry, confidence FROM o JOIN k4 USING (doc_id, rn)"""
 PAIRS = {
     b1_region_boxes: _G + "SELECT doc_id, roi_id, tier, x, y, w, h FROM bx1",
-    b2_tier_filter: _G + "SELECT roi_id, count(*) AS pages, sum(w) AS width FROM bx1 WHERE tier = 1 GROUP BY roi_id",
+    b2_tier_filter: _G + "SELECT roi_id, count(*) AS pages, CAST(sum(w) AS BIGINT) AS width FROM bx1 WHERE tier = 1 GROUP BY roi_id",
     b3_page_scale: _G + f"SELECT doc_id, round({_RATIO}, 6) AS scale, abs({_RATIO} - 1) >= 0.02 AS resized, CASE WHEN abs({_RATIO} - 1) >= 0.02 THEN CAST(round_even(w * {_RATIO}, 0) AS INT) ELSE w END AS new_w, CASE WHEN abs({_RATIO} - 1) >= 0.02 THEN CAST(round_even(h * {_RATIO}, 0) AS INT) ELSE h END AS new_h FROM pages_m",
     b4_page_skew: _G + "SELECT doc_id, round(skew, 6) AS skew, abs(skew) >= 0.3 AS rotate, abs(skew) > 5 AS steep FROM sk",
     b5_alignment: _G + f"SELECT doc_id, CASE WHEN snd AND anchored THEN 'header_barcode' WHEN NOT snd AND border_w IS NOT NULL THEN 'border' ELSE 'identity' END AS method, round(conf, 6) AS confidence, {_LOW} AS low FROM al",
