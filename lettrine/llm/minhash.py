@@ -7,9 +7,9 @@ computed for a set; every pair of one from either collection keys a table. So
 
 Equal sets are one node from the start. Each bucket links its members to its
 smallest one, never to each other; the links are verified exactly. Where a
-bucket still holds several components, its nodes pass through an exact prefix
-filter: of sets ordered by rarity, two that are similar enough share one of
-their first few shingles, and only pairs of different components are verified.
+bucket still holds several components, its nodes pass through an exact filter:
+of sets ordered by rarity, two that are similar enough share one of their first
+few shingles, and only pairs of different components are verified.
 What is shuffled is keys and links; full sets move for candidates alone.
 
 Shingles, sets and nodes are told apart by 64-bit hashes. Null texts and texts
@@ -137,10 +137,13 @@ def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataF
 
 
 def rest_pairs(sets: DataFrame, roots: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs of nodes in different components that share one of their rarest shingles, as all similar enough must.
+    """Pairs of nodes in different components that may be similar enough, by their rarest shingles.
 
-    ``roots``: node, root. Rarity is counted in RARITY_SLOTS slots by hash; any
-    order that all sets share keeps the filter exact.
+    ``roots``: node, root. Of sets ordered by rarity, the first shingle that two
+    have in common bounds what they can share: what follows it in either. So it
+    stands near enough to the start of both for their sizes, and in the smaller
+    one nearer still. Rarity is counted in RARITY_SLOTS slots by hash; any order
+    that all sets share keeps this exact.
     """
     above, below = least
 
@@ -165,17 +168,16 @@ def rest_pairs(sets: DataFrame, roots: DataFrame, least: tuple[int, int]) -> Dat
                 order = np.lexsort((x, rank[(x & _U(RARITY_SLOTS - 1)).astype(np.int64)]))
                 first = x[order[: len(x) - -(-len(x) * above // below) + 1]].view(np.int64)
                 k = len(first)
-                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array([node] * k, pa.int64()), pa.array([root] * k, pa.int64()), pa.array([len(x)] * k, pa.int64())], ["item", "node", "root", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array([node] * k, pa.int64()), pa.array([root] * k, pa.int64()), pa.array([len(x)] * k, pa.int64()), pa.array(np.arange(k))], ["item", "node", "root", "n", "i"])
 
-    listed = settled(sets.join(roots, "node").mapInArrow(prefixes, "item long, node long, root long, n long"))
+    listed = settled(sets.join(roots, "node").mapInArrow(prefixes, "item long, node long, root long, n long, i long"))
     mixed_lists = listed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("item")
     rest = listed.join(mixed_lists, "item")
-    a, b = rest.alias("a"), rest.alias("b")
-    return (
-        a.join(b, (F.col("a.item") == F.col("b.item")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.root") != F.col("b.root")) & (F.col("a.n") * above <= F.col("b.n") * below) & (F.col("b.n") * above <= F.col("a.n") * below))
-        .select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
-        .distinct()
-    )
+    smaller, other = rest.where(F.col("i") * (above + below) <= F.col("n") * (below - above)).alias("a"), rest.alias("b")
+    left = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
+    near = (F.col("a.n") <= F.col("b.n")) & (F.col("b.n") * above <= F.col("a.n") * below) & (left * (above + below) >= (F.col("a.n") + F.col("b.n")) * above)
+    found = smaller.join(other, (F.col("a.item") == F.col("b.item")) & (F.col("a.root") != F.col("b.root")) & near)
+    return found.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
