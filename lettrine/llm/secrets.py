@@ -6,8 +6,8 @@ identifiers, are compared by the mean log-likelihood ratio of a string's
 character pairs; a string of at least ``MIN_LENGTH`` characters whose ratio
 reaches ``MIN_RATIO`` and that overlaps no rule's span is a secret of kind
 ``random``. The models are counted on a sample of about ``max_docs`` documents
-by hash: what the rules find there and the documents' digests in upper-case hex and in
-base64 are labelled random, other words ordinary.
+by hash: what the rules find there and as many digests of the texts, in
+upper-case hex and in base64, are labelled random, other words ordinary.
 
 Spans are in code points, end exclusive. Null texts count as empty and have no
 spans. Without ordinary words the models are flat and add no span. Repeated
@@ -70,8 +70,9 @@ def learn(docs: DataFrame, max_docs: int = 5000) -> list[float]:
     share = min(1.0, max_docs / max(1, n))
     text = F.coalesce("text", F.lit(""))
     sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) < int(share * (1 << 20))).select(text.alias("text"), rule_spans(text).alias("spans"))
-    digest = F.sha2("text", 256)
-    made = F.array(F.upper(digest), F.base64(F.unhex(digest)))  # random by construction
+    times = max(1, max_docs // max(1, n))  # so that few documents make as many strings
+    digests = F.transform(F.sequence(F.lit(1), F.lit(times)), lambda i: F.sha2(F.concat("text", i.cast("string")), 256))
+    made = F.flatten(F.transform(digests, lambda d: F.array(F.upper(d), F.base64(F.unhex(d)))))  # random by construction
     random = sample.select(F.explode(F.concat(F.expr("transform(spans, x -> x.value)"), made)).alias("string"), F.lit(1).alias("random"))
     plain = sample.select(F.explode(F.regexp_extract_all("text", F.lit(r"[A-Za-z][A-Za-z_]{7,}"), 0)).alias("string"), F.lit(0).alias("random"))
     counts = random.union(plain).where("char_length(string) > 1").select("random", F.explode(_pairs(F.col("string"))).alias("pair")).groupBy("random", "pair").count().collect()  # at most 2 x 16384 rows
@@ -79,8 +80,10 @@ def learn(docs: DataFrame, max_docs: int = 5000) -> list[float]:
     for r in counts:
         by[r["random"]][r["pair"]] = r["count"]
     rows = [[sum(by[k].get(a * 128 + b, 0) for b in range(128)) for a in range(128)] for k in (0, 1)]
-    # Smoothed towards 64 equally likely followers; without labelled strings the ratio is 0.
-    log = lambda k, a, b: math.log((by[k].get(a * 128 + b, 0) + 0.5) / (rows[k][a] + 32))
+    columns = [[sum(by[k].get(a * 128 + b, 0) for a in range(128)) for b in range(128)] for k in (0, 1)]
+    # Pairs are smoothed towards how frequent the second character is, and that towards 64 equally likely ones.
+    single = [[(n + 0.5) / (sum(c) + 32) for n in c] for c in columns]
+    log = lambda k, a, b: math.log((by[k].get(a * 128 + b, 0) + 8 * single[k][b]) / (rows[k][a] + 8))
     if not by[1] or not by[0]:
         return [0.0] * 16384
     return [round(log(1, a, b) - log(0, a, b), 3) for a in range(128) for b in range(128)]
