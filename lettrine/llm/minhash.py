@@ -5,8 +5,8 @@ computed for a set; every pair of one from either collection keys a table. So
 2 x HALVES x WIDTH minimum hashes serve HALVES x HALVES tables: at similarity
 0.8 a pair of sets shares none of them with a probability of 0.00015.
 
-Equal sets are one node from the start. Each bucket links its members to its
-smallest one, never to each other; the links are verified exactly. Where a
+Equal sets are one node from the start. Each bucket links its members to two
+leaders, never to each other; the links are verified exactly. Where a
 bucket still holds several components, its nodes pass through an exact filter:
 of sets ordered by rarity, two that are similar enough share one of their first
 few shingles, and only pairs of different components are verified.
@@ -187,12 +187,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: tuple[int, int] = (4,
     left, right = F.slice("halves", 1, HALVES), F.slice("halves", HALVES + 1, HALVES)
     keys = F.flatten(F.transform(left, lambda x, i: F.transform(right, lambda y, j: F.xxhash64(i, j, x, y))))
     tables = nodes.select("node", F.explode(keys).alias("key")).repartition("key")  # one shuffle for both uses below
-    leaders = tables.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("high")).where("leader < high").select("key", "leader")
-    buckets = settled(tables.join(leaders, "key"))
+    shared = tables.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    buckets = settled(tables.join(shared, "key"))
     reps = nodes.select("node", "rep")
 
-    pairs = settled(buckets.where("node != leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct())
-    sets = settled(sets_of(docs, buckets.select("node").distinct().join(reps, "node"), size))
+    # A family's first document and the one that shares most tables are near most of the others.
+    known = settled(buckets.groupBy("node").agg(F.count("*").alias("tables")).join(reps, "node"))
+    leaders = buckets.join(known, "node").groupBy("key").agg(F.min(F.struct("rep", "node")).alias("first"), F.min(F.struct(-F.col("tables"), "rep", "node")).alias("central"))
+    stars = buckets.join(leaders, "key").select("node", F.explode(F.array("first.node", "central.node")).alias("leader")).where("node != leader")
+    pairs = settled(stars.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
+    sets = settled(sets_of(docs, known, size))
     links = settled(verified(pairs, sets, least))
     found = components(links)
 

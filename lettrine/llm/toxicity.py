@@ -33,10 +33,13 @@ _LETTER = np.array([32 if b < 128 and not chr(b).isalpha() else b for b in range
 
 
 def features(texts: list[str | None]) -> list[np.ndarray]:
-    """Distinct hashed words of each text, A-Z lowered."""
-    data, starts, ends, first = words(texts, _LETTER)
-    hashes = (Ranges(data).hashes(starts, ends) >> np.uint64(64 - BITS)).astype(np.int32)
-    return [np.unique(hashes[a:b]) for a, b in zip(first, first[1:])]
+    """Distinct hashed words of each text, A-Z lowered: runs of letters, and what stands between white space as it is."""
+    found = []
+    for kind, replaced in enumerate((_LETTER, None)):
+        data, starts, ends, first = words(texts, replaced)
+        hashes = (Ranges(data).hashes(starts, ends, kind) >> np.uint64(64 - BITS)).astype(np.int32)
+        found.append([hashes[a:b] for a, b in zip(first, first[1:])])
+    return [np.unique(np.concatenate(both)) for both in zip(*found)]
 
 
 class Rows:
