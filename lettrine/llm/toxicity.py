@@ -33,13 +33,13 @@ _LETTER = np.array([32 if b < 128 and not chr(b).isalpha() else b for b in range
 
 
 def features(texts: list[str | None]) -> list[np.ndarray]:
-    """Distinct hashed words of each text, A-Z lowered: runs of letters, and what stands between white space as it is."""
+    """Distinct hashed features of each text, A-Z lowered: runs of letters, their first four and five bytes, and what stands between white space as it is."""
     found = []
-    for kind, replaced in enumerate((_LETTER, None)):
+    for kind, (replaced, most) in enumerate(((_LETTER, None), (_LETTER, 4), (_LETTER, 5), (None, None))):
         data, starts, ends, first = words(texts, replaced)
-        hashes = (Ranges(data).hashes(starts, ends, kind) >> np.uint64(64 - BITS)).astype(np.int32)
+        hashes = (Ranges(data).hashes(starts, ends if most is None else np.minimum(ends, starts + most), kind) >> np.uint64(64 - BITS)).astype(np.int32)
         found.append([hashes[a:b] for a, b in zip(first, first[1:])])
-    return [np.unique(np.concatenate(both)) for both in zip(*found)]
+    return [np.unique(np.concatenate(all_)) for all_ in zip(*found)]
 
 
 class Rows:
@@ -58,7 +58,7 @@ class Rows:
         return Rows([self.flat[e - n : e] for e, n in zip(ends[keep], self.sizes[keep])])
 
 
-def fit(rows: Rows, extra: np.ndarray, y: np.ndarray, rounds: int = 40, ridge: float = 2.0) -> np.ndarray:
+def fit(rows: Rows, extra: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 0.5) -> np.ndarray:
     """Weights of words, then of ``extra`` columns, then the bias: adaptive gradient steps from smoothed log-odds of the words."""
     size, n = 1 << BITS, len(y)
     if n == 0 or y.min() == y.max():
@@ -103,7 +103,7 @@ def fit_chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarr
     return models
 
 
-def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], max_rows: int = 6000) -> list[bytes]:
+def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], max_rows: int = 8000) -> list[bytes]:
     """``categories``: name -> SQL condition over ``labels``, in the chain's order. Weights, 2 MB a category."""
     conditions = [F.expr(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())]
     known = labels.select("doc_id", *conditions).groupBy("doc_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))]).na.drop()
