@@ -164,7 +164,7 @@ def c19_reading_summary(spark, sf_dir):
 
 _PR = duck.READINGS + duck.MERGED
 PAIRS = {
-    a1_region_catalogue: duck.READINGS + "SELECT region.*, n FROM region JOIN (SELECT roi_id, count(*) AS n FROM readings GROUP BY roi_id) USING (roi_id)",
+    a1_region_catalogue: duck.READINGS + "SELECT roi_id, name, tier, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CAST(w AS DOUBLE) AS w, CAST(h AS DOUBLE) AS h, CAST(padding AS DOUBLE) AS padding, route, allowed, n FROM region JOIN (SELECT roi_id, count(*) AS n FROM readings GROUP BY roi_id) USING (roi_id)",
     a2_bank_catalogue: duck.READINGS + f", c AS (SELECT {duck.rib_digits('text')} AS x FROM first_r WHERE roi_id = 'R14') SELECT d.code, d.n, bank_name FROM (SELECT CASE WHEN length(x) = 20 THEN substr(x, 1, 2) END AS code, count(*) AS n FROM c GROUP BY 1) AS d LEFT JOIN bank ON d.code = bank.code",
     a4_doc_id: _SCANS + "SELECT k, doc FROM sd",
     a5_doc_id_collisions: _SCANS + "SELECT split_part(doc, '_', 1) AS doc, count(*) AS n FROM sd GROUP BY 1 HAVING count(*) > 1",
