@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, langid, lattice, media, minhash, packing, repeats, secrets, toxicity, vectors
+from .sql import ORACLE_SQL
 from .tables import table
 
 
@@ -81,5 +82,4 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id, op9_vectors, op10_repeats)}
 
-#: Where DuckDB can express the whole result.
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
