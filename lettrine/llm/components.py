@@ -23,12 +23,13 @@ def components(edges: DataFrame) -> DataFrame:
     mark = F.struct(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).alias("mark")
     last = now.agg(mark).first()
     while True:
-        both = now.union(now.select("b", "a"))
+        # Dealt by node once a step; the minimum, the join and the distinct rows all follow from that.
+        both = now.union(now.select("b", "a")).repartition("a")
         lowest = both.groupBy("a").agg(F.min("b").alias("low"))
-        large = both.join(lowest, "a").where(b > a).select(b.alias("a"), F.least(a, "low").alias("b")).union(now.join(lowest, "a").select("a", F.col("low").alias("b"))).distinct()
+        large = both.join(lowest, "a").select(F.when(b > a, b).otherwise(a).alias("a"), F.least(a, "low").alias("b")).where(a != b).repartition("a").distinct()
         lowest = large.groupBy("a").agg(F.min("b").alias("low"))
-        hung = large.join(lowest, "a")
-        small = hung.where(b != F.col("low")).select(b.alias("a"), F.col("low").alias("b")).union(hung.select("a", F.col("low").alias("b"))).distinct()
+        hung = large.join(lowest, "a").select(F.inline(F.array(F.struct(b.alias("a"), F.col("low").alias("b")), F.struct("a", F.col("low").alias("b")))))
+        small = hung.where(a != b).distinct()
         now = settled(small)
         found = now.agg(mark).first()
         if found == last:
