@@ -8,8 +8,15 @@ are the nearest and some random nodes, robust pruning keeps those that no kept
 one is nearer to. Adjacency lists of a node from all its shards are united. A
 second pass over the shards searches the united graph for all nodes at once,
 best first from the medoid and then expanding everything in range, and verifies
-what it finds in double precision. A node's links are counted in its own shard,
-so no pairs are written; shards give spanning links of their components.
+what it finds in double precision; shards give spanning links of their components.
+
+Partners may share no shard, so links are counted by a closing comparison without
+loss: nodes are dealt once into cells (by nearest of few pivots) and these into
+blocks of about BLOCK. Two blocks of a label are compared unless the angle between
+their centres exceeds both radii and the angle of the least cosine; so are single
+nodes. Every pair of nodes meets in one task at most; tasks give counts and the
+spanning links that the search left, so no pairs are written. Where no angle
+excludes anything, work grows with the square of a label's distinct vectors.
 
 Two vectors link if their labels are equal and their cosine reaches the least.
 Vectors that are null, zero or hold null or non-finite numbers, and rows without
@@ -35,6 +42,9 @@ from .components import components
 from .tables import settled
 
 SHARD = 400
+BLOCK = 4096
+ROWS = 256
+SLACK = 1e-6
 OVERLAP = 4
 MOST_PIVOTS = 1 << 16
 DEGREE = 24
@@ -157,6 +167,114 @@ def sharded(nodes: DataFrame) -> DataFrame:
     return nodes.mapInPandas(run, f"node long, label {nodes.schema['label'].dataType.simpleString()}, embedding array<{nodes.schema['embedding'].dataType.elementType.simpleString()}>, times long, shard long, home boolean")
 
 
+def blocked(nodes: DataFrame) -> DataFrame:
+    """Nodes (node, label, embedding, times) packed into rows of about BLOCK nodes: label, dim, block, centre and radius of a cone around them, and their names, times and x."""
+    kind = nodes.schema["embedding"].dataType.elementType.simpleString()
+    width = np.float32 if kind == "float" else np.float64
+    nodes = nodes.withColumn("dim", F.size("embedding"))
+    counts = settled(nodes.groupBy("label", "dim").agg(F.count("*").alias("n")))
+    size = max(BLOCK, -(-(counts.agg(F.sum("n")).first()[0] or 0) // MOST_PIVOTS))
+    chance = F.pmod(F.xxhash64("node", F.lit("cell")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    large = F.broadcast(counts.where(F.col("n") > size).select("label", "dim"))
+    grouped: dict[tuple, list] = {}
+    for r in nodes.where(chance * size < 1).join(large, ["label", "dim"]).select("label", "dim", "embedding").collect():
+        grouped.setdefault((r["label"], r["dim"]), []).append(r["embedding"])
+    centres = {key: unit(rows) for key, rows in grouped.items()}
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            cell = np.zeros(len(pdf), np.int64)
+            for key, at in pdf.groupby(["label", "dim"]).indices.items():
+                if key in centres:
+                    for few in np.array_split(at, -(-len(at) * len(centres[key]) // (1 << 22))):
+                        cell[few] = (unit(pdf["embedding"].iloc[few].tolist()) @ centres[key].T).argmax(1)
+            yield pdf.assign(cell=cell)
+
+    label = nodes.schema["label"].dataType.simpleString()
+    dealt = nodes.select("node", "label", "embedding", "times", "dim")
+    dealt = settled(dealt.mapInPandas(deal, f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long")) if centres else dealt.withColumn("cell", F.lit(0).cast("long"))
+    full = dealt.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).withColumn("parts", F.ceil(F.col("n") / BLOCK)).drop("n")
+    dealt = dealt.join(F.broadcast(full), ["label", "dim", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.coalesce("parts", F.lit(1))))
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = np.array([np.asarray(r, np.float64) for r in pdf["embedding"]])
+        centre, radius = cone(unit(pdf["embedding"].tolist()))
+        return pd.DataFrame({"label": pdf["label"].iloc[:1], "dim": pdf["dim"].iloc[:1], "centre": [centre.tolist()], "radius": radius, "names": pdf["node"].to_numpy(np.int64).tobytes(), "times": pdf["times"].to_numpy(np.int64).tobytes(), "x": rows.astype(width).tobytes(), "width": np.dtype(width).str})
+
+    packed = dealt.select("node", "label", "embedding", "times", "dim", "cell", "part").groupBy("label", "dim", "cell", "part").applyInPandas(pack, f"label {label}, dim int, centre array<double>, radius double, names binary, times binary, x binary, width string")
+    return settled(packed.withColumn("block", F.monotonically_increasing_id()))
+
+
+def cone(x: np.ndarray) -> tuple[np.ndarray, float]:
+    """A direction and the largest angle that a row has to it."""
+    mean = x.mean(0)
+    length = np.sqrt(mean @ mean)
+    centre = mean / length if length > SLACK else x[0]
+    return centre, float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+
+
+def merged_roots(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Roots (no row's is above itself) after the pairs a, b are joined."""
+    root = root.copy()
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return root
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def all_links(x: np.ndarray, times: np.ndarray, n_first: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the sum of its partners' times and a root of its component.
+
+    The first ``n_first`` rows are compared with the others, or all with all if there are no others.
+    """
+    reach = float(np.arccos(least)) + SLACK
+    root, counts, weight = np.arange(len(x)), np.zeros(len(x)), times.astype(np.float64)
+    rows, columns = np.arange(n_first), np.arange(n_first, len(x))
+    alone = not len(columns)
+    if alone:
+        columns = rows
+    else:
+        (a, radius_a), (b, radius_b) = cone(x[rows]), cone(x[columns])
+        rows, columns = rows[np.arccos(np.clip(x[rows] @ b, -1, 1)) <= radius_b + reach], columns[np.arccos(np.clip(x[columns] @ a, -1, 1)) <= radius_a + reach]
+    for start in range(0, len(rows), ROWS):
+        i, j = rows[start : start + ROWS], columns[start:] if alone else columns
+        links = x[i] @ x[j].T >= least
+        if alone:
+            links &= i[:, None] < j[None, :]
+        if links.any():
+            dense = links.astype(np.float64)
+            counts[i] += dense @ weight[j]
+            counts[j] += weight[i] @ dense
+            p, q = np.nonzero(links & (root[i][:, None] != root[j][None, :]))
+            root = merged_roots(root, i[p], j[q])
+    return counts.astype(np.int64), root
+
+
+def closed(nodes: DataFrame, least: float) -> DataFrame:
+    """All links of the nodes, block against block: node, root of its component in a task, n (links there); nodes that link in no task are left out."""
+    blocks = blocked(nodes)
+    one = blocks.select("label", "dim", F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))
+    two = blocks.select("label", "dim", F.col("block").alias("b"), F.col("centre").alias("cb"), F.col("radius").alias("rb"))
+    dot = F.aggregate(F.zip_with("ca", "cb", lambda v, w: v * w), F.lit(0.0), lambda s, v: s + v)
+    between = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
+    tasks = one.join(two, ["label", "dim"]).where((F.col("a") == F.col("b")) | ((F.col("a") < F.col("b")) & (between <= F.col("ra") + F.col("rb") + F.lit(float(np.arccos(least)) + SLACK)))).select("a", "b")
+    sides = tasks.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        names, times = (np.concatenate([np.frombuffer(v, np.int64) for v in pdf[c]]) for c in ("names", "times"))
+        x = [np.frombuffer(v, w).reshape(-1, d) for v, w, d in zip(pdf["x"], pdf["width"], pdf["dim"])]
+        n, root = all_links(unit(np.concatenate(x)), times, len(x[0]), least)
+        some = n > 0
+        return pd.DataFrame({"node": names[some], "root": names[root[some]], "n": n[some]})
+
+    return sides.join(blocks.select("block", "dim", "names", "times", "x", "width"), "block").groupBy("a", "b").applyInPandas(compare, "node long, root long, n long")
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
     """vec_id, n_links, component_id (smallest vec_id reachable) and kept."""
     nodes = usable(vectors).withColumn("node", F.xxhash64("label", "embedding"))
@@ -173,7 +291,7 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node").reset_index(drop=True)
-        names, times, home = pdf["node"].to_numpy(), pdf["times"].to_numpy(), pdf["home"].to_numpy()
+        names = pdf["node"].to_numpy()
         flat = np.concatenate([np.asarray(n, np.int64) for n in pdf["next"]])
         of = np.repeat(np.arange(len(pdf)), pdf["next"].map(len))
         at = np.minimum(np.searchsorted(names, flat), len(names) - 1)
@@ -184,13 +302,14 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         graph[of[here], place] = at[here]
         links = range_search(unit(pdf["embedding"].tolist()), graph, least)
         roots = _roots(links | links.T)
-        return pd.DataFrame({"node": names, "root": names[roots], "n": np.where(home, links @ times, 0), "home": home})
+        return pd.DataFrame({"node": names, "root": names[roots]})
 
-    found = settled(placed.join(lists, "node").groupBy("shard").applyInPandas(search, "node long, root long, n long, home boolean"))
-    linked = components(found.where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
+    found = placed.join(lists, "node").groupBy("shard").applyInPandas(search, "node long, root long")
+    every = settled(closed(merged.select("node", "label", "embedding", "times"), least))
+    linked = components(found.union(every.select("node", "root")).where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     rooted = merged.select("node", "rep", "times").join(linked, "node", "left").select("node", "rep", "times", F.coalesce("component", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("smallest"))
-    result = rooted.join(smallest, "root").join(found.where("home").select("node", "n"), "node").select("node", (F.col("n") + F.col("times") - 1).alias("n_links"), "smallest")
+    result = rooted.join(smallest, "root").join(every.groupBy("node").agg(F.sum("n").alias("n")), "node", "left").select("node", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), "smallest")
     ids = nodes.select("vec_id", "node").join(result, "node").select("vec_id", "n_links", F.col("smallest").alias("component_id"))
     rest = vectors.select("vec_id").exceptAll(nodes.select("vec_id")).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return ids.union(rest).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -54,3 +54,20 @@ def test_odd_and_empty(spark):
     found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(table).collect()}
     assert found == brute(rows)
     assert vectors.near_vectors(table.where("false")).count() == 0
+
+
+def test_all_links_of_dense_groups(spark, monkeypatch):
+    """Groups larger than any shard, in few blocks and in many, beside looser ones that the angles must not cut."""
+    pick = np.random.default_rng(3)
+    dense = pick.normal(size=24)
+    x = np.concatenate((dense + pick.normal(size=(5000, 24)) * 0.05, np.repeat(pick.normal(size=(60, 24)), 20, 0) + pick.normal(size=(1200, 24)) * 0.3)).astype(np.float32)
+    y = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    links = y @ y.T >= 0.93
+    np.fill_diagonal(links, False)
+    wanted, roots = links.sum(1), vectors._roots(links)
+    assert wanted[:5000].min() > 4000
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<float>, label int")
+    for block in (vectors.BLOCK, 700):
+        monkeypatch.setattr(vectors, "BLOCK", block)
+        got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vectors.near_vectors(table).collect()}
+        assert got == {i: (int(wanted[i]), int(roots[i])) for i in range(len(x))}
