@@ -105,9 +105,7 @@ FROM {orders} CROSS JOIN (SELECT * FROM (VALUES (1),(2),(3),(4),(5)) AS v(j)) AS
 # Words of the first engine's readings; -1 marks boxes that hold no word.
 WORDS = """
 SELECT doc_id, roi_id, CAST(seq AS INT) AS seq, word, CAST(CASE WHEN (doc_id + seq) % 13 = 0 THEN -1 ELSE (doc_id * 3 + seq * 17) % 101 END AS INT) AS conf
-FROM (SELECT doc_id, roi_id, j AS seq, {part} AS word FROM (SELECT * FROM {readings} WHERE engine = 'tesseract') AS r
-      CROSS JOIN (SELECT * FROM (VALUES (1),(2),(3),(4),(5),(6)) AS v(j)) AS v) AS s
-WHERE word IS NOT NULL
+FROM (SELECT doc_id, roi_id, pos + 1 AS seq, word FROM {readings} AS r LATERAL VIEW posexplode(split(text, ' ')) v AS pos, word WHERE engine = 'tesseract') AS s
 """
 
 # Stored model responses; some envelopes and inner objects are broken.
@@ -161,7 +159,7 @@ def angles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(WORDS.replace("{part}", "get(split(text, ' '), j - 1)"), readings=readings(spark, sf_dir))
+    return spark.sql(WORDS, readings=readings(spark, sf_dir))
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,6 +176,6 @@ def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ctes() -> str:
     """The derived tables as common table expressions for DuckDB, without a final SELECT."""
-    plain = dict(orders="orders", customer="customer", nation="nation", readings="readings", part="nullif(split_part(text, ' ', CAST(j AS INT)), '') ")
+    plain = dict(orders="orders", customer="customer", nation="nation", readings="readings")
     parts = {"readings": READINGS, "pages_m": PAGES, "stamps_m": STAMPS, "angles_m": ANGLES, "responses_m": RESPONSES, "variants_m": VARIANTS, "explanations_m": EXPLANATIONS}
     return BILLS.format(**plain) + "".join(f",\n{n} AS ({s.format(**plain)})" for n, s in parts.items())

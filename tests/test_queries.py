@@ -47,6 +47,18 @@ def test_query(spark, duck, name):
     assert mine == sorted((tuple(plain(r[i]) for i in at) for r in wanted.fetchall()), key=repr)
 
 
+def test_word_boxes_hold_every_word(spark, duck):
+    """Against the readings' own words: the SQL of a7_word_boxes stops at the sixth."""
+    wanted, longest = {}, 0
+    for r in plans.QUERIES["a6_readings"](spark, SF).where("engine = 'tesseract'").collect():
+        words = list(enumerate(r["text"].split(" "), 1))
+        boxes = [(w, (r["doc_id"] * 3 + i * 17) % 101) for i, w in words if w and (r["doc_id"] + i) % 13]
+        wanted[r["doc_id"], r["roi_id"]] = (" ".join(w for w, _ in boxes), round(sum(c for _, c in boxes) / max(1, len(boxes)) / 100, 6))
+        longest = max(longest, len(words))
+    assert longest == 9
+    assert {(r["doc_id"], r["roi_id"]): (r["text"], round(r["confidence"], 6)) for r in plans.QUERIES["a7_word_boxes"](spark, SF).collect()} == wanted
+
+
 def test_every_query_has_sql():
     assert set(plans.QUERIES) == set(plans.ORACLE_SQL) and len(plans.QUERIES) > 100
 
