@@ -24,8 +24,8 @@ a label, link with nothing; vectors of different lengths don't link. Rows
 without vec_id count for nothing and get a null component. Repeated rows are
 linked copies; an empty table gives no rows; extra columns are ignored.
 
-Pivots are sent to all tasks: at most MOST_PIVOTS of them; with more nodes than
-they serve at SHARD the shards grow.
+Pivots are sent to all tasks: about MOST_PIVOTS of them at most, and one for each
+label and length; with more nodes than they serve at SHARD the shards grow.
 """
 
 from __future__ import annotations
