@@ -3,7 +3,7 @@
 Two small collections of half keys, each of ``WIDTH`` minimum hashes, are
 computed for a set; every pair of one from either collection keys a table. So
 2 x HALVES x WIDTH minimum hashes serve HALVES x HALVES tables: at similarity
-0.8 a pair of sets shares none of them with a probability of 0.00015.
+0.8 a pair of sets shares none of them with a probability of 0.00007.
 
 Equal sets are one node from the start. Each bucket links its members to two
 leaders, never to each other; the links are verified exactly. Where a
@@ -12,10 +12,13 @@ of sets ordered by rarity, two that are similar enough share one of their first
 few shingles, and only pairs of different components are verified.
 What is shuffled is keys and links; full sets move for candidates alone.
 
-Shingles, sets and nodes are told apart by 64-bit hashes. Null texts and texts
-without words have empty sets, linked with nothing; documents without doc_id
-stay alone, with a null component; repeated rows are linked with each other and
-keep one result each; extra columns stay out.
+Shingles, sets and nodes are told apart by 64-bit hashes that mix every 8 bytes
+of a word, and word after word. Null texts and texts without words have empty
+sets, linked with nothing; documents without doc_id stay alone, with a null
+component; repeated rows are linked with each other and keep one result each, as
+do rows of one doc_id with different texts; the smallest doc_id wins all ties;
+an empty table gives no rows; extra columns stay out. Very long texts are sets
+like others.
 """
 
 from __future__ import annotations
@@ -28,33 +31,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import settled, slices
-from .words import Ranges, mixed, words
+from .tables import bitmap, lean, set_bits, settled, slices, slot_of
+from .words import hashes, mixed, sorted_set, words
 
 HALVES = 10
 WIDTH = 2
 _U = np.uint64
 #: Sizes of the two tables of numbers that reach the driver and all tasks, whatever the input's size.
-FILTER_SLOTS = 1 << 22
+FILTER_SLOTS = 1 << 26
 RARITY_SLOTS = 1 << 20
 
 
 def shingle_sets(texts: list[str | None], size: int) -> list[np.ndarray]:
     """For each text the sorted distinct 64-bit hashes of its shingles of ``size`` words; with fewer words the whole sequence is one."""
     data, starts, ends, first = words(texts)
+    own = hashes(data, starts, ends)
+    n = len(own)
     with np.errstate(over="ignore"):
-        hashes = Ranges(data).hashes(starts, ends)
-        n = len(hashes)
-        rolled = np.zeros(n, np.uint64)
+        chained = mixed(np.full(n, size, np.uint64))
         for k in range(min(size, n)):
-            rolled[: n - k] += mixed(hashes[k:], k + 1)
-        rolled = mixed(rolled, size)
+            chained[: n - k] = mixed(chained[: n - k] * _U(0xD6E8FEB86659FD93) + own[k:], k + 1)
         out = []
         for a, b in zip(first.tolist(), first[1:].tolist()):
             if b - a >= size:
-                out.append(np.unique(rolled[a : b - size + 1]))
+                out.append(sorted_set(chained[a : b - size + 1]))
             elif b > a:  # the number of words tells such sequences from shingles
-                out.append(mixed(sum(mixed(hashes[a + k : a + k + 1], k + 1) for k in range(b - a)), 1000 + b - a))
+                h = np.array([1000 + b - a], np.uint64)
+                for k in range(a, b):
+                    h = mixed(h * _U(0xD6E8FEB86659FD93) + own[k], 100 + k - a)
+                out.append(h)
             else:
                 out.append(np.zeros(0, np.uint64))
     return out
@@ -79,61 +84,61 @@ def node_of(items: np.ndarray) -> int:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, n (size of the set), node (hash of the set, null for empty) and halves."""
+    """doc_id, row (hash of doc_id and text), n (size of the set), node (hash of the set, null for empty) and halves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in slices(batches, ["doc_id", "text"]):
+        for ids, rows, texts in slices(batches, ["doc_id", "row", "text"]):
             sets = shingle_sets(texts, size)
             full = [s for s in sets if len(s)]
             keys = iter(half_keys(full).view(np.int64).tolist() if full else [])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
-                ["doc_id", "n", "node", "halves"],
+                [pa.array(ids, pa.int64()), pa.array(rows, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([next(keys) if len(s) else None for s in sets], pa.list_(pa.int64()))],
+                ["doc_id", "row", "n", "node", "halves"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, node long, halves array<long>")
+    return docs.select("doc_id", F.xxhash64("doc_id", "text").alias("row"), "text").mapInArrow(lean(run), "doc_id long, row long, n long, node long, halves array<long>")
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """node and items (sorted hashes, 8 bytes each) of the wanted (node, rep), rep being a document that has the set.
+    """node, items (sorted hashes) and n of the wanted (node, rep), rep being a document that has the set.
 
     A bit for each hash of a wanted document goes to all tasks, so that other
     texts are passed over where they are read; the join is exact.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_SLOTS)).cast("int")
-    bits = np.zeros(FILTER_SLOTS, bool)
-    bits[wanted.select(F.col("rep").alias("doc_id")).select(slot.alias("slot")).distinct().toArrow().column("slot").to_numpy()] = True
-    packed = np.packbits(bits).tobytes()
+    bits = bitmap(wanted, "rep", FILTER_SLOTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = np.unpackbits(np.frombuffer(packed, np.uint8)).astype(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(keep[batch.column("slot").to_numpy()]))
+            batch = batch.filter(pa.array(set_bits(bits, batch.column("slot").to_numpy())))
             for (texts,) in slices([batch], ["text"]):
                 sets = [s for s in shingle_sets(texts, size) if len(s)]
-                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array([node_of(s) for s in sets], pa.int64()), _lists(sets)], ["node", "items"])
 
-    found = docs.where("doc_id is not null and text is not null").select(slot.alias("slot"), "text").mapInArrow(run, "node long, items binary")
-    return found.join(wanted.select("node").distinct(), "node").groupBy("node").agg(F.first("items").alias("items"))
+    found = docs.where("doc_id is not null and text is not null").select(slot_of(F.col("doc_id"), FILTER_SLOTS).alias("slot"), "text").mapInArrow(lean(run), "node long, items array<long>")
+    return found.join(wanted.select("node").distinct(), "node").groupBy("node").agg(F.first("items").alias("items")).withColumn("n", F.size("items"))
+
+
+def _lists(sets: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+    flat = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) whose intersection is at least the share ``least`` (as a fraction) of the union."""
+    """Pairs (a, b) whose intersection is at least the share ``least`` (as a fraction) of the union. Sizes are looked at first."""
     above, below = least
+    side = lambda name, items, n: sets.select(F.col("node").alias(name), F.col("items").alias(items), F.col("n").alias(n))
+    sized = pairs.join(side("b", "two", "nb"), "b").join(side("a", "one", "na"), "a").where(F.least("na", "nb") * below >= F.greatest("na", "nb") * above)
+    common = F.size(F.array_intersect("one", "two"))
+    return sized.where(common * (above + below) >= (F.col("na") + F.col("nb")) * above).select("a", "b")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, last, x = [], None, None
-            for a, one, two in zip(batch.column("a").to_pylist(), batch.column("one"), batch.column("two")):
-                if a != last:
-                    last, x = a, np.frombuffer(one.as_buffer(), np.uint64)
-                y = np.frombuffer(two.as_buffer(), np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(below * common >= above * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("items").alias("two")), "b")
-    return with_b.join(sets.select(F.col("node").alias("a"), F.col("items").alias("one")), "a").select("a", "b", "one", "two").mapInArrow(run, "a long, b long")
+def _flat(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column("items").flatten().to_numpy().view(np.uint64)
+
+
+def _slots(items: np.ndarray) -> np.ndarray:
+    return (items & _U(RARITY_SLOTS - 1)).astype(np.int64)
 
 
 def rest_pairs(sets: DataFrame, roots: DataFrame, least: tuple[int, int]) -> DataFrame:
@@ -150,27 +155,30 @@ def rest_pairs(sets: DataFrame, roots: DataFrame, least: tuple[int, int]) -> Dat
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros(RARITY_SLOTS, np.int64)
         for batch in batches:
-            for items in batch.column("items"):
-                np.add.at(sums, (np.frombuffer(items.as_buffer(), np.uint64) & _U(RARITY_SLOTS - 1)).astype(np.int64), 1)
+            sums += np.bincount(_slots(_flat(batch)), minlength=RARITY_SLOTS)
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(sums[used], pa.int64())], ["slot", "n"])
 
-    rows = sets.select("items").mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    rows = sets.select("items").mapInArrow(lean(count), "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     rarity = np.zeros(RARITY_SLOTS, np.int64)
     rarity[rows.column("slot").to_numpy()] = rows.column("n").to_numpy()
     ranks = np.argsort(np.argsort(rarity, kind="stable")).astype(np.uint32).tobytes()
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = np.frombuffer(ranks, np.uint32)
-        for batch in batches:
-            for node, root, items in zip(batch.column("node").to_pylist(), batch.column("root").to_pylist(), batch.column("items")):
-                x = np.frombuffer(items.as_buffer(), np.uint64)
-                order = np.lexsort((x, rank[(x & _U(RARITY_SLOTS - 1)).astype(np.int64)]))
-                first = x[order[: len(x) - -(-len(x) * above // below) + 1]].view(np.int64)
-                k = len(first)
-                yield pa.RecordBatch.from_arrays([pa.array(first), pa.array([node] * k, pa.int64()), pa.array([root] * k, pa.int64()), pa.array([len(x)] * k, pa.int64()), pa.array(np.arange(k))], ["item", "node", "root", "n", "i"])
-
-    listed = settled(sets.join(roots, "node").mapInArrow(prefixes, "item long, node long, root long, n long, i long"))
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                flat, sizes = _flat(batch), batch.column("items").value_lengths().to_numpy()
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                order = np.lexsort((flat, rank[_slots(flat)], of))
+                place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                first = place < sizes[of] - -(-sizes[of] * above // below) + 1
+                of, place, item = of[first], place[first], flat[order[first]].view(np.int64)
+                node, root = (batch.column(c).to_numpy()[of] for c in ("node", "root"))
+                yield pa.RecordBatch.from_arrays([pa.array(item), pa.array(node), pa.array(root), pa.array(sizes[of].astype(np.int64)), pa.array(place)], ["item", "node", "root", "n", "i"])
+
+    listed = settled(sets.select("node", "items").join(roots, "node").mapInArrow(lean(prefixes), "item long, node long, root long, n long, i long"))
     mixed_lists = listed.groupBy("item").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("item")
     rest = listed.join(mixed_lists, "item")
     smaller, other = rest.where(F.col("i") * (above + below) <= F.col("n") * (below - above)).alias("a"), rest.alias("b")
@@ -181,7 +189,12 @@ def rest_pairs(sets: DataFrame, roots: DataFrame, least: tuple[int, int]) -> Dat
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, least: tuple[int, int] = (4, 5)) -> DataFrame:
-    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and kept (it is the document's own)."""
+    """doc_id, n_shingles, component_id (the smallest doc_id reachable by links), kept (it is the document's own), row and chosen.
+
+    ``row`` is a hash of doc_id and text; ``chosen`` tells the rows to keep of a
+    table that may hold a doc_id more than once: of a component one set of
+    shingles, that of the smallest doc_id, and all rows linked with nothing.
+    """
     signed = settled(signatures(docs, size))
     nodes = signed.where("node is not null and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("halves").alias("halves"))
     left, right = F.slice("halves", 1, HALVES), F.slice("halves", HALVES + 1, HALVES)
@@ -208,7 +221,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, least: tuple[int, int] = (4,
     found = components(links.union(more)) if more.limit(1).count() else found
 
     rooted = reps.join(found, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("rep").alias("smallest"))
-    label = rooted.join(smallest, "root").select("node", "smallest")
+    smallest = rooted.groupBy("root").agg(F.min(F.struct("rep", "node")).alias("first"))
+    label = rooted.join(smallest, "root").select("node", F.col("first.rep").alias("smallest"), (F.col("node") == F.col("first.node")).alias("best"))
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("smallest", "doc_id"))
-    return signed.join(label, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(True)).alias("kept"))
+    kept = F.coalesce(F.col("doc_id") == own, F.lit(True))
+    return signed.join(label, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"), kept.alias("kept"), "row", (kept & F.coalesce("best", F.lit(True))).alias("chosen"))

@@ -17,7 +17,7 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4).select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op3_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,37 +2,45 @@
 
 Every window of ``window`` bytes has one anchor, chosen by its content, so equal
 windows meet under equal anchors. Neighbouring windows with one anchor are a
-run. Anchors that occur once hold no repeat; runs that occur twice as a whole
-repeat as a whole; what is left, different runs under one anchor, goes through
+run. Anchors that occur once hold no repeat, and runs that are alike as a whole
+repeat as a whole. What is left, different runs under one anchor, goes through
 suffix arrays in chunks of whole groups: windows are ordered by prefix doubling,
 a stack scan of the common prefixes of neighbours gives the interval tree, and
 an interval whose occurrences differ in the byte to their left is a maximal
-repeat, given out with all its occurrences. Groups over HOT runs would not fit
-a task; their windows are hashed and counted one by one instead, spread over all
-tasks, with the same result.
+repeat, given out with all its occurrences.
+
+A group of more than ``GROUP`` bytes is split before that by what stands next to
+its anchor: a window holds either the left or the right half of what it lacks,
+so the anchor grows by that half, and windows that differ there part. Each
+split halves what is left to grow; after eight at most the anchor is the window,
+and what then still shares one is alike. So every group reaches a suffix array
+or is alike as a whole, however many documents hold it.
 
 Null texts are empty; texts shorter than a window keep all; repeated rows are
-repeats of each other; ties and extra columns play no part. Texts over 8 MB are
-walked in overlapping stretches.
+repeats of each other; ties and extra columns play no part, whatever their
+names; an empty table gives no rows. Long texts are walked in overlapping
+stretches of 1 MB.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import runs
-from .tables import slices, stored
-from .words import Ranges, joined
+from .anchors import GRAM, runs
+from .tables import bitmap, fresh, lean, set_bits, slices, slot_of, stored
+from .words import joined
 
-CHUNK = 1 << 20
-HOT = 20_000
-SLOTS = 1 << 22
-STRETCH = 8 << 20
+CHUNK = 1 << 19
+GROUP = 1 << 20
+SLOTS = 1 << 26
+STRETCH = 1 << 20
 RUNS = "key long, g long, w long, first int, count int"
 
 
@@ -57,27 +65,26 @@ def _runs(texts: DataFrame, window: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for data, starts, sizes, keys, places in _buffers(batch, window):
-                first, count, g, w = runs(data, starts, sizes, window)
+                first, count, g, w, _ = runs(data, starts, sizes, window)
                 of = np.searchsorted(starts, first, "right") - 1
                 yield pa.RecordBatch.from_arrays([pa.array(keys[of]), pa.array(g), pa.array(w), pa.array((first - starts[of] + places[of]).astype(np.int32)), pa.array(count.astype(np.int32))], ["key", "g", "w", "first", "count"])
 
-    return texts.mapInArrow(run, RUNS)
+    return texts.mapInArrow(lean(run), RUNS)
 
 
 def _run_texts(texts: DataFrame, wanted: bytes, window: int) -> DataFrame:
-    """g, w, bytes of the runs whose anchor's slot is wanted."""
+    """g, w, bytes and the anchor's place of the runs whose anchor's bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = np.unpackbits(np.frombuffer(wanted, np.uint8)).astype(bool)
         for batch in batches:
             for data, starts, sizes, _, _ in _buffers(batch, window):
-                first, count, g, w = runs(data, starts, sizes, window)
-                some = np.flatnonzero(keep[g & (SLOTS - 1)])
+                first, count, g, w, place = runs(data, starts, sizes, window)
+                some = np.flatnonzero(set_bits(wanted, g & (SLOTS - 1)))
                 raw = data.tobytes()
                 cut = [raw[a:b] for a, b in zip(first[some].tolist(), (first + count + window - 1)[some].tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(g[some]), pa.array(w[some]), pa.array(cut, pa.binary())], ["g", "w", "bytes"])
+                yield pa.RecordBatch.from_arrays([pa.array(g[some]), pa.array(w[some]), pa.array(cut, pa.binary()), pa.array(place[some].astype(np.int32))], ["g", "w", "bytes", "place"])
 
-    return texts.mapInArrow(run, "g long, w long, bytes binary")
+    return texts.mapInArrow(lean(run), "g long, w long, bytes binary, place int")
 
 
 def window_ranks(data: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
@@ -195,7 +202,7 @@ def _by_suffix_array(groups: DataFrame, window: int) -> DataFrame:
         rows, size = [], 0
         for batch in batches:
             for row in zip(*(batch.column(n).to_pylist() for n in ("g", "w", "times", "bytes"))):
-                if size >= CHUNK and row[0] != rows[-1][0]:
+                if rows and size >= CHUNK and row[0] != rows[-1][0]:
                     yield solve(rows)
                     rows, size = [], 0
                 rows.append(row)
@@ -203,81 +210,122 @@ def _by_suffix_array(groups: DataFrame, window: int) -> DataFrame:
         if rows:
             yield solve(rows)
 
-    return groups.repartition("g").sortWithinPartitions("g").mapInArrow(run, "g long, w long, `from` int, `to` int")
+    n = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return groups.repartition(n, "g").sortWithinPartitions("g").mapInArrow(lean(run), "g long, w long, `from` int, `to` int")
+
 
+def grown(raw: bytes, place: int, width: int, window: int) -> list[tuple[str, int, bytes, int, int, bytes]]:
+    """The run cut in two by the half that its windows hold next to the anchor: (that half, first window, bytes, the anchor's new place and width, its bytes)."""
+    half = (window - width + 1) // 2
+    out = []
+    first = min(len(raw) - window, place - half)  # last window that holds the left half
+    if first >= 0:
+        out.append(("left", 0, raw[: first + window], place - half, width + half, raw[place - half : place + width]))
+    if (start := max(0, place - half + 1)) <= len(raw) - window:
+        wide = window - half + 1
+        out.append(("right", start, raw[start:], place - start, wide, raw[place : place + wide]))
+    return out
 
-def _by_counting(groups: DataFrame, window: int) -> DataFrame:
-    """The same for groups of any size, from counts of their windows' hashes."""
+
+def _split(parts: DataFrame, window: int) -> DataFrame:
+    """Parts of runs under longer anchors; ``at`` is a part's first window in its run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        names = ["g0", "w0", "at", "g", "w", "times", "bytes", "place", "width"]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32()]
+        signed = lambda h: h - (1 << 64) if h >> 63 else h
         for batch in batches:
-            for g, w, times, raw in zip(*(batch.column(n).to_pylist() for n in ("g", "w", "times", "bytes"))):
-                at = np.arange(len(raw) - window + 1)
-                h = Ranges(np.frombuffer(raw, np.uint8)).hashes(at, at + window, 11).view(np.int64)
-                n = len(at)
-                yield pa.RecordBatch.from_arrays([pa.array([g] * n, pa.int64()), pa.array([w] * n, pa.int64()), pa.array([times] * n, pa.int64()), pa.array(at.astype(np.int32)), pa.array(h)], ["g", "w", "times", "from", "h"])
-
-    windows = groups.mapInArrow(run, "g long, w long, times long, `from` int, h long")
-    often = windows.groupBy("g", "h").agg(F.sum("times").alias("n")).where("n > 1").select("g", "h")
-    return windows.join(often, ["g", "h"]).select("g", "w", "from", (F.col("from") + 1).alias("to"))
+            for some in range(0, batch.num_rows, 1024):
+                rows = []
+                for g0, w0, at, g, times, raw, place, width in zip(*(batch.column(n).slice(some, 1024).to_pylist() for n in ("g0", "w0", "at", "g", "times", "bytes", "place", "width"))):
+                    for half, start, cut_, p, wide, anchor in grown(raw, place, width, window):
+                        rows.append((g0, w0, at + start, signed(digest(b"%d %s " % (g, half.encode()) + anchor)), signed(digest(cut_, p)), times, cut_, p, wide))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*rows)) or [[]] * len(names), kinds)], names)
+
+    return parts.mapInArrow(lean(run), "g0 long, w0 long, at int, g long, w long, times long, bytes binary, place int, width int")
+
+
+def _inside(different: DataFrame, window: int) -> DataFrame:
+    """(g, w, times, bytes, place) of different runs -> (g, w, from, to), the stretches of their windows that repeat."""
+    found = []
+    parts, level = different.selectExpr("g as g0", "w as w0", "0 as at", "g", "w", "times", "bytes", "place", f"{GRAM} as width"), different
+    size = F.sum(F.length("bytes"))
+    while True:
+        sizes = level.groupBy("g").agg(size.alias("size"), F.min("w").alias("low"), F.max("w").alias("high"))
+        large = stored(sizes.where((F.col("size") > GROUP) & (F.col("low") < F.col("high"))).select("g"), "large")
+        some = bool(large.head(1))
+        inside = _by_suffix_array((level.join(large, "g", "left_anti") if some else level).select("g", "w", "times", "bytes"), window)
+        if level is not different:
+            inside = parts.join(inside, ["g", "w"]).select(F.col("g0").alias("g"), F.col("w0").alias("w"), (F.col("at") + F.col("from")).alias("from"), (F.col("at") + F.col("to")).alias("to"))
+        found.append(inside)
+        if not some:
+            return reduce(DataFrame.union, found)
+        parts = stored(_split(parts.join(large, "g", "left_semi"), window), "parts")
+        level = stored(parts.groupBy("g", "w").agg(F.sum("times").alias("times"), F.first("bytes").alias("bytes")), "level")
 
 
 def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
     """key and spans: for each row with repeats, by hash of doc_id and text, the stretches [from, to) of window starts."""
     texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text").where(F.octet_length("text") >= window)
-    dealt = _runs(texts, window).repartition("g")  # one shuffle for both uses
-    often = dealt.groupBy("g").agg(F.count("*").alias("n"), F.min("w").alias("low"), F.max("w").alias("high")).where("n > 1")
-    found = stored(dealt.join(often, "g").select("key", "g", "w", "first", "count", (F.col("low") < F.col("high")).alias("open")), "runs")
-
-    bits = np.zeros(SLOTS, bool)
-    open_slots = found.where("open").select(F.col("g").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).distinct().toArrow()
-    bits[open_slots.column("slot").to_numpy()] = True
-    different = _run_texts(texts, np.packbits(bits).tobytes(), window).groupBy("g", "w").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"))
-    sizes = found.where("open").groupBy("g").agg(F.approx_count_distinct("w").alias("kinds"))
-    groups = stored(different.join(sizes, "g"), "run-texts")
-    inside = _by_suffix_array(groups.where(F.col("kinds") <= HOT).select("g", "w", "times", "bytes"), window)
-    hot = groups.where(F.col("kinds") > HOT).select("g", "w", "times", "bytes")
-    inside = inside.union(_by_counting(hot, window))
+    every = stored(_runs(texts, window), "runs")
+    # A table of its own, so that the join's large keys can be split.
+    often = stored(every.groupBy("g").agg(F.count("*").alias("n"), F.min("w").alias("low"), F.max("w").alias("high")).where("n > 1").select("g", (F.col("low") < F.col("high")).alias("open")), "anchors")
+    found = stored(every.join(often, "g"), "repeated-runs")
+
+    slot = F.col("g").bitwiseAND(F.lit(SLOTS - 1))
+    bits = bitmap(often.where("open").select(slot.alias("slot")), "slot", SLOTS, given=True)
+    different = stored(_run_texts(texts, bits, window).groupBy("g", "w").agg(F.count("*").alias("times"), F.first("bytes").alias("bytes"), F.first("place").alias("place")), "run-texts")
+    inside = _inside(different, window)
 
     whole = found.where("not open").select("key", F.col("first").alias("from"), (F.col("first") + F.col("count")).alias("to"))
     partly = found.where("open").join(inside, ["g", "w"]).select("key", (F.col("first") + F.col("from")).alias("from"), (F.col("first") + F.col("to")).alias("to"))
     return whole.union(partly).groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
 
 
-def cut(docs: DataFrame, window: int = 200) -> DataFrame:
+def cut(docs: DataFrame, window: int = 200, whole_characters: bool = False) -> DataFrame:
     """The documents with n_bytes, removed (array of [start, end) in bytes) and kept (the bytes left).
 
-    Every byte that a repeated window covers is removed, in all its occurrences.
+    Every byte that a repeated window covers is removed, in all its occurrences;
+    with ``whole_characters`` those too that share a character with such a byte.
     Columns of these names are replaced.
     """
     docs = docs.drop("n_bytes", "removed", "kept")
-    marked = docs.withColumn("_key", F.xxhash64("doc_id", "text")).join(repeated_spans(docs, window).withColumnRenamed("key", "_key").withColumnRenamed("spans", "_spans"), "_key", "left").drop("_key")
+    key, spans = fresh(docs, "key"), fresh(docs, "spans")
+    found = repeated_spans(docs, window).toDF(key, spans)
+    marked = docs.withColumn(key, F.xxhash64("doc_id", "text")).join(found, key, "left").drop(key)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: dict[str, list] = {"n_bytes": [], "removed": [], "kept": []}
-            spans = batch.column("_spans").to_pylist()
-            row = 0
-            for (texts,) in slices([batch], ["text"]):
-                for text in texts:
-                    raw = (text or "").encode("utf-8", "surrogatepass")
-                    merged: list[list[int]] = []
-                    for a, b in sorted((s["from"], s["to"] + window - 1) for s in spans[row] or ()):
-                        if merged and a <= merged[-1][1]:
-                            merged[-1][1] = max(merged[-1][1], b)
-                        else:
-                            merged.append([a, b])
-                    at, left = 0, []
-                    for a, b in merged:
-                        left.append(raw[at:a])
-                        at = b
-                    rows["n_bytes"].append(len(raw))
-                    rows["removed"].append([{"start": a, "end": b} for a, b in merged])
-                    rows["kept"].append(b"".join([*left, raw[at:]]))
-                    row += 1
-            kinds = {"n_bytes": pa.int64(), "removed": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "kept": pa.binary()}
-            names = [n for n in batch.schema.names if n != "_spans"]
-            yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *[pa.array(rows[n], k) for n, k in kinds.items()]], [*names, *kinds])
-
-    return marked.mapInArrow(run, f"{fields}, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
+            for at in range(0, batch.num_rows, 512):
+                yield _cut_batch(batch.slice(at, 512), spans, window, whole_characters)
+
+    return marked.mapInArrow(lean(run), f"{fields}, n_bytes long, removed array<struct<start:int,end:int>>, kept binary")
+
+
+def _cut_batch(batch: pa.RecordBatch, spans: str, window: int, whole_characters: bool) -> pa.RecordBatch:
+    rows: dict[str, list] = {"n_bytes": [], "removed": [], "kept": []}
+    for text, own in zip(batch.column("text").to_pylist(), batch.column(spans).to_pylist()):
+        raw = (text or "").encode("utf-8", "surrogatepass")
+        merged: list[list[int]] = []
+        for a, b in sorted((s["from"], s["to"] + window - 1) for s in own or ()):
+            if whole_characters:
+                while 0 < a and raw[a] & 0xC0 == 0x80:
+                    a -= 1
+                while b < len(raw) and raw[b] & 0xC0 == 0x80:
+                    b += 1
+            if merged and a <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        at, left = 0, []
+        for a, b in merged:
+            left.append(raw[at:a])
+            at = b
+        rows["n_bytes"].append(len(raw))
+        rows["removed"].append([{"start": a, "end": b} for a, b in merged])
+        rows["kept"].append(b"".join([*left, raw[at:]]))
+    kinds = {"n_bytes": pa.int64(), "removed": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), "kept": pa.binary()}
+    names = [n for n in batch.schema.names if n != spans]
+    return pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *[pa.array(rows[n], k) for n, k in kinds.items()]], [*names, *kinds])

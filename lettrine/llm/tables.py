@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,7 +40,55 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def slices(batches, names: list[str], chars: int = 1 << 20) -> Iterator[list[list]]:
+def given_back() -> None:
+    """Memory that a worker has freed goes back to the system: Spark keeps workers, and the next task may be another's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not the GNU library
+        pass
+
+
+def lean(run: Callable) -> Callable:
+    """The same function over batches; at its end the task's memory is given back."""
+
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            given_back()
+
+    return inner
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, or one like it, that no column of the table has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def slot_of(key: Column, slots: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(slots))
+
+
+def bitmap(keys: DataFrame, key: str, slots: int, given: bool = False) -> bytes:
+    """A bit for each slot that a key has, or is if ``given``: ``slots`` / 8 bytes, built by Spark in pieces of 4 KB."""
+    slot = (F.col(key) if given else slot_of(F.col(key), slots)) + 1
+    out = np.zeros(slots // 8, np.uint8)
+    for r in keys.groupBy(F.bitmap_bucket_number(slot).alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")).toLocalIterator():
+        piece = np.frombuffer(r["bits"], np.uint8)
+        out[(r["n"] - 1) * len(piece) :][: len(piece)] |= piece
+    return out.tobytes()
+
+
+def set_bits(bits: bytes, slots: np.ndarray) -> np.ndarray:
+    return (np.frombuffer(bits, np.uint8)[slots >> 3] >> (slots & 7).astype(np.uint8)) & 1 > 0
+
+
+def slices(batches, names: list[str], chars: int = 1 << 18) -> Iterator[list[list]]:
     """Columns of the Arrow batches as lists, in slices of about ``chars`` characters of the last named column.
 
     A slice holds at least one row, so a single very long text makes a slice

@@ -5,10 +5,12 @@ each later model also takes the probabilities of the earlier categories. For
 training these are out-of-fold: predicted by models that have not seen the row.
 
 Training takes a bounded sample of the labelled documents, about ``max_rows``
-by hash of doc_id, in one task. A document that holds more labels rows than one
-counts once, with the largest label. Null and empty texts have no words and get
-the base rate; without labelled rows all probabilities are 0 and nothing is
-flagged; documents' other columns are ignored.
+by hash of doc_id; of a category its model and those of the folds are fitted side
+by side, a task each. A document that holds more labels rows than one counts
+once, with the largest label. Null and empty texts have no words and get the base
+rate; without labelled rows all probabilities are 0 and nothing is flagged; an
+empty table gives no rows; repeated rows are scored each; very long texts have
+more features; ties play no part; documents' other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,8 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import slices
-from .words import Ranges, words
+from .tables import lean, settled, slices
+from .words import hashes, sorted_set, words
 
 BITS = 18
 FOLDS = 4
@@ -37,9 +39,9 @@ def features(texts: list[str | None]) -> list[np.ndarray]:
     found = []
     for kind, (replaced, most) in enumerate(((_LETTER, None), (_LETTER, 4), (_LETTER, 5), (None, None))):
         data, starts, ends, first = words(texts, replaced)
-        hashes = (Ranges(data).hashes(starts, ends if most is None else np.minimum(ends, starts + most), kind) >> np.uint64(64 - BITS)).astype(np.int32)
-        found.append([hashes[a:b] for a, b in zip(first, first[1:])])
-    return [np.unique(np.concatenate(all_)) for all_ in zip(*found)]
+        numbers = (hashes(data, starts, ends if most is None else np.minimum(ends, starts + most), 10 * (kind + 1)) >> np.uint64(64 - BITS)).astype(np.int32)
+        found.append([numbers[a:b] for a, b in zip(first, first[1:])])
+    return [sorted_set(np.concatenate(all_)) for all_ in zip(*found)]
 
 
 class Rows:
@@ -89,17 +91,24 @@ def predict(rows: Rows, extra: np.ndarray, model: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(rows.dot(model[:size]) + extra @ model[size:-1] + model[-1], -30, 30)))
 
 
+def fit_fold(rows: Rows, extra: np.ndarray, y: np.ndarray, fold: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The model of the rows outside fold ``k`` (of all rows if k < 0), and its predictions for that fold."""
+    out = fold == k
+    model = fit(rows.take(~out), extra[~out], y[~out])
+    return model, predict(rows.take(out), extra[out], model)
+
+
 def fit_chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
     """A model for each column of ``labels``; earlier probabilities come from folds that left the row out."""
     extra = np.zeros((len(labels), 0))
     models = []
-    for y in labels.T.astype(np.float64):
+    for c, y in enumerate(labels.T.astype(np.float64)):
         models.append(fit(rows, extra, y))
-        unseen = np.zeros(len(y))
-        for k in range(FOLDS):
-            out = fold == k
-            unseen[out] = predict(rows.take(out), extra[out], fit(rows.take(~out), extra[~out], y[~out]))
-        extra = np.column_stack((extra, unseen))
+        if c + 1 < labels.shape[1]:
+            unseen = np.zeros(len(y))
+            for k in range(FOLDS):
+                unseen[fold == k] = fit_fold(rows, extra, y, fold, k)[1]
+            extra = np.column_stack((extra, unseen))
     return models
 
 
@@ -117,14 +126,28 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], max_ro
             rows = [f for (texts,) in slices([batch], ["text"]) for f in features(texts)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.int32())), *[batch.column(f"y{i}") for i in range(len(categories))]], ["doc_id", "features", *[f"y{i}" for i in range(len(categories))]])
 
-    def train(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
-        models = fit_chain(Rows([np.asarray(f, np.int64) for f in pdf["features"]]), pdf[[f"y{i}" for i in range(len(categories))]].to_numpy(), (pdf["doc_id"].to_numpy() * 2654435761 >> 8) % FOLDS)
-        return pd.DataFrame({"k": range(len(models)), "model": [m.astype(np.float64).tobytes() for m in models]})
-
     ys = ", ".join(f"y{i} int" for i in range(len(categories)))
-    fitted = chosen.mapInArrow(read, f"doc_id long, features array<int>, {ys}").groupBy(F.lit(0).alias("all")).applyInPandas(train, "k int, model binary")
-    models = [bytes(r["model"]) for r in sorted(fitted.collect(), key=lambda r: r["k"])]
+    data = settled(chosen.mapInArrow(lean(read), f"doc_id long, features array<int>, {ys}"))
+    models: list[bytes] = []
+    unseen: list[dict[int, float]] = []  # of earlier categories, by document: at most about max_rows numbers each
+    for c in range(len(categories)):
+
+        def train(pdf: pd.DataFrame, c: int = c, earlier: tuple = tuple(unseen)) -> pd.DataFrame:
+            k = int(pdf["k"].iloc[0])
+            pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
+            ids = pdf["doc_id"].to_numpy()
+            extra = np.array([[p[i] for p in earlier] for i in ids.tolist()], np.float64).reshape(len(ids), len(earlier))
+            fold = (ids * 2654435761 >> 8) % FOLDS
+            model, found = fit_fold(Rows([np.asarray(f, np.int64) for f in pdf["features"]]), extra, pdf[f"y{c}"].to_numpy(np.float64), fold, k)
+            return pd.DataFrame({"k": [k], "model": [model.tobytes() if k < 0 else None], "ids": [ids[fold == k].tolist()], "p": [found.tolist()]})
+
+        folds = range(-1, FOLDS if c + 1 < len(categories) else 0)
+        dealt = data.select("*", F.explode(F.array(*map(F.lit, folds))).alias("k"))
+        fitted = dealt.groupBy("k").applyInPandas(train, "k int, model binary, ids array<long>, p array<double>").collect()
+        if not fitted:
+            return []
+        models += [bytes(r["model"]) for r in fitted if r["k"] < 0]
+        unseen.append({i: p for r in fitted for i, p in zip(r["ids"], r["p"])})
     return models
 
 
@@ -143,4 +166,4 @@ def score(docs: DataFrame, models: list[bytes], categories: dict[str, str]) -> D
                 extra = np.zeros((len(texts), len(names)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *[pa.array(extra[:, k]) for k in range(len(names))]], ["doc_id", *[f"p_{n}" for n in names]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, " + ", ".join(f"p_{n} double" for n in names))
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, " + ", ".join(f"p_{n} double" for n in names))

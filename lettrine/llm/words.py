@@ -1,13 +1,16 @@
-"""Hashes of byte ranges and words of many texts at once, with numpy."""
+"""Hashes of words and other byte ranges of many texts at once, with numpy."""
 
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 # Odd multipliers with well-spread bits.
 _ROOT = 0x9E3779B97F4A7C15
 _MIX = (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
 _U = np.uint64
+#: Ranges of at most so many lanes of 8 bytes are hashed side by side, longer ones each by the xxhash library.
+LANES = 8
 
 
 def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
@@ -19,36 +22,42 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-_BYTE = mixed(np.arange(1, 257, dtype=np.uint64))
-_BASE = 0xD1342543DE82EF95
-_powers = {}
+def eights(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from every place of the buffer on as one number; zeros follow the buffer. A view that reads at any place."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, at least ``n`` of each."""
-    if _powers.get("n", 0) < n:
-        n = max(n, 1 << 16)
-        with np.errstate(over="ignore"):
-            _powers["n"] = n
-            for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-                steps = np.full(n, base, np.uint64)
-                steps[0] = 1
-                _powers[name] = np.cumprod(steps, dtype=np.uint64)
-    return _powers["up"], _powers["down"]
+#: By how many bytes of a lane belong to its range: the bits to keep.
+_KEEP = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
 
-class Ranges:
-    """Hashes of any byte ranges of one buffer: polynomials in random byte values, from prefix sums, then mixed with the length."""
+def lane(view: np.ndarray, starts: np.ndarray, sizes: np.ndarray, k: int) -> np.ndarray:
+    """Bytes 8k to 8k + 7 of ranges that are longer than 8k, zeros past their ends."""
+    return view[starts + 8 * k] & _KEEP[np.minimum(sizes - 8 * k, 8)]
 
-    def __init__(self, data: np.ndarray):
-        up, self.down = _power_table(len(data) + 1)
-        with np.errstate(over="ignore"):
-            self.sums = np.zeros(len(data) + 1, np.uint64)
-            np.cumsum(_BYTE[data] * up[: len(data)], out=self.sums[1:])
 
-    def hashes(self, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mixed((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64) * _U(_MIX[1]), salt)
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0, view: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of byte ranges, from a state of two words that every lane of 8 bytes is mixed into."""
+    view = eights(data) if view is None else view
+    sizes = ends - starts
+    with np.errstate(over="ignore"):
+        a = mixed(sizes.astype(np.uint64), salt + 1)
+        b = mixed(a, salt + 2)
+        some = np.flatnonzero(sizes > 0)
+        for k in range(LANES):
+            if not len(some):
+                break
+            x = lane(view, starts[some], sizes[some], k)
+            a[some] = mixed(a[some] ^ x, 3)
+            b[some] = mixed(b[some] * _U(_ROOT) + x, 4)
+            some = some[sizes[some] > 8 * (k + 1)]
+        raw = data.data if data.flags.c_contiguous else data.tobytes()
+        for i in some.tolist():
+            h = xxhash.xxh3_128_intdigest(raw[starts[i] : ends[i]], salt)
+            a[i], b[i] = h & 0xFFFFFFFFFFFFFFFF, h >> 64
+        return mixed(a ^ mixed(b, 5), 6)
 
 
 def joined(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -75,6 +84,13 @@ def words(texts: list[str | None], bytes_as: np.ndarray | None = None) -> tuple[
     return data, starts, ends, np.searchsorted(starts, offsets)
 
 
+def sorted_set(x: np.ndarray) -> np.ndarray:
+    ordered = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return ordered[new]
+
+
 def distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct numbers, a place where each is found, and the place among them of every number."""
     order = np.argsort(x)

@@ -47,6 +47,23 @@ def test_chains_are_followed(spark):
     assert found == brute(docs, 4)
 
 
+def test_words_that_fool_polynomial_hashes(spark):
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    assert minhash.shingle_sets([word], 4)[0] != minhash.shingle_sets([other], 4)[0]
+    docs = [(1, word), (2, other), (3, "some common words " + word), (4, "some common words " + other), (5, "some common words " + word)]
+    found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=4).collect()}
+    assert found == brute(docs, 4)
+
+
+def test_a_doc_id_with_two_texts(spark):
+    docs = [(1, "one text of some words"), (1, "quite another text with others"), (1, "one text of some words"), (2, "one text of some words"), (3, None), (3, "")]
+    rows = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=4).collect()
+    assert sorted((r["doc_id"], r["component_id"], r["kept"], r["chosen"]) for r in rows) == [(1, 1, True, True)] * 3 + [(2, 1, False, False)] + [(3, 3, True, True)] * 2
+
+
 def test_odd_and_empty(spark, odd, empty):
     rows = minhash.near_duplicates(odd).collect()
     assert len(rows) == odd.count()

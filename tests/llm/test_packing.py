@@ -25,6 +25,26 @@ def test_pieces_encode_as_whole_texts(texts):
     assert [e.tolist() for e in encoder.encode([*texts, None])] == _REFERENCE([*texts, None])
 
 
+def test_long_pieces_that_fool_polynomial_hashes():
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate({97: 98, 98: 97})
+    other = word.translate({97: 98, 98: 97})
+    texts = [" " + word, " " + other, "x " + other[:1024], "x " + word[:1024], "a" * 64, "a" * 65, " " + "b" * 63, " " + "b" * 64]
+    for _ in range(2):
+        assert [e.tolist() for e in _ENCODER.encode(texts)] == _REFERENCE(texts)
+
+
+def test_a_hash_alone_decides_nothing(monkeypatch):
+    from lettrine.llm import tokens
+
+    monkeypatch.setattr(tokens, "hashes", lambda data, starts, ends, view=None: (ends - starts).astype(np.uint64) % np.uint64(3))
+    encoder = PieceEncoder(PATH, keep=50)
+    texts = ["one two six ten", "the cat sat", " one  six\n two", "é à one"]
+    for _ in range(2):
+        assert [e.tolist() for e in encoder.encode(texts)] == _REFERENCE(texts)
+
+
 _ENCODER, _REFERENCE = PieceEncoder(PATH, keep=50), reference()
 
 

@@ -56,13 +56,56 @@ def test_hot_groups_and_long_texts_give_the_same(spark, monkeypatch):
     texts = [word(100) + shared[: pick.integers(150, 261)] + word(100) for _ in range(60)] + ["z" * 900, word(4000) + shared, "é" * 300]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     wanted = {i: b for i, b in enumerate(brute([t.encode() for t in texts], 200))}
-    for hot, stretch in ((repeats.HOT, repeats.STRETCH), (0, 1000)):
-        monkeypatch.setattr(repeats, "HOT", hot)
+    for group, chunk, stretch in ((repeats.GROUP, repeats.CHUNK, repeats.STRETCH), (5000, 2000, 1000), (0, 0, 1000)):
+        monkeypatch.setattr(repeats, "GROUP", group)
+        monkeypatch.setattr(repeats, "CHUNK", chunk)
         monkeypatch.setattr(repeats, "STRETCH", stretch)
         rows = repeats.cut(docs).collect()
         assert {r["doc_id"]: (r["n_bytes"], sum(s["end"] - s["start"] for s in r["removed"]), len(r["removed"]), bytes(r["kept"])) for r in rows} == wanted
 
 
+def test_growing_anchors_deal_every_window_once():
+    parts, windows = [(0, bytes(range(52)), 22, 8)], []  # all windows hold the anchor
+    while parts:
+        at, own, place, width = parts.pop()
+        if width == 30:
+            assert len(own) == 30
+            windows.append(at)
+            continue
+        for _, start, cut_, p, wide, anchor in repeats.grown(own, place, width, 30):
+            assert cut_ == own[start : start + len(cut_)] and cut_[p : p + wide] == anchor and wide > width
+            assert p >= 0 and p + wide <= len(cut_) and len(cut_) >= 30
+            parts.append((at + start, cut_, p, wide))
+    assert sorted(windows) == list(range(23))
+
+
+def thue_morse(n):
+    """A word and its complement, whose polynomial hashes modulo powers of two are alike."""
+    word = "a"
+    while len(word) < n:
+        word += word.translate({97: 98, 98: 97})
+    return word, word.translate({97: 98, 98: 97})
+
+
+def test_words_that_fool_polynomial_hashes(spark):
+    for n in (128, 2048):
+        one, other = thue_morse(n)
+        texts = ["x " * 100 + one, "y " * 100 + other, one[: n // 2] + " z" * 120]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        wanted = {i: b for i, b in enumerate(brute([t.encode() for t in texts], 200))}
+        assert {r["doc_id"]: (r["n_bytes"], sum(s["end"] - s["start"] for s in r["removed"]), len(r["removed"]), bytes(r["kept"])) for r in repeats.cut(docs).collect()} == wanted
+
+
+def test_clashing_names_and_whole_characters(spark):
+    shared = "é" * 150
+    docs = spark.createDataFrame([(1, "a" + shared + "1", 7, "s", True), (2, "bb" + shared + "2", 8, "t", None)], "doc_id long, text string, key int, _spans string, removed boolean")
+    rows = {r["doc_id"]: r for r in repeats.cut(docs, whole_characters=True).collect()}
+    assert (rows[1]["key"], rows[1]["_spans"], rows[2]["key"]) == (7, "s", 8)
+    assert [bytes(rows[i]["kept"]).decode() for i in (1, 2)] == ["a1", "bb2"]
+    odd = spark.createDataFrame([(1, "é" + "x" * 250), (2, "è" + "x" * 250)], "doc_id long, text string")  # both end in the same run, after first bytes alike
+    assert all(bytes(r["kept"]).decode() in ("", "é", "è") for r in repeats.cut(odd, whole_characters=True).collect())
+
+
 def test_odd_and_empty(odd, empty):
     rows = repeats.cut(odd).collect()
     wanted = sorted((n, removed, kept) for n, removed, _, kept in brute([(r["text"] or "").encode() for r in odd.collect()], 200))
