@@ -1,8 +1,9 @@
 """Byte-level BPE by a monoid tree.
 
 Encoded stretches form a monoid. A long text, or a long match inside one, is
-encoded in halves down to leaves that the tiktoken library encodes; two neighbours are joined by encoding a window around their
-boundary anew and widening it until what lies outside provably stays:
+encoded in halves down to leaves that the tiktoken library encodes; two
+neighbours are joined by encoding a window around their boundary anew and
+widening it until what lies outside provably stays:
 
 * between matches of the pattern: a match depends only on where it starts and
   on the characters up to LOOK past its end, so only matches that end so near
@@ -12,8 +13,10 @@ boundary anew and widening it until what lies outside provably stays:
   bytes exactly if every two neighbours are the encoding of theirs, so it is
   enough to test the pairs on both edges of the window.
 
-Decoding concatenates up the same tree. Null texts count as empty; ids of any
-text decode to its UTF-8 bytes.
+Decoding takes all ids of a document and concatenates up such a tree of halves.
+Null texts count as empty and have no ids; ids of any text decode to its UTF-8
+bytes; repeated rows are encoded each; an empty table gives no rows; other
+columns stay out.
 """
 
 from __future__ import annotations
@@ -26,21 +29,26 @@ import regex
 import tiktoken
 from pyspark.sql import DataFrame
 
-from .tables import slices
+from .tables import lean, slices
 
 #: Characters past a match's end that its pattern may look at; two for contractions such as 've, one spare.
 LOOK = 3
+#: Ids that are decoded at once.
+LEAF_IDS = 1 << 12
+#: Longest match whose ids are kept.
+KEPT_CHARS = 64
 
 
 class Bpe:
-    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 1 << 15, leaf_bytes: int = 32, keep: int = 1_000_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, leaf_chars: int = 1 << 15, leaf_bytes: int = 32, keep: int = 200_000):
         self.ranks = ranks
         self.bytes = {i: b for b, i in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.leaf = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         self.leaf_chars, self.leaf_bytes, self.keep = leaf_chars, leaf_bytes, keep
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.known: dict[str, list[int]] = {}
+        self.decimal = {i: str(i) for i in self.bytes}
 
     # One match of the pattern
 
@@ -110,31 +118,27 @@ class Bpe:
         half = len(text) // 2
         return self.join_matches(self.matches(text[:half]), self.matches(text[half:]))
 
-    def _learn(self, piece: str) -> None:
-        ids = self.encode_piece(piece.encode())
-        self.known[piece] = (" ".join(map(str, ids)), len(ids), self.decode(ids))
-
     def encode(self, text: str) -> list[int]:
-        return [i for m in self.matches(text) for i in self.encode_piece(m.encode())]
+        """Ids of the text; each distinct match of moderate length is worked out about once."""
+        known = self.known
+        if len(known) > self.keep:
+            known.clear()
+        ids: list[int] = []
+        for m in self.matches(text):
+            if (own := known.get(m)) is None:
+                own = self.encode_piece(m.encode())
+                if len(m) <= KEPT_CHARS:
+                    known[m] = own
+            ids += own
+        return ids
 
     def decode(self, ids: list[int]) -> bytes:
-        if len(ids) <= 1 << 16:
+        if len(ids) <= LEAF_IDS:
             return b"".join([self.bytes[i] for i in ids])
         return self.decode(ids[: len(ids) // 2]) + self.decode(ids[len(ids) // 2 :])
 
-    def round_trip(self, text: str) -> tuple[str, int, bytes]:
-        """Ids in decimal joined by spaces, their number, and the bytes that they decode to; each distinct match is worked out once."""
-        found = self.matches(text)
-        if len(self.known) > self.keep:
-            self.known.clear()
-        known = self.known
-        for piece in {m for m in found if m not in known}:
-            self._learn(piece)
-        rows = [known[m] for m in found]
-        if not rows:
-            return "", 0, b""
-        ids, counts, raw = zip(*rows)
-        return " ".join(ids), sum(counts), b"".join(raw)
+    def listed(self, ids: list[int]) -> str:
+        return " ".join([self.decimal[i] for i in ids])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -158,10 +162,10 @@ def encode_documents(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = bpe_for(ranks, pattern)
         for ids, texts in slices(batches, ["doc_id", "text"]):
-            out = [bpe.round_trip(t or "") for t in texts]
+            out = [bpe.encode(t or "") for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[0] for o in out], pa.string()), pa.array([o[2] for o in out], pa.binary())],
+                [pa.array(ids, pa.int64()), pa.array(list(map(len, out)), pa.int64()), pa.array(list(map(bpe.listed, out)), pa.string()), pa.array(list(map(bpe.decode, out)), pa.binary())],
                 ["doc_id", "n_tokens", "ids", "decoded"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_tokens long, ids string, decoded binary")
