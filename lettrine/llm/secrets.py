@@ -11,7 +11,8 @@ upper-case hex and in base64, are labelled random, other words ordinary.
 
 Spans are in code points, end exclusive. Null texts count as empty and have no
 spans. Without ordinary words the models are flat and add no span. Repeated
-rows give repeated results; columns named like the added ones are replaced.
+rows give repeated results, ties play no part, an empty table gives no rows;
+columns named like the added ones are replaced, all others kept.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import fresh
+
 # The rules' patterns, the group that counts and its least length.
 RULES = {
     "assign": (r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 8),
@@ -29,7 +32,6 @@ RULES = {
 }
 #: Cheap tests of whether a rule can hold at all.
 HINTS = {"assign": r"(?i)pass|secret|token|api", "access": r"AKIA[A-Z0-9]{12}", "hex": r"[0-9a-f]{32}"}
-STRING = r"[A-Za-z0-9+/_=-]+"
 MIN_LENGTH = 20
 MIN_RATIO = 1.0
 MASK = "[SECRET]"
@@ -98,9 +100,11 @@ def scan(docs: DataFrame, ratios: list[float]) -> DataFrame:
     def mean_ratio(string: Column) -> Column:
         return F.aggregate(_pairs(string), F.lit(0.0), lambda acc, p: acc + F.get(ratio, p)) / (F.char_length(string) - 1)
 
-    base = docs.drop("base_spans", "spans").withColumn("base_spans", rule_spans(text)).withColumn("_strings", found(text, long_string, "random", len(RULES), 0, MIN_LENGTH))
-    secret = F.filter("_strings", lambda x: (mean_ratio(x["value"]) >= MIN_RATIO) & ~F.exists("base_spans", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
-    return base.withColumn("spans", F.array_sort(F.concat("base_spans", secret))).drop("_strings")
+    docs = docs.drop("base_spans", "spans")
+    strings = fresh(docs, "strings")
+    base = docs.withColumn("base_spans", rule_spans(text)).withColumn(strings, found(text, long_string, "random", len(RULES), 0, MIN_LENGTH))
+    secret = F.filter(strings, lambda x: (mean_ratio(x["value"]) >= MIN_RATIO) & ~F.exists("base_spans", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    return base.withColumn("spans", F.array_sort(F.concat("base_spans", secret))).drop(strings)
 
 
 def listed(spans: Column | str) -> Column:

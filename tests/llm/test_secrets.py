@@ -45,3 +45,9 @@ def test_odd_and_empty(odd, empty):
     rows = secrets.scan(odd, secrets.learn(odd)).select("doc_id", F.size("spans").alias("n"), "kept").collect()
     assert len(rows) == odd.count() and all(r["n"] == 0 and r["kept"] for r in rows)
     assert secrets.scan(empty, secrets.learn(empty)).count() == 0
+
+
+def test_no_column_is_lost(spark):
+    docs = spark.createDataFrame([(1, "password = abcdefgh12", "mine", 3)], "doc_id long, text string, strings string, spans int")
+    row = secrets.scan(docs, [0.0] * 16384).first()
+    assert row["strings"] == "mine" and len(row["spans"]) == 1
