@@ -7,8 +7,8 @@ nearest pivots, the nearest being its own. Every shard builds a graph: candidate
 are the nearest and some random nodes, robust pruning keeps those that no kept
 one is nearer to. Adjacency lists of a node from all its shards are united. A
 second pass over the shards searches the united graph for all nodes at once,
-best first from the medoid and then expanding everything in range, and verifies
-what it finds in double precision; shards give spanning links of their components.
+best first from the medoid along edges and then expanding everything in range,
+with cosines in double precision; shards give spanning links of their components.
 
 Partners may share no shard, so links are counted by a closing comparison without
 loss: nodes are dealt once into cells (by nearest of few pivots) and these into
@@ -24,8 +24,8 @@ a label, link with nothing; vectors of different lengths don't link. Rows
 without vec_id count for nothing and get a null component. Repeated rows are
 linked copies; an empty table gives no rows; extra columns are ignored.
 
-Pivots are sent to all tasks: about MOST_PIVOTS of them at most, and one for each
-label and length; with more nodes than they serve at SHARD the shards grow.
+Pivots are sent to all tasks, about MOST_PIVOTS of them at most: the index is
+fitted on that bounded sample. Cells of more than MOST nodes become several shards.
 """
 
 from __future__ import annotations
@@ -39,9 +39,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .tables import settled
+from .tables import lean, settled
 
 SHARD = 400
+#: Nodes of a shard at most, on average, after large ones are dealt.
+MOST = 1000
+#: Cosines worked out at once.
+PAIRS = 1 << 15
 BLOCK = 4096
 ROWS = 256
 SLACK = 1e-6
@@ -92,26 +96,37 @@ def robust_graph(x: np.ndarray, seed: int = 1) -> np.ndarray:
 
 
 def range_search(x: np.ndarray, graph: np.ndarray, least: float) -> np.ndarray:
-    """Rows x rows: which rows the search from the medoid finds for each row with a cosine of at least ``least``."""
+    """Rows x rows: which rows the search from the medoid finds for each row with a cosine of at least ``least``.
+
+    All rows search at once, and a cosine is worked out only where a search arrives over an edge.
+    """
     n = len(x)
-    cosine = x @ x.T
     edges = np.zeros((n, n), np.float32)
     rows, _ = np.nonzero(graph >= 0)
     edges[rows, graph[graph >= 0]] = 1
     edges = np.maximum(edges, edges.T)
-    medoid = int((x @ x.mean(0)).argmax())
-    seen, done = np.zeros((n, n), bool), np.zeros((n, n), bool)
-    seen[:, medoid] = True
+    cosine, done = np.full((n, n), -np.inf), np.zeros((n, n), bool)
+
+    def arrive(new: np.ndarray, asking: np.ndarray) -> None:
+        i, j = np.nonzero(new & np.isneginf(cosine[asking]))
+        i = asking[i]
+        for at in range(0, len(i), PAIRS):
+            p, q = i[at : at + PAIRS], j[at : at + PAIRS]
+            cosine[p, q] = np.einsum("ij,ij->i", x[p], x[q])
+
     every = np.arange(n)
+    first = np.zeros((n, n), bool)
+    first[:, int((x @ x.mean(0)).argmax())] = True
+    arrive(first, every)
     for _ in range(min(BEAM, n)):
-        best = np.where(seen & ~done, cosine, -np.inf).argmax(1)
+        best = np.where(done, -np.inf, cosine).argmax(1)
         done[every, best] = True
-        seen |= edges[best] > 0
-    while (fresh := seen & (cosine >= least) & ~done).any():
+        arrive(edges[best] > 0, every)
+    while (fresh := (cosine >= least) & ~done).any():
         done |= fresh
         some = np.flatnonzero(fresh.any(1))
-        seen[some] |= (fresh[some].astype(np.float32) @ edges) > 0
-    found = seen & (cosine >= least)
+        arrive((fresh[some].astype(np.float32) @ edges) > 0, some)
+    found = cosine >= least
     np.fill_diagonal(found, False)
     return found
 
@@ -134,37 +149,40 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def sharded(nodes: DataFrame) -> DataFrame:
-    """Nodes (node, label, embedding, times) with shard and home (it is the node's own), one row for each shard of a node."""
-    group = F.struct("label", F.size("embedding").alias("dim"))
-    counts = nodes.groupBy(group.alias("group")).agg(F.count("*").alias("n"))
+    """Nodes (node, label, embedding, times) with shard, one row for each shard of a node.
+
+    A label (with one length of vectors) of at most SHARD nodes is a shard of its
+    own and has no pivot. A cell of more than MOST nodes is dealt to several
+    shards by hash.
+    """
+    nodes = nodes.withColumn("dim", F.size("embedding"))
+    counts = settled(nodes.groupBy("label", "dim").agg(F.count("*").alias("n")))
+    large = counts.where(F.col("n") > SHARD).select("label", "dim", F.lit(True).alias("large"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     size = max(SHARD, -(-total // MOST_PIVOTS))
     chance = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    marked = nodes.withColumn("group", group)
-    first = marked.groupBy("group").agg(F.min_by("embedding", F.xxhash64("node", F.lit("first"))).alias("embedding"))  # one for groups that chance leaves without
-    pivots = marked.where(chance * size < 1).select("group", "embedding").union(first.select("group", "embedding")).collect()
-    by: dict[tuple, tuple[int, np.ndarray]] = {}
     grouped: dict[tuple, list] = {}
-    for r in pivots:
-        grouped.setdefault(tuple(r["group"]), []).append(r["embedding"])
-    base = 0
-    for key, rows in sorted(grouped.items()):
-        by[key] = (base, unit(rows))
-        base += len(rows)
+    for r in nodes.where(chance * size < 1).join(large, ["label", "dim"], "left_semi").select("label", "dim", "embedding").collect():
+        grouped.setdefault((r["label"], r["dim"]), []).append(r["embedding"])
+    centres = {key: unit(rows) for key, rows in grouped.items()}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for (label, dim), part in pdf.groupby([pdf["label"], pdf["embedding"].map(len)]):
-                start, centres = by[label, dim]
-                k = min(OVERLAP, len(centres))
-                scores = unit(part["embedding"].tolist()) @ centres.T
-                near = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+            for key, part in pdf.groupby(["label", "dim"]):
+                if key not in centres:
+                    yield part.assign(cell=0)
+                    continue
+                k = min(OVERLAP, len(centres[key]))
+                near = np.argsort(-(unit(part["embedding"].tolist()) @ centres[key].T), axis=1, kind="stable")[:, :k]
                 out = part.loc[part.index.repeat(k)].reset_index(drop=True)
-                out["shard"] = (start + near).ravel().astype(np.int64)
-                out["home"] = np.tile(np.arange(k) == 0, len(part))
+                out["cell"] = near.ravel().astype(np.int64)
                 yield out
 
-    return nodes.mapInPandas(run, f"node long, label {nodes.schema['label'].dataType.simpleString()}, embedding array<{nodes.schema['embedding'].dataType.elementType.simpleString()}>, times long, shard long, home boolean")
+    label, kind = nodes.schema["label"].dataType.simpleString(), nodes.schema["embedding"].dataType.elementType.simpleString()
+    dealt = settled(nodes.select("node", "label", "embedding", "times", "dim").mapInPandas(lean(run), f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long"))
+    full = dealt.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")).where(F.col("n") > MOST).withColumn("parts", F.ceil(F.col("n") / MOST)).drop("n")
+    part = F.pmod(F.xxhash64("node", F.lit("shard")), F.coalesce("parts", F.lit(1)))
+    return dealt.join(full, ["label", "dim", "cell"], "left").select("node", "label", "embedding", "times", F.struct("label", "dim", "cell", part.alias("part")).alias("shard"))
 
 
 def blocked(nodes: DataFrame) -> DataFrame:
@@ -192,7 +210,7 @@ def blocked(nodes: DataFrame) -> DataFrame:
 
     label = nodes.schema["label"].dataType.simpleString()
     dealt = nodes.select("node", "label", "embedding", "times", "dim")
-    dealt = settled(dealt.mapInPandas(deal, f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long")) if centres else dealt.withColumn("cell", F.lit(0).cast("long"))
+    dealt = settled(dealt.mapInPandas(lean(deal), f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long")) if centres else dealt.withColumn("cell", F.lit(0).cast("long"))
     full = dealt.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).withColumn("parts", F.ceil(F.col("n") / BLOCK)).drop("n")
     dealt = dealt.join(F.broadcast(full), ["label", "dim", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.coalesce("parts", F.lit(1))))
 
