@@ -13,8 +13,8 @@ link AS (SELECT a, b FROM shared JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.do
 node AS (SELECT doc_id AS id FROM documents), {_REACH}
 SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept FROM w LEFT JOIN n ON w.doc_id = n.doc_id JOIN root ON root.id = w.doc_id"""
 
-OP9 = f"""WITH RECURSIVE good AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL),
-link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good AS x JOIN good AS y ON x.label = y.label AND x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.93),
+OP9 = f"""WITH RECURSIVE good AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT x.vec_id AS a, y.vec_id AS b FROM good AS x JOIN good AS y ON x.label = y.label AND x.vec_id <> y.vec_id AND len(x.e) = len(y.e) AND list_cosine_similarity(x.e, y.e) >= 0.93),
 node AS (SELECT vec_id AS id FROM embeddings), {_REACH}
 SELECT vec_id, CAST((SELECT count(*) FROM link WHERE link.a = vec_id) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept FROM embeddings JOIN root ON root.id = vec_id"""
 
