@@ -10,7 +10,8 @@ are rejected.
 Null texts and texts without a letter are ``und`` with score 0 and rejected.
 With one learned language every other text takes it with score 1, with none
 all are ``und``. Ties go to the language first in order. Repeated rows give
-repeated results; other columns are ignored.
+repeated results; an empty table gives no rows and no dictionaries; other columns
+are kept.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import slices
+from .tables import lean, slices
 
 STRETCH = 2048
 UNKNOWN = "und"
@@ -88,4 +89,4 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "lang_pred", "score", "accepted"])
 
-    return docs.mapInArrow(run, f"{fields}, lang_pred string, score double, accepted boolean")
+    return docs.mapInArrow(lean(run), f"{fields}, lang_pred string, score double, accepted boolean")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import settled, slices
+from .tables import lean, settled, slices
 
 LN10 = math.log(10)
 
@@ -100,7 +100,7 @@ def count_pieces(words: DataFrame, vocabulary: str) -> dict[int, int]:
                     counts[i] += n
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array(list(counts.values()), pa.int64())], ["piece", "n"])
 
-    rows = words.select("word", "n").mapInArrow(run, "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+    rows = words.select("word", "n").mapInArrow(lean(run), "piece int, n long").groupBy("piece").agg(F.sum("n").alias("n")).collect()
     return {r["piece"]: r["n"] for r in rows}
 
 
@@ -141,7 +141,7 @@ def score_documents(docs: DataFrame, vocabulary: str, train: str = "train", bloc
             words.update(split(text))
         return pa.table({"block": pa.array([table.column("block")[0].as_py()] * len(words), pa.int64()), "word": pa.array(list(words), pa.binary())})
 
-    learned = docs.select(F.col(train).alias("train"), "text").mapInArrow(count, "word binary, n long")
+    learned = docs.select(F.col(train).alias("train"), "text").mapInArrow(lean(count), "word binary, n long")
     counted = settled(learned.groupBy("word").agg(F.sum("n").alias("n")))
     asked = blocked.groupBy("block").applyInArrow(ask, "block long, word binary")
     known = counted.where("n > 0")
@@ -167,7 +167,7 @@ def score_documents(docs: DataFrame, vocabulary: str, train: str = "train", bloc
                 scores.append(score / LN10)
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(scores, pa.float64())], ["word", "n", "p"])
 
-    weighed = counted.mapInArrow(weigh, "word binary, n long, p double")
+    weighed = counted.mapInArrow(lean(weigh), "word binary, n long, p double")
     answered = asked.join(weighed, "word")
 
     def add(texts: pa.Table, answers: pa.Table) -> pa.Table:

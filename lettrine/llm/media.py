@@ -2,7 +2,8 @@
 
 Chunks carry CRC-32, which reading tests; the image data is one zlib stream
 over row-filtered bytes, undone with numpy. A null text is stored like an empty
-one, as one row of padding; equal texts give equal media; other columns stay out.
+one, as one row of padding; equal texts give equal media; a long text is one tall image;
+repeated rows are stored each; an empty table gives no rows; other columns stay out.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .tables import slices
+from .tables import lean, slices
 
 WIDTH = 576
 PAD = 255
@@ -150,7 +151,7 @@ def store_texts(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                 media.append(write_png(np.frombuffer(raw, np.uint8).reshape(-1, width)))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], ["doc_id", "n_bytes", "media"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_bytes long, media binary")
 
 
 def read_media(media: DataFrame) -> DataFrame:
@@ -164,4 +165,4 @@ def read_media(media: DataFrame) -> DataFrame:
                 ["doc_id", "n_bytes", "media", "payload", "feature"],
             )
 
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, media binary, payload binary, feature string")
+    return media.select("doc_id", "n_bytes", "media").mapInArrow(lean(run), "doc_id long, n_bytes long, media binary, payload binary, feature string")

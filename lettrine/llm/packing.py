@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import slices
+from .tables import lean, slices
 
 TIERS = (1024, 512, 256, 128)
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, tier int, step_group long"
@@ -182,7 +182,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, tiers: tuple[int, ...] = TIE
         full, left = pack_block(items, tiers)
         yield from rows(full + split_tail(left))
 
-    return docs.select("doc_id", "text").mapInArrow(run, SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(lean(run), SCHEMA)
 
 
 def ids_crc32(ids: Column | str) -> Column:

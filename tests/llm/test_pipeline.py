@@ -61,4 +61,6 @@ def test_odd_and_empty(spark, odd, empty):
         assert none.count() == 0
         if name == "near_dedup":
             assert max(Counter(r["doc_id"] for r in docs.collect() if r["doc_id"] is not None).values()) == 1
+            twice = spark.createDataFrame([(1, "one text of some words"), (1, "quite another text with others"), (1, "one text of some words"), (2, "one text of some words")], "doc_id long, text string").selectExpr("*", "'en' as lang", "'s' as source", "0L as n_chars")
+            assert sorted((r["doc_id"], r["text"]) for r in stage(spark, twice, "").collect()) == [(1, "one text of some words"), (1, "quite another text with others")]
     assert docs.count() > 0
