@@ -23,22 +23,24 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, that with the smallest doc_id; of repeated rows one."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    alone = docs.where("doc_id is null")
-    return docs.where("doc_id is not null").join(kept, "doc_id").dropDuplicates(["doc_id"]).select(COLUMNS).union(alone.select(COLUMNS))
+    """One document of each group of near-duplicates, that with the smallest doc_id; of repeated rows one.
+
+    Rows of one doc_id with texts that aren't near each other all stay, and so do documents without doc_id.
+    """
+    kept = minhash.near_duplicates(docs).where("chosen and doc_id is not null").select("doc_id", "row").distinct()
+    known = docs.where("doc_id is not null").select(*COLUMNS, F.xxhash64("doc_id", "text").alias("row"))
+    return known.join(kept, ["doc_id", "row"]).dropDuplicates(["doc_id", "row"]).select(COLUMNS).union(docs.where("doc_id is null").select(COLUMNS))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 200 bytes and more that occur twice are taken out of the texts; characters cut in half go whole."""
-    cut = repeats.cut(docs.select(COLUMNS))
-    text = F.when(F.size("removed") > 0, F.try_validate_utf8(F.col("kept").cast("string"))).otherwise(F.col("text"))
-    whole = F.when(F.size("removed") > 0, F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "�", ""))).otherwise(F.col("text"))
-    return cut.withColumn("text", whole).withColumn("n_chars", F.when(F.size("removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
+    hit = F.size("removed") > 0
+    cut = repeats.cut(docs.select(COLUMNS), whole_characters=True).withColumn("text", F.when(hit, F.col("kept").cast("string")).otherwise(F.col("text")))
+    return cut.withColumn("n_chars", F.when(hit, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are masked; the documents stay."""
+    """Secrets are masked; the documents stay. A null text has none and stays null; repeated rows are masked alike."""
     scanned = secrets.scan(docs, secrets.learn(docs))
     hit = F.size("spans") > 0
     text = F.when(hit, secrets.masked("text", "spans")).otherwise(F.col("text"))
@@ -46,7 +48,7 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens, with their ids, in sequences and step groups."""
+    """Pieces of at most 1024 tokens, with their ids, in sequences and step groups. A null text is an end alone; repeated rows are packed each."""
     return packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
