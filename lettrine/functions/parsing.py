@@ -7,7 +7,8 @@ from itertools import product
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SPACE = r"[ \t\n\x0B\f\r]"
+#: White space of Unicode, as readers and people type it: no-break spaces part thousands.
+SPACE = r"[ \t\n\x0B\f\r\x1C-\x1F\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 AMOUNT = "decimal(21,3)"
 
 # Characters that readers confuse, and what they stand for.
@@ -18,7 +19,7 @@ PART_LIKE, PART_DIGITS = "OolISZBG", "00115286"
 ACCENTED, PLAIN = "éèêàâôûî", "eeeaaoui"
 YEARS = (2000, 2035)
 # Words of a company's legal form.
-LEGAL_FORMS = "SARL SA SUARL STE SNC SC SEP GIE ETS CIE LLC SPA NIF MF SOCIETE ENTREPRISE GROUPE CORP COMPANY".split()
+LEGAL_FORMS = r"SARL SA SUARL STE SNC SC SEP GIE ETS CIE LLC SPA NIF MF SOCIETE ENTREPRISE GROUPE CORP CO\. COMPANY".split()
 
 
 def let(value: Column, use) -> Column:
@@ -38,6 +39,10 @@ def collapse_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, f"{SPACE}+", " "))
 
 
+def stripped(text: Column) -> Column:
+    return F.regexp_replace(text, rf"^{SPACE}+|{SPACE}+$", "")
+
+
 def whitelist(text: Column, allowed: Column) -> Column:
     """Collapsed, and for fields of digits or amounts rid of other characters."""
     plain = collapse_spaces(text)
@@ -66,7 +71,7 @@ def rib_key(number: Column) -> Column:
 
 def date(text: Column) -> Column:
     """Three parts, day or year first; years of two digits are of this century."""
-    parts = F.transform(F.filter(F.split(text, r"[ \t\n\x0B\f\r/.-]+"), lambda p: p != ""), lambda p: F.translate(p, PART_LIKE, PART_DIGITS))
+    parts = F.transform(F.filter(F.split(text, rf"(?:{SPACE}|[/.-])+"), lambda p: p != ""), lambda p: F.translate(p, PART_LIKE, PART_DIGITS))
     return F.when(text.isNotNull(), let(let(parts, _date_numbers), _date_value))
 
 
@@ -88,7 +93,7 @@ def _date_value(d: Column) -> Column:
 
 
 def clean_amount(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.trim(text), "#", ""), r"(?i)\b(DT|TND)\b", ""))
+    return stripped(F.regexp_replace(F.regexp_replace(stripped(text), "#", ""), r"(?iU)\b(DT|TND)\b", ""))
 
 
 def resolve_separators(text: Column) -> Column:
@@ -97,10 +102,11 @@ def resolve_separators(text: Column) -> Column:
 
 
 def _separated(compact: Column) -> Column:
-    split = r"^(.*)[.,]([0-9]{3})$"
-    whole = F.regexp_replace(F.regexp_extract(compact, split, 1), "[.,]", "")
+    split = rf"(?s)^(.*)[.,]([0-9]{{3}}){SPACE}*$"
+    marks = rf"[.,]|{SPACE}"
+    whole = F.regexp_replace(F.regexp_extract(compact, split, 1), marks, "")
     decimal = F.concat(whole, F.lit("."), F.regexp_extract(compact, split, 2))
-    return F.nullif(F.when(F.regexp_like(compact, F.lit(split)), decimal).otherwise(F.regexp_replace(compact, "[.,]", "")), F.lit(""))
+    return F.nullif(F.when(F.regexp_like(compact, F.lit(split)), decimal).otherwise(F.regexp_replace(compact, marks, "")), F.lit(""))
 
 
 def amount(text: Column) -> Column:
@@ -136,6 +142,7 @@ def _lexicon() -> dict[str, int]:
     return words | {w: -100 for w in ("cent", "cents")} | {w: -1000 for w in ("mille", "milles")} | {w: -1000000 for w in ("million", "millions")}
 
 
+# Fixed values, spelled by the rules above: what each word counts.
 LEXICON = _lexicon()
 # Words that carry no number, and the units of currency.
 NOISE = "et de le la les des du au aux virgule point".split()
@@ -148,7 +155,7 @@ APART = r"(^| )(soixante)  (dix)( |$)|(^| )(dix)  (sept|huit|neuf)( |$)|(^| )(qu
 def tokens(text: Column) -> Column:
     """Lower-case words without accents; hyphens stay inside words."""
     folded = F.translate(F.lower(text), ACCENTED, PLAIN)
-    return F.filter(F.split(folded, r"[ \t\n\x0B\f\r,;]+"), lambda t: t != "")
+    return F.filter(F.split(folded, rf"(?:{SPACE}|[,;])+"), lambda t: t != "")
 
 
 def words_to_int(words: Column) -> Column:

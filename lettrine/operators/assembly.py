@@ -34,13 +34,11 @@ def amount_value() -> Column:
     return F.when(a.isNotNull(), F.struct(a["value"].alias("value"), F.coalesce("t09", F.lit("")).alias("in_words"), F.lit("DT").alias("currency"), F.col("words_match").alias("words_match"), F.col("s_amount").cast("double").alias("confidence"), (~_ok(a)).alias("needs_review")))
 
 
-def assembled(documents: DataFrame, sources: DataFrame | None = None, stamps: DataFrame | None = None, explanations: DataFrame | None = None) -> DataFrame:
-    """One nested record a document. Readings' sources, stamps and explanations are optional tables by doc_id."""
+def assembled(documents: DataFrame, stamps: DataFrame | None = None, explanations: DataFrame | None = None) -> DataFrame:
+    """One nested record a document. Stamps and explanations are optional tables by doc_id."""
     c = F.col
     docs = documents
-    if sources is not None:
-        docs = docs.join(sources.groupBy("doc_id").agg(F.bool_or(c("source") == "qwen").alias("second_used")), "doc_id", "left")
-    else:
+    if "second_used" not in docs.columns:
         docs = docs.withColumn("second_used", F.lit(False))
     docs = docs.join(stamps, "doc_id", "left") if stamps is not None else docs.withColumn("n_stamps", F.lit(0).cast("long"))
     docs = docs.join(explanations, "doc_id", "left") if explanations is not None else docs.withColumn("explanation", F.lit(None).cast("string"))

@@ -60,11 +60,11 @@ def alignment(pages: DataFrame) -> DataFrame:
     return pages.select("doc_id", method.alias("method"), F.round(confidence, 6).alias("confidence"), (confidence < 0.7).alias("low"))
 
 
-def border_candidates(stamps: DataFrame, pages: DataFrame) -> DataFrame:
-    """The largest candidate of at least 30 percent of the page, if it is over 70 percent wide and high."""
-    c = stamps.join(pages.select("doc_id", "w", "h"), "doc_id").withColumn("cw", F.col("rx") * 8).withColumn("ch", F.col("ry") * 6).withColumn("size", F.col("cw") * F.col("ch"))
-    good = c.where((F.col("size") * 10 >= F.col("w") * F.col("h") * 3) & (F.col("cw") * 10 > F.col("w") * 7) & (F.col("ch") * 10 > F.col("h") * 7))
-    return good.groupBy("doc_id").agg(F.max(F.struct("size", (-F.col("seq")).alias("s"), "cw", "ch")).alias("b")).select("doc_id", F.col("b.cw").alias("border_w"), F.col("b.ch").alias("border_h"))
+def border_candidates(contours: DataFrame, pages: DataFrame) -> DataFrame:
+    """The largest contour (doc_id, seq, area and its box's cw, ch) of at least 30 percent of the page that is over 70 percent wide and high."""
+    c = contours.join(pages.select("doc_id", "w", "h"), "doc_id")
+    good = c.where((F.col("area") * 10 >= F.col("w") * F.col("h") * 3) & (F.col("cw") * 10 > F.col("w") * 7) & (F.col("ch") * 10 > F.col("h") * 7))
+    return good.groupBy("doc_id").agg(F.max(F.struct("area", (-F.col("seq")).alias("s"), "cw", "ch")).alias("b")).select("doc_id", F.col("b.cw").alias("border_w"), F.col("b.ch").alias("border_h"))
 
 
 def score_stamps(candidates: DataFrame) -> DataFrame:

@@ -60,74 +60,100 @@ def diverges(first: Column, second: Column, threshold: float = DIVERGENCE) -> Co
     return (total > 0) & (digits_changed(first, second) > threshold * total)
 
 
+def sides(readings: DataFrame, regions: DataFrame) -> DataFrame:
+    """One row a region of a document: its route and the readings ``one``, ``two`` and ``symbol`` of the two engines and the decoder, NULL where there is none.
+
+    Readings are dealt by document once, which serves what follows by document
+    too. Of repeated readings by one engine the last in order counts.
+    """
+    whole = F.struct("text", "confidence", "available")
+    of = lambda engine: F.max(F.when(F.col("engine") == engine, whole))
+    rows = readings.repartition("doc_id").groupBy("doc_id", "roi_id").agg(of("tesseract").alias("one"), of("qwen").alias("two"), of("pyzbar").alias("symbol"))
+    return routed(rows, regions)
+
+
 def pairs(readings: DataFrame, regions: DataFrame) -> DataFrame:
     """First and second reading side by side, for the regions that take both."""
-    both = routed(readings, regions).where("route = 'tesseract_then_qwen'")
-    first = both.where("engine = 'tesseract'").select("doc_id", "roi_id", F.col("text").alias("first"), F.col("confidence").alias("c1"))
-    second = both.where("engine = 'qwen'").select("doc_id", "roi_id", F.col("text").alias("second"), F.col("available").alias("available"))
-    return first.join(second, ["doc_id", "roi_id"], "left")
+    both = sides(readings, regions).where("route = 'tesseract_then_qwen' and one is not null")
+    return both.select("doc_id", "roi_id", F.col("one.text").alias("first"), F.col("one.confidence").alias("c1"), F.col("two.text").alias("second"), F.col("two.available").alias("available"))
 
 
-def merged(side_by_side: DataFrame) -> DataFrame:
+def _row(text: Column, score: Column, source: Column | str, flags: Column | None = None) -> Column:
+    none = F.array().cast("array<string>")
+    return F.struct(text.alias("text"), score.cast(SCORE).alias("score"), (F.lit(source) if isinstance(source, str) else source).alias("source"), (none if flags is None else F.coalesce(flags, none)).alias("flags"))
+
+
+def merged_reading(first: Column, c1_: Column, second_: Column, available: Column) -> Column:
     """One reading of two: text, score, source and flags.
 
     In this order: sure enough, no second reading, question marks filled,
     second reading diverges, both agree, they disagree.
     """
-    c1 = F.col("c1").cast(SCORE)
-    first, second = F.col("first"), F.when(F.col("available"), F.col("second")).otherwise("")
+    c1 = c1_.cast(SCORE)
+    known = F.coalesce(available, F.lit(False))
+    second = F.when(known, second_).otherwise("")
     filled = F.when(first != "", fill_unread(first, second)).otherwise(second)
     left = F.length(filled) - F.length(F.replace(filled, F.lit("?"), F.lit("")))
     partial = F.greatest(F.lit("0.20").cast(SCORE), (F.lit("0.70").cast(SCORE) - left * F.lit("0.05").cast("decimal(4,2)")).cast(SCORE))
-    no_flags = F.array().cast("array<string>")
-
-    def row(text: Column, score: Column, source: str, flags: Column = no_flags) -> Column:
-        return F.struct(text.alias("text"), score.cast(SCORE).alias("score"), F.lit(source).alias("source"), flags.alias("flags"))
-
     weight = lambda x: F.lit(x).cast("decimal(4,2)")
-    outcome = (
-        F.when(passes_gate(F.col("c1")), row(first, c1, "tesseract"))
-        .when(~F.coalesce("available", F.lit(False)), row(first, c1, "tesseract", F.array(F.lit("qwen_unavailable"))))
-        .when(F.contains(second, F.lit("?")), row(filled, partial, "merged", F.when(left > 0, F.array(F.format_string("partial_unreadable_%d_chars", left))).otherwise(no_flags)))
-        .when(diverges(first, second), row(first, c1 * weight("0.85"), "tesseract", F.array(F.lit("qwen_rejected_divergence"))))
-        .when(texts_agree(first, second), row(first, F.least(F.lit(1).cast(SCORE), (weight("0.70") + weight("0.30") * c1).cast(SCORE)), "tesseract"))
-        .otherwise(row(second, F.least(weight("0.75").cast(SCORE), (weight("0.27") + weight("0.30") * c1).cast(SCORE)), "qwen", F.array(F.lit("tess_qwen_disagree"))))
+    return (
+        F.when(passes_gate(c1_), _row(first, c1, "tesseract"))
+        .when(~known, _row(first, c1, "tesseract", F.array(F.lit("qwen_unavailable"))))
+        .when(F.contains(second, F.lit("?")), _row(filled, partial, "merged", F.when(left > 0, F.array(F.format_string("partial_unreadable_%d_chars", left)))))
+        .when(diverges(first, second), _row(first, c1 * weight("0.85"), "tesseract", F.array(F.lit("qwen_rejected_divergence"))))
+        .when(texts_agree(first, second), _row(first, F.least(F.lit(1).cast(SCORE), (weight("0.70") + weight("0.30") * c1).cast(SCORE)), "tesseract"))
+        .otherwise(_row(second, F.least(weight("0.75").cast(SCORE), (weight("0.27") + weight("0.30") * c1).cast(SCORE)), "qwen", F.array(F.lit("tess_qwen_disagree"))))
     )
-    return side_by_side.select("doc_id", "roi_id", "first", "second", "c1", outcome.alias("m")).select("doc_id", "roi_id", "m.text", "m.score", "m.source", "m.flags", digits_changed(F.col("first"), F.coalesce("second", F.lit(""))).alias("changed"), F.length(digits(F.col("first"))).alias("total"))
+
+
+def merged(side_by_side: DataFrame) -> DataFrame:
+    """The merged readings of pairs, with the digits that the second reading changes and the first one's."""
+    c = F.col
+    outcome = merged_reading(c("first"), c("c1"), c("second"), c("available"))
+    return side_by_side.select("doc_id", "roi_id", "first", "second", outcome.alias("m")).select("doc_id", "roi_id", "m.text", "m.score", "m.source", "m.flags", digits_changed(c("first"), F.coalesce("second", F.lit(""))).alias("changed"), F.length(digits(c("first"))).alias("total"))
+
+
+def single_reading() -> Column:
+    """Of ``sides``: the reading of a region that takes one engine, NULL for others."""
+    one, two = F.col("one"), F.col("two")
+    first = _row(one["text"], one["confidence"], "tesseract", F.when(~one["available"], F.array(F.lit("tesseract_unavailable"))))
+    there = F.coalesce(two["available"], F.lit(False))
+    second = _row(F.when(there, two["text"]).otherwise(""), F.when(there, F.lit("0.70")).otherwise("0"), F.when(there, "qwen").otherwise("none"), F.when(~there, F.array(F.lit("qwen_unavailable"))))
+    return F.when((F.col("route") == "tesseract") & one.isNotNull(), first).when((F.col("route") == "qwen") & two.isNotNull(), second)
+
+
+def barcode_reading() -> Column:
+    """Of ``sides``: the decoded text with full score, else the digits of the read text with its own, else nothing."""
+    decoded, read = F.coalesce(F.col("symbol")["text"], F.lit("")), F.coalesce(digits(F.col("one")["text"]), F.lit(""))
+    score = F.when(decoded != "", F.lit(1.0)).when(read != "", F.col("one")["confidence"]).otherwise(0.0)
+    source = F.when(decoded != "", "barcode_pyzbar").when(read != "", "barcode_tesseract_ocrb").otherwise("barcode_none")
+    row = _row(F.when(decoded != "", decoded).otherwise(read), score, source, F.when((decoded == "") & (read == ""), F.array(F.lit("barcode_unreadable"))))
+    return F.when((F.col("route") == "barcode_decoder") & (F.col("one").isNotNull() | F.col("symbol").isNotNull()), row)
+
+
+def _flat(rows: DataFrame, reading: Column) -> DataFrame:
+    """One row where the reading isn't NULL; a generator, so that it is worked out once."""
+    return rows.select("doc_id", "roi_id", F.inline(F.array_compact(F.array(reading))))
 
 
 def singles(readings: DataFrame, regions: DataFrame) -> DataFrame:
-    """Readings of regions that take one engine."""
-    r = routed(readings, regions)
-    none = F.array().cast("array<string>")
-    first = r.where("route = 'tesseract' and engine = 'tesseract'").select("doc_id", "roi_id", "text", F.col("confidence").cast(SCORE).alias("score"), F.lit("tesseract").alias("source"), F.when(F.col("available"), none).otherwise(F.array(F.lit("tesseract_unavailable"))).alias("flags"))
-    second = r.where("route = 'qwen' and engine = 'qwen'").select(
-        "doc_id", "roi_id", F.when(F.col("available"), F.col("text")).otherwise("").alias("text"), F.when(F.col("available"), F.lit("0.70")).otherwise("0").cast(SCORE).alias("score"), F.when(F.col("available"), "qwen").otherwise("none").alias("source"), F.when(F.col("available"), none).otherwise(F.array(F.lit("qwen_unavailable"))).alias("flags")
-    )
-    return first.unionByName(second)
+    return _flat(sides(readings, regions), single_reading())
 
 
-def barcodes(readings: DataFrame) -> DataFrame:
-    """The decoded text with full score, else the digits of the read text with its own, else nothing."""
-    r = readings.where("roi_id = 'R17' and engine = 'tesseract'")
-    read = digits(F.col("text"))
-    decoded = F.col("doc_id") % 2 == 0  # even documents stand for those whose symbol was decoded
-    text = F.when(decoded & (F.col("text") != ""), F.col("text")).otherwise(read)
-    source = F.when(decoded & (F.col("text") != ""), "barcode_decoder").when(read != "", "barcode_ocr").otherwise("barcode_none")
-    score = F.when(source == "barcode_decoder", F.lit(1.0)).when(source == "barcode_ocr", F.col("confidence")).otherwise(0.0)
-    return r.select("doc_id", "roi_id", text.alias("text"), score.cast(SCORE).alias("score"), source.alias("source"), F.when(text == "", F.array(F.lit("barcode_unreadable"))).otherwise(F.array().cast("array<string>")).alias("flags"))
+def barcodes(readings: DataFrame, regions: DataFrame) -> DataFrame:
+    return _flat(sides(readings, regions), barcode_reading())
 
 
 def resolved(readings: DataFrame, regions: DataFrame) -> DataFrame:
-    """One reading for each region of a document: doc_id, roi_id, text, score, source, flags."""
-    names = ["doc_id", "roi_id", "text", "score", "source", "flags"]
-    return merged(pairs(readings, regions)).select(names).unionByName(singles(readings, regions)).unionByName(barcodes(readings))
+    """One reading for each region of a document: doc_id, roi_id, text, score, source, flags. Readings are read and dealt once."""
+    one, two = F.col("one"), F.col("two")
+    pair = F.when((F.col("route") == "tesseract_then_qwen") & one.isNotNull(), merged_reading(one["text"], one["confidence"], two["text"], two["available"]))
+    return _flat(sides(readings, regions), F.coalesce(pair, single_reading(), barcode_reading()))
 
 
 def worklist(readings: DataFrame, regions: DataFrame) -> DataFrame:
     """Readings that still need a second one: under the gate, and without an available second reading."""
-    first = routed(readings, regions).where("route = 'tesseract_then_qwen' and engine = 'tesseract'").where(~passes_gate(F.col("confidence")))
-    return first.join(readings.where("engine = 'qwen' and available"), ["doc_id", "roi_id"], "left_anti").select("doc_id", "roi_id", "confidence")
+    return pairs(readings, regions).where(~passes_gate(F.col("c1")) & ~F.coalesce("available", F.lit(False))).select("doc_id", "roi_id", F.col("c1").alias("confidence"))
 
 
 def prompt(roi_id: Column) -> Column:
@@ -137,11 +163,13 @@ def prompt(roi_id: Column) -> Column:
     return kind
 
 
-def best_variant(variants: DataFrame) -> DataFrame:
-    """Fewest question marks, then most digits, then the earliest; the original if all are empty."""
+def best_variant(variants: DataFrame, regions: DataFrame) -> DataFrame:
+    """Fewest question marks, then in fields of digits or amounts the most digits, then the earliest; the original if all are empty."""
+    variants = variants.join(F.broadcast(regions.select("roi_id", "allowed")), "roi_id")
     text = F.col("text")
+    many = F.when(F.col("allowed") != "any", -F.length(digits(text))).otherwise(0)
     marks = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))
-    rank = F.struct(marks.alias("q"), (-F.length(digits(text))).alias("d"), "variant")
+    rank = F.struct(marks.alias("q"), many.alias("d"), "variant")
     return variants.groupBy("doc_id", "roi_id").agg(F.min_by(F.struct("variant", "text"), rank).alias("b"), F.max(text != "").alias("any"), F.min_by("text", "variant").alias("original")).select("doc_id", "roi_id", F.when(F.col("any"), F.col("b.text")).otherwise(F.col("original")).alias("text"), F.when(F.col("any"), F.col("b.variant")).otherwise(0).alias("variant"))
 
 

@@ -15,9 +15,16 @@ RULES = ["rib_key_valid", "rib_consistent", "amount_consistent", "words_match",
 
 
 def wide(resolved: DataFrame) -> DataFrame:
-    """One row a document: text tNN and score cNN of every region, NULL where it is absent. The region list is given, so no job looks for it."""
-    table = resolved.groupBy("doc_id").pivot("roi_id", ROI_IDS).agg(F.first("text").alias("t"), F.first("score").alias("c"))
-    return table.select("doc_id", *[F.col(f"{r}_{k}").alias(f"{k}{r[1:]}") for r in ROI_IDS for k in "tc"])
+    """One row a document: text tNN and score cNN of every region, NULL where it is absent, and second_used, whether one is the second engine's.
+
+    Takes one reading a region. The cells of a document are gathered once and
+    looked up by region, so the region list costs no job and no second shuffle.
+    """
+    source = F.col("source") if "source" in resolved.columns else F.lit(None).cast("string")
+    cells = F.map_from_entries(F.collect_list(F.struct("roi_id", F.struct("text", "score", source.alias("source")))))
+    of = lambda r, k: F.try_element_at("cells", F.lit(r))[k]
+    used = F.exists(F.map_values("cells"), lambda x: F.coalesce(x["source"] == "qwen", F.lit(False)))
+    return resolved.groupBy("doc_id").agg(cells.alias("cells")).select("doc_id", *[of(r, k).alias(f"{n}{r[1:]}") for r in ROI_IDS for k, n in (("text", "t"), ("score", "c"))], used.alias("second_used"))
 
 
 def parsed(documents: DataFrame) -> DataFrame:

@@ -13,18 +13,26 @@ from lettrine.sources import catalogues, fixtures
 from . import duck
 
 
-def first_readings(spark, sf_dir):
-    """Readings of the first engine alone, as resolved ones."""
-    return fixtures.readings(spark, sf_dir).where("engine = 'tesseract'").select("doc_id", "roi_id", "text", F.col("confidence").cast(V.SCORE).alias("score"))
+def merged_readings(spark, sf_dir):
+    """One reading a region: both engines' and the decoder's, merged."""
+    return R.resolved(fixtures.readings(spark, sf_dir), catalogues.regions(spark))
 
 
 def documents(spark, sf_dir):
-    return V.validated(first_readings(spark, sf_dir), catalogues.banks(spark))
+    return V.validated(merged_readings(spark, sf_dir), catalogues.banks(spark))
 
 
 def assembled(spark, sf_dir):
     stamps = G.score_stamps(fixtures.stamps(spark, sf_dir)).groupBy("doc_id").agg(F.count("*").alias("n_stamps"))
-    return A.assembled(documents(spark, sf_dir), R.resolved(fixtures.readings(spark, sf_dir), catalogues.regions(spark)), stamps, fixtures.explanations(spark, sf_dir))
+    return A.assembled(documents(spark, sf_dir), stamps, fixtures.explanations(spark, sf_dir))
+
+
+def batch(spark, sf_dir):
+    """Assembled documents, and records of those that could not be read."""
+    good = assembled(spark, sf_dir)
+    failed = F.col("doc_id") % 50 == 3  # stands for documents whose reading raised an error
+    errors = fixtures.pages(spark, sf_dir).where(failed).select("doc_id", F.concat(F.lit("cannot read page of "), F.col("doc_id")).alias("error"))
+    return good.where(~failed).unionByName(A.failed(errors, good))
 
 
 def review_by_bank(spark, sf_dir):
@@ -33,7 +41,7 @@ def review_by_bank(spark, sf_dir):
 
 
 def e1_wide(spark, sf_dir):
-    w = V.wide(first_readings(spark, sf_dir))
+    w = V.wide(merged_readings(spark, sf_dir))
     return w.select("doc_id", *[f"t{r[1:]}" for r in catalogues.ROI_IDS], *[F.col(f"c{r[1:]}").cast("double").alias(f"c{r[1:]}") for r in catalogues.ROI_IDS])
 
 
@@ -46,7 +54,7 @@ def _rule(name, *rules):
         return documents(spark, sf_dir).select("doc_id", *rules)
 
     query.__name__ = name
-    return query, duck.READINGS + duck.PARSED + duck.CHECKED + f"SELECT doc_id, {', '.join(rules)} FROM k"
+    return query, V_ + f"SELECT doc_id, {', '.join(rules)} FROM k"
 
 
 def e12_flags(spark, sf_dir):
@@ -81,11 +89,11 @@ def e18_rib_value(spark, sf_dir):
 
 def e19_city(spark, sf_dir):
     c = A.city(F.col("t04"), F.col("t11"), F.col("c04"), F.col("c11"))
-    return V.wide(first_readings(spark, sf_dir)).select("doc_id", c.alias("c")).select("doc_id", "c.value", "c.source", F.col("c.confidence").cast("double").alias("confidence"))
+    return V.wide(merged_readings(spark, sf_dir)).select("doc_id", c.alias("c")).select("doc_id", "c.value", "c.source", F.col("c.confidence").cast("double").alias("confidence"))
 
 
 def e20_names(spark, sf_dir):
-    d = V.parsed(V.wide(first_readings(spark, sf_dir)))
+    d = V.parsed(V.wide(merged_readings(spark, sf_dir)))
     rows = F.array(*[F.struct(F.lit(n).alias("who"), A.name_value(F.col(n), F.col(c)).alias("v")) for n, c in (("tireur", "c07"), ("beneficiary", "c08"), ("drawee", "c15"))])
     return d.select("doc_id", F.inline(rows)).select("doc_id", "who", "v.value", F.col("v.confidence").cast("double").alias("confidence"), "v.needs_review")
 
@@ -115,21 +123,23 @@ def e26_document(spark, sf_dir):
 
 
 def a10_document_json(spark, sf_dir):
-    d = assembled(spark, sf_dir)
-    record = F.struct("doc_id", F.col("amount.value").cast("string").alias("amount"), F.col("rib.full").alias("rib"), "review")
-    return d.select("doc_id", F.to_json(record).alias("json"))
+    """Whole nested documents as JSON, an amount as text; what is returned was read back from that."""
+    d = assembled(spark, sf_dir).withColumn("amount", F.col("amount").withField("value", F.col("amount.value").cast("string")))
+    lines = d.select(F.to_json(F.struct(*d.columns)).alias("json"))
+    of = lambda path, kind="string": F.get_json_object("json", f"$.{path}").cast(kind)
+    rules = F.concat_ws(",", *[of(f"validation.{r}") for r in V.RULES])
+    return lines.select(
+        of("doc_id", "long").alias("doc_id"), of("payment_order").alias("payment_order"), of("amount.value").alias("amount"), of("amount.currency").alias("currency"), of("rib.full").alias("rib"), of("rib.bank_name").alias("bank"), of("echeance.value").alias("due"), of("creation.source").alias("made_source"),
+        of("city.value").alias("city"), of("drawee.value").alias("drawee"), of("domiciliation.needs_review", "boolean").alias("no_bank"), rules.alias("rules"), of("confidence", "double").alias("confidence"), of("review", "boolean").alias("review"), of("correction_source").alias("correction_source"), of("n_stamps", "long").alias("n_stamps"), of("flags[0].field").alias("first_field"), of("flags[0].explanation").alias("first_explanation"),
+    )
 
 
 def a14_failed_documents(spark, sf_dir):
-    good = assembled(spark, sf_dir)
-    failed = F.col("doc_id") % 50 == 3  # stands for documents whose reading raised an error
-    errors = fixtures.pages(spark, sf_dir).where(failed).select("doc_id", F.concat(F.lit("cannot read page of "), F.col("doc_id")).alias("error"))
-    rows = good.where(~failed).unionByName(A.failed(errors, good))
-    return rows.select("doc_id", "confidence", "review", F.size("flags").alias("n_flags"), F.get("flags", F.lit(0))["field"].alias("first_field"))
+    return batch(spark, sf_dir).select("doc_id", "confidence", "review", F.size("flags").alias("n_flags"), F.get("flags", F.lit(0))["field"].alias("first_field"))
 
 
-V_ = duck.READINGS + duck.PARSED + duck.CHECKED
-ASM = V_ + duck.MERGED + duck.GEOMETRY + """
+V_ = duck.READINGS + duck.MERGED + duck.parsed("rs") + duck.CHECKED
+ASM = V_ + duck.GEOMETRY + """
 , src AS (SELECT doc_id, bool_or(source = 'qwen') AS second FROM rs GROUP BY doc_id)
 , stc AS (SELECT doc_id, count(*) AS n_stamps FROM ss GROUP BY doc_id)
 , asm AS (SELECT v.*, coalesce(second, false) AS second, coalesce(n_stamps, 0) AS n_stamps, CASE WHEN n_hard + n_soft > 0 THEN explanation END AS explanation FROM v LEFT JOIN src USING (doc_id) LEFT JOIN stc USING (doc_id) LEFT JOIN explanations_m USING (doc_id))
@@ -144,7 +154,7 @@ _DUE, _MADE = _merged("due_u", "due_l"), _merged("made_u", "made_l")
 _NAMES = " UNION ALL ".join(f"SELECT doc_id, '{n}' AS who, nullif({duck.name_value('t' + c)}, '') AS value, CAST(c{c} AS DOUBLE) AS confidence, {duck.name_value('t' + c)} = '' OR regexp_matches(t{c}, '(?i)\\[STAMP\\]') AS needs_review FROM w" for n, c in (("tireur", "07"), ("beneficiary", "08"), ("drawee", "15")))
 PAIRS = {
     review_by_bank: V_ + "SELECT bank_name, count(*) AS bills, count(*) FILTER (WHERE NOT rib_key_valid) AS bad_keys, count(*) FILTER (WHERE review) AS to_review FROM v GROUP BY bank_name",
-    e1_wide: duck.READINGS + f", w AS ({duck.wide('first_r')}) SELECT doc_id, {', '.join('t' + r[1:] for r in catalogues.ROI_IDS)}, {', '.join(f'CAST(c{r[1:]} AS DOUBLE) AS c{r[1:]}' for r in catalogues.ROI_IDS)} FROM w",
+    e1_wide: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) SELECT doc_id, {', '.join('t' + r[1:] for r in catalogues.ROI_IDS)}, {', '.join(f'CAST(c{r[1:]} AS DOUBLE) AS c{r[1:]}' for r in catalogues.ROI_IDS)} FROM w",
     e2_best_rib: V_ + "SELECT doc_id, rib, rib_source AS source FROM v",
     **dict(
         _rule(n, *r)
@@ -160,14 +170,14 @@ PAIRS = {
     e16_merged_dates: V_ + f"SELECT doc_id, {_DUE[0]} AS due, {_DUE[1]} AS due_source, {_DUE[2]} AS due_score, {_MADE[0]} AS made, {_MADE[1]} AS made_source, {_MADE[2]} AS made_score FROM v",
     e17_amount_value: V_ + "SELECT doc_id, CAST(v AS DOUBLE) AS value, t09 AS in_words, 'DT' AS currency, words_match, v IS NULL AS needs_review FROM v",
     e18_rib_value: V_ + 'SELECT doc_id, rib AS "full", CASE WHEN rib IS NOT NULL THEN bank_code END AS bank_code, CASE WHEN rib IS NOT NULL THEN rib_ok END AS key_valid, CASE WHEN rib IS NOT NULL THEN bank_name END AS bank_name, CASE WHEN rib IS NOT NULL THEN CAST(s_rib AS DOUBLE) END AS confidence, CASE WHEN rib IS NOT NULL THEN rib_source END AS source, CASE WHEN rib IS NOT NULL THEN NOT rib_ok END AS needs_review FROM v',
-    e19_city: duck.READINGS + f", w AS ({duck.wide('first_r')}) SELECT doc_id, coalesce(nullif(t04, ''), nullif(t11, '')) AS value, CASE WHEN nullif(t04, '') IS NOT NULL THEN 'upper' WHEN nullif(t11, '') IS NOT NULL THEN 'lower' ELSE 'single' END AS source, CAST(coalesce(CASE WHEN nullif(t04, '') IS NOT NULL THEN c04 ELSE c11 END, 0) AS DOUBLE) AS confidence FROM w",
-    e20_names: duck.READINGS + f", w AS ({duck.wide('first_r')}) " + _NAMES,
+    e19_city: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) SELECT doc_id, coalesce(nullif(t04, ''), nullif(t11, '')) AS value, CASE WHEN nullif(t04, '') IS NOT NULL THEN 'upper' WHEN nullif(t11, '') IS NOT NULL THEN 'lower' ELSE 'single' END AS source, CAST(coalesce(CASE WHEN nullif(t04, '') IS NOT NULL THEN c04 ELSE c11 END, 0) AS DOUBLE) AS confidence FROM w",
+    e20_names: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) " + _NAMES,
     e21_texts: V_ + "SELECT doc_id, nullif(t01, '') AS payment_order, nullif(t16, '') AS domiciliation, coalesce(t16, '') = '' AS needs_review FROM v",
     e22_validation: V_ + f"SELECT doc_id, {', '.join(V.RULES)} FROM v",
     e23_correction_source: ASM + "SELECT doc_id, CASE WHEN second THEN 'qwen_fallback' ELSE 'tesseract_only' END AS correction_source FROM asm",
     e24_flagged_fields: V_ + "SELECT v.doc_id, n_hard + n_soft AS n, coalesce(flagged, '') AS flagged FROM v LEFT JOIN (SELECT doc_id, string_agg(concat(field, ':', error_type), ',' ORDER BY seq) AS flagged FROM fl GROUP BY doc_id) USING (doc_id)",
     e25_explained: ASM + "SELECT doc_id, explanation, CASE WHEN explanation IS NULL THEN 0 ELSE n_hard + n_soft END AS explained FROM asm WHERE n_hard + n_soft > 0",
     e26_document: ASM + f"SELECT doc_id, nullif(t01, '') AS payment_order, {_DUE[0]} AS due, {_MADE[0]} AS made, coalesce(nullif(t04, ''), nullif(t11, '')) AS city, rib, CAST(v AS DOUBLE) AS amount, nullif({duck.name_value('t15')}, '') AS drawee, CAST(confidence AS DOUBLE) AS confidence, review, n_stamps, n_hard + n_soft AS n_flags FROM asm",
-    a10_document_json: V_ + """SELECT doc_id, concat('{"doc_id":', CAST(doc_id AS VARCHAR), CASE WHEN v IS NULL THEN '' ELSE concat(',"amount":"', CAST(v AS VARCHAR), '"') END, CASE WHEN rib IS NULL THEN '' ELSE concat(',"rib":"', rib, '"') END, ',"review":', CASE WHEN review THEN 'true' ELSE 'false' END, '}') AS json FROM v""",
+    a10_document_json: ASM + f"""SELECT asm.doc_id, nullif(t01, '') AS payment_order, CAST(v AS VARCHAR) AS amount, CASE WHEN t06 IS NOT NULL OR t10 IS NOT NULL THEN 'DT' END AS currency, rib, CASE WHEN rib IS NOT NULL THEN bank_name END AS bank, {_DUE[0]} AS due, {_MADE[1]} AS made_source, coalesce(nullif(t04, ''), nullif(t11, '')) AS city, nullif({duck.name_value('t15')}, '') AS drawee, coalesce(t16, '') = '' AS no_bank, concat_ws(',', {", ".join(f"CAST({r} AS VARCHAR)" for r in V.RULES)}) AS rules, CAST(confidence AS DOUBLE) AS confidence, review, CASE WHEN second THEN 'qwen_fallback' ELSE 'tesseract_only' END AS correction_source, n_stamps, field AS first_field, explanation AS first_explanation FROM asm LEFT JOIN (SELECT doc_id, arg_min(field, seq) AS field FROM fl GROUP BY doc_id) AS ff ON ff.doc_id = asm.doc_id""",
     a14_failed_documents: V_ + "SELECT v.doc_id, CAST(confidence AS DOUBLE) AS confidence, review, n_hard + n_soft AS n_flags, field AS first_field FROM v LEFT JOIN (SELECT doc_id, arg_min(field, seq) AS field FROM fl GROUP BY doc_id) USING (doc_id) WHERE doc_id % 50 <> 3 UNION ALL SELECT doc_id, 0.0, true, 1, 'pipeline' FROM pages_m WHERE doc_id % 50 = 3",
 }

@@ -20,6 +20,27 @@ READINGS = fixtures.ctes() + f"""
 """
 
 
+#: White space in texts, each character named; DuckDB's own patterns know ASCII alone.
+WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
+
+
+def spaced(t: str) -> str:
+    """With a plain space for each."""
+    return f"translate({t}, '{WHITE}', '{' ' * len(WHITE)}')"
+
+
+def collapsed(t: str) -> str:
+    return f"trim(regexp_replace({spaced(t)}, ' +', ' ', 'g'))"
+
+
+def solid(t: str) -> str:
+    return f"replace({spaced(t)}, ' ', '')"
+
+
+def cleaned(t: str) -> str:
+    return f"trim(regexp_replace(replace(trim({t}, '{WHITE}'), '#', ''), '(?i)\\b(DT|TND)\\b', '', 'g'), '{WHITE}')"
+
+
 def wide(of: str) -> str:
     cells = ", ".join(f"max(CASE WHEN roi_id = '{r}' THEN text END) AS t{r[1:]}, max(CASE WHEN roi_id = '{r}' THEN score END) AS c{r[1:]}" for r in ROIS)
     return f"SELECT doc_id, {cells} FROM {of} GROUP BY doc_id"
@@ -36,7 +57,7 @@ def rib_valid(x: str) -> str:
 
 
 def date_parts(t: str) -> str:
-    return f"list_transform(list_filter(regexp_split_to_array({t}, '[\\s/.-]+'), lambda p: p <> ''), lambda p: translate(p, '{P.PART_LIKE}', '{P.PART_DIGITS}'))"
+    return f"list_transform(list_filter(regexp_split_to_array({spaced(t)}, '[ /.-]+'), lambda p: p <> ''), lambda p: translate(p, '{P.PART_LIKE}', '{P.PART_DIGITS}'))"
 
 
 def date_value(p: str) -> str:
@@ -56,7 +77,7 @@ def date_text(d: str) -> str:
 
 
 def amount_normal(t: str) -> str:
-    compact = f"replace(trim(regexp_replace(replace(trim({t}), '#', ''), '(?i)\\b(DT|TND)\\b', '', 'g')), ' ', '')"
+    compact = solid(cleaned(t))
     split = "^(.*)[.,]([0-9]{3})$"
     return f"nullif(CASE WHEN regexp_matches({compact}, '{split}') THEN concat(regexp_replace(regexp_extract({compact}, '{split}', 1), '[.,]', '', 'g'), '.', regexp_extract({compact}, '{split}', 2)) ELSE regexp_replace({compact}, '[.,]', '', 'g') END, '')"
 
@@ -67,7 +88,7 @@ def amount_value(t: str, normal: str) -> str:
 
 
 def tokens(t: str) -> str:
-    return f"list_filter(regexp_split_to_array(translate(lower({t}), '{P.ACCENTED}', '{P.PLAIN}'), '[\\s,;]+'), lambda t: t <> '')"
+    return f"list_filter(regexp_split_to_array(translate(lower({spaced(t)}), '{P.ACCENTED}', '{P.PLAIN}'), '[ ,;]+'), lambda t: t <> '')"
 
 
 def _list(words) -> str:
@@ -93,12 +114,16 @@ def words_to_int(words: str) -> str:
 
 
 def name_value(t: str) -> str:
-    return f"upper(trim(regexp_replace(regexp_replace(regexp_replace({t}, '(?i)\\[STAMP\\]', ' ', 'g'), '[|\\\\]+', ' ', 'g'), '\\s+', ' ', 'g')))"
+    bare = f"regexp_replace(regexp_replace({t}, '(?i)\\[STAMP\\]', ' ', 'g'), '[|\\\\]+', ' ', 'g')"
+    return f"upper({collapsed(bare)})"
 
 
 _D = {"due_u": "02", "due_l": "13", "made_u": "03", "made_l": "12"}
-PARSED = f"""
-, w AS ({wide("first_r")})
+
+
+def parsed(of: str) -> str:
+    return f"""
+, w AS ({wide(of)})
 , p0 AS (SELECT w.*, {rib_digits("t05")} AS xu, {rib_digits("t14")} AS xl, {amount_normal("t06")} AS nu, {amount_normal("t10")} AS nl, {tokens("t09")} AS toks,
   {", ".join(f"{date_parts('t' + n)} AS p{n}" for n in _D.values())} FROM w)
 , p1 AS (SELECT p0.*, {rib_valid("xu")} AS rvu, {rib_valid("xl")} AS rvl, length(xu) = 20 AS wu, length(xl) = 20 AS wl, contains(xu, '?') AS qu, contains(xl, '?') AS ql,
@@ -110,13 +135,15 @@ PARSED = f"""
 , p AS (SELECT p3.*, CASE WHEN dinars IS NOT NULL AND millimes <= 999 THEN CAST(dinars AS DECIMAL(21,3)) + CAST(CAST(millimes AS DECIMAL(21,3)) / 1000 AS DECIMAL(21,3)) END AS vw FROM p3)
 """
 
+
+PARSED = parsed("first_r")
+
 _BEST = """CASE WHEN rvu THEN {u} WHEN rvl THEN {l} WHEN t05 IS NOT NULL AND NOT qu THEN {u} WHEN t14 IS NOT NULL AND NOT ql THEN {l} ELSE {u} END"""
-_ORDER = "regexp_replace({t}, '\\s', '', 'g')"
 CHECKED = f"""
 , b AS (SELECT p.*, {_BEST.format(u="CASE WHEN wu THEN xu END", l="CASE WHEN wl THEN xl END")} AS rib, {_BEST.format(u="qu", l="ql")} AS rib_q, {_BEST.format(u="rvu", l="rvl")} AS rib_ok,
   CASE WHEN rvu AND rvl THEN 'merged' WHEN rvu THEN 'upper' WHEN rvl THEN 'lower' WHEN t05 IS NOT NULL AND NOT qu THEN 'upper' WHEN t14 IS NOT NULL AND NOT ql THEN 'lower' ELSE 'upper' END AS rib_source,
   CASE WHEN vu IS NOT NULL THEN vu ELSE vl END AS v, CASE WHEN t02 IS NOT NULL THEN due_u ELSE due_l END AS due, CASE WHEN t03 IS NOT NULL THEN made_u ELSE made_l END AS made,
-  {_ORDER.format(t="t01")} AS po, {_ORDER.format(t="t17")} AS bc FROM p)
+  {solid("t01")} AS po, {solid("t17")} AS bc FROM p)
 , bb AS (SELECT b.*, bank_name, substr(rib, 1, 2) AS bank_code FROM b LEFT JOIN bank ON substr(rib, 1, 2) = code)
 , k AS (SELECT bb.*,
   rvu OR rvl AS rib_key_valid,
@@ -164,17 +191,17 @@ MERGED = f"""
 , pr2 AS (SELECT pr1.*, {_CHANGED} AS changed, {_CHANGED.replace("d2", "ds")} AS changed_s, length(d1) AS total,
   CASE WHEN first <> '' THEN coalesce(array_to_string(list_transform(generate_series(1, length(sec)), lambda i: CASE WHEN substr(sec, CAST(i AS INT), 1) = '?' AND regexp_matches(substr(first, CAST(i AS INT), 1), '^[0-9]$') THEN substr(first, CAST(i AS INT), 1) ELSE substr(sec, CAST(i AS INT), 1) END), ''), '') ELSE sec END AS filled FROM pr1)
 , pr3 AS (SELECT pr2.*, length(filled) - length(replace(filled, '?', '')) AS lft,
-  CASE WHEN c1 >= 0.80 THEN 0 WHEN NOT available THEN 1 WHEN contains(sec, '?') THEN 2 WHEN total > 0 AND changed_s > 0.30 * total THEN 3 WHEN upper(regexp_replace(first, '\\s+', '', 'g')) = upper(regexp_replace(sec, '\\s+', '', 'g')) AND trim(first) <> '' THEN 4 ELSE 5 END AS rule FROM pr2)
-, mg AS (SELECT doc_id, roi_id, changed, total, rule,
+  CASE WHEN c1 >= 0.80 THEN 0 WHEN NOT available THEN 1 WHEN contains(sec, '?') THEN 2 WHEN total > 0 AND changed_s > 0.30 * total THEN 3 WHEN upper({solid("first")}) = upper({solid("sec")}) AND {solid("first")} <> '' THEN 4 ELSE 5 END AS rule FROM pr2)
+, mg AS MATERIALIZED (SELECT doc_id, roi_id, changed, total, rule,
   CASE rule WHEN 2 THEN filled WHEN 5 THEN sec ELSE first END AS text,
   CASE rule WHEN 0 THEN c1 WHEN 1 THEN c1 WHEN 2 THEN CAST(greatest(0.20, 0.70 - lft * 0.05) AS DECIMAL(9,4)) WHEN 3 THEN CAST(c1 * 0.85 AS DECIMAL(9,4)) WHEN 4 THEN CAST(least(1, 0.70 + 0.30 * c1) AS DECIMAL(9,4)) ELSE CAST(least(0.75, 0.27 + 0.30 * c1) AS DECIMAL(9,4)) END AS score,
   CASE rule WHEN 2 THEN 'merged' WHEN 5 THEN 'qwen' ELSE 'tesseract' END AS source,
   CASE rule WHEN 1 THEN 'qwen_unavailable' WHEN 2 THEN CASE WHEN lft > 0 THEN concat('partial_unreadable_', CAST(lft AS VARCHAR), '_chars') ELSE '' END WHEN 3 THEN 'qwen_rejected_divergence' WHEN 5 THEN 'tess_qwen_disagree' ELSE '' END AS flags FROM pr3)
 , sg AS (SELECT a.doc_id, a.roi_id, text, CAST(confidence AS DECIMAL(9,4)) AS score, 'tesseract' AS source, CASE WHEN available THEN '' ELSE 'tesseract_unavailable' END AS flags FROM readings AS a JOIN region USING (roi_id) WHERE route = 'tesseract' AND engine = 'tesseract'
   UNION ALL SELECT a.doc_id, a.roi_id, CASE WHEN available THEN text ELSE '' END, CAST(CASE WHEN available THEN 0.70 ELSE 0 END AS DECIMAL(9,4)), CASE WHEN available THEN 'qwen' ELSE 'none' END, CASE WHEN available THEN '' ELSE 'qwen_unavailable' END FROM readings AS a JOIN region USING (roi_id) WHERE route = 'qwen' AND engine = 'qwen')
-, bc0 AS (SELECT doc_id, roi_id, text AS raw, confidence, {_DIG.format(t="text")} AS rd, doc_id % 2 = 0 AND text <> '' AS decoded FROM readings WHERE roi_id = 'R17' AND engine = 'tesseract')
-, bcd AS (SELECT doc_id, roi_id, CASE WHEN decoded THEN raw ELSE rd END AS text, CAST(CASE WHEN decoded THEN 1 WHEN rd <> '' THEN confidence ELSE 0 END AS DECIMAL(9,4)) AS score, CASE WHEN decoded THEN 'barcode_decoder' WHEN rd <> '' THEN 'barcode_ocr' ELSE 'barcode_none' END AS source, CASE WHEN (CASE WHEN decoded THEN raw ELSE rd END) = '' THEN 'barcode_unreadable' ELSE '' END AS flags FROM bc0)
-, rs AS (SELECT doc_id, roi_id, text, score, source, flags FROM mg UNION ALL SELECT * FROM sg UNION ALL SELECT * FROM bcd)
+, bc0 AS (SELECT coalesce(a.doc_id, z.doc_id) AS doc_id, coalesce(z.text, '') AS dec, {_DIG.format(t="coalesce(a.text, '')")} AS rd, a.confidence FROM (SELECT * FROM readings WHERE roi_id = 'R17' AND engine = 'tesseract') AS a FULL JOIN (SELECT * FROM readings WHERE roi_id = 'R17' AND engine = 'pyzbar') AS z ON a.doc_id = z.doc_id)
+, bcd AS (SELECT doc_id, 'R17' AS roi_id, CASE WHEN dec <> '' THEN dec ELSE rd END AS text, CAST(CASE WHEN dec <> '' THEN 1 WHEN rd <> '' THEN confidence ELSE 0 END AS DECIMAL(9,4)) AS score, CASE WHEN dec <> '' THEN 'barcode_pyzbar' WHEN rd <> '' THEN 'barcode_tesseract_ocrb' ELSE 'barcode_none' END AS source, CASE WHEN dec = '' AND rd = '' THEN 'barcode_unreadable' ELSE '' END AS flags FROM bc0)
+, rs AS MATERIALIZED (SELECT doc_id, roi_id, text, score, source, flags FROM mg UNION ALL SELECT * FROM sg UNION ALL SELECT * FROM bcd)
 """
 
 GEOMETRY = """

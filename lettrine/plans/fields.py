@@ -108,7 +108,7 @@ PAIRS = {
     d3_bank_names: _X("'R05'") + "SELECT doc_id, bank.code IS NOT NULL AS known, CASE WHEN length(x) = 20 THEN substr(x, 1, 2) END AS code, bank_name FROM x LEFT JOIN bank ON length(x) = 20 AND substr(x, 1, 2) = bank.code",
     d4_dates: _D + f", d AS (SELECT doc_id, roi_id, {duck.date_parts('text')} AS p FROM first_r WHERE roi_id IN ('R02', 'R03', 'R12', 'R13')), e AS (SELECT doc_id, roi_id, {duck.date_value('p')} AS value FROM d) SELECT doc_id, roi_id, value, {duck.date_text('value')} AS normalised, value IS NOT NULL AS valid FROM e",
     d5_date_order: _D + duck.PARSED + "SELECT doc_id, coalesce(due_u = due_l, false) AS equal, coalesce(due_u > made_u, false) AS after, coalesce(due_u >= made_u, false) AS on_or_after FROM p",
-    d6_clean_amount: _D + "SELECT doc_id, roi_id, trim(regexp_replace(replace(trim(text), '#', ''), '(?i)\\b(DT|TND)\\b', '', 'g')) AS cleaned FROM first_r WHERE roi_id IN ('R06', 'R10')",
+    d6_clean_amount: _D + f"SELECT doc_id, roi_id, {duck.cleaned('text')} AS cleaned FROM first_r WHERE roi_id IN ('R06', 'R10')",
     d7_separators: _AMOUNTS + "SELECT doc_id, roi_id, normal FROM a",
     d8_amounts: _AMOUNTS + f"SELECT doc_id, roi_id, CAST({duck.amount_value('text', 'normal')} AS DOUBLE) AS value, contains(text, '?') AS unread, {duck.amount_value('text', 'normal')} IS NOT NULL AS valid FROM a",
     d9_amounts_equal: _D + duck.PARSED + "SELECT doc_id, coalesce(abs(vu - vl) <= 0.001, false) AS equal FROM p",

@@ -39,7 +39,7 @@ def b5_alignment(spark, sf_dir):
 
 
 def b6_border(spark, sf_dir):
-    return G.border_candidates(fixtures.stamps(spark, sf_dir), fixtures.pages(spark, sf_dir))
+    return G.border_candidates(fixtures.contours(spark, sf_dir), fixtures.pages(spark, sf_dir))
 
 
 def b7_stamp_scores(spark, sf_dir):
@@ -92,7 +92,7 @@ PAIRS = {
     b3_page_scale: _G + f"SELECT doc_id, round({_RATIO}, 6) AS scale, abs({_RATIO} - 1) >= 0.02 AS resized, CASE WHEN abs({_RATIO} - 1) >= 0.02 THEN CAST(round_even(w * {_RATIO}, 0) AS INT) ELSE w END AS new_w, CASE WHEN abs({_RATIO} - 1) >= 0.02 THEN CAST(round_even(h * {_RATIO}, 0) AS INT) ELSE h END AS new_h FROM pages_m",
     b4_page_skew: _G + "SELECT doc_id, round(skew, 6) AS skew, abs(skew) >= 0.3 AS rotate, abs(skew) > 5 AS steep FROM sk",
     b5_alignment: _G + f"SELECT doc_id, CASE WHEN snd AND anchored THEN 'header_barcode' WHEN NOT snd AND border_w IS NOT NULL THEN 'border' ELSE 'identity' END AS method, round(conf, 6) AS confidence, {_LOW} AS low FROM al",
-    b6_border: _G + ", c AS (SELECT s.doc_id, seq, rx * 8 AS cw, ry * 6 AS ch, w, h FROM stamps_m AS s JOIN pages_m USING (doc_id)), g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY cw * ch DESC, seq) AS rn FROM c WHERE cw * ch * 10 >= w * h * 3 AND cw * 10 > w * 7 AND ch * 10 > h * 7) SELECT doc_id, cw AS border_w, ch AS border_h FROM g WHERE rn = 1",
+    b6_border: _G + ", c AS (SELECT s.doc_id, seq, cw, ch, area, w, h FROM contours_m AS s JOIN pages_m USING (doc_id)), g AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY area DESC, seq) AS rn FROM c WHERE area * 10 >= w * h * 3 AND cw * 10 > w * 7 AND ch * 10 > h * 7) SELECT doc_id, cw AS border_w, ch AS border_h FROM g WHERE rn = 1",
     b7_stamp_scores: _G + "SELECT * FROM ss",
     b8_distinct_stamps: _G + _DISTINCT,
     b9_stamp_boxes: _G + "SELECT doc_id, seq, x1, y1, x2, y2 FROM sb",

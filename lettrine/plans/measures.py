@@ -51,7 +51,7 @@ def h8_words_mismatches(spark, sf_dir):
 
 
 def h9_city_rule(spark, sf_dir):
-    w = V.wide(checks.first_readings(spark, sf_dir))
+    w = V.wide(checks.merged_readings(spark, sf_dir))
     return w.select("doc_id", F.coalesce((F.col("t04") != "") & (F.upper(F.trim("t04")) == F.upper(F.trim("t11"))), F.lit(False)).alias("same"))
 
 
@@ -60,10 +60,10 @@ def h10_late_due_dates(spark, sf_dir):
 
 
 def h11_missing_fields(spark, sf_dir):
-    first = checks.first_readings(spark, sf_dir)
-    wanted = first.select("doc_id").distinct().crossJoin(F.broadcast(catalogues.regions(spark).select("roi_id")))
-    missing = wanted.join(first, ["doc_id", "roi_id"], "left_anti").select("doc_id", "roi_id", F.lit("MISSING_FIELD").alias("error_type"))
-    return missing.unionByName(first.where(F.col("score") < 0.55).select("doc_id", "roi_id", F.lit("OCR_ERROR").alias("error_type")))
+    merged = checks.merged_readings(spark, sf_dir)
+    wanted = merged.select("doc_id").distinct().crossJoin(F.broadcast(catalogues.regions(spark).select("roi_id")))
+    missing = wanted.join(merged, ["doc_id", "roi_id"], "left_anti").select("doc_id", "roi_id", F.lit("MISSING_FIELD").alias("error_type"))
+    return missing.unionByName(merged.where(F.col("score") < 0.55).select("doc_id", "roi_id", F.lit("OCR_ERROR").alias("error_type")))
 
 
 def h12_error_shares(spark, sf_dir):
@@ -82,9 +82,9 @@ def h14_corrections(spark, sf_dir):
     return done.groupBy("field").agg(F.count("correction").alias("corrected"), F.count_if(F.col("final").eqNullSafe(F.col("wanted"))).alias("right"), F.count("*").alias("n"))
 
 
-_TRUTH = ", tr AS (SELECT k AS doc_id, replace(rib, ' ', '') AS rib_w, concat(substr(am, 1, length(am) - 3), '.', substr(am, length(am) - 2, 3)) AS amount_w, et, ct FROM b2)"
+_TRUTH = f", tr AS ({fixtures.TRUTH})"
 _AMOUNT = "CASE WHEN vu IS NOT NULL THEN CAST(vu AS VARCHAR) WHEN t10 IS NOT NULL THEN CASE WHEN contains(t10, '?') THEN nl ELSE CAST(vl AS VARCHAR) END END"
-_P = checks.V_ + _TRUTH + f""", pq AS (SELECT v.doc_id, review, CAST(confidence AS DOUBLE) AS confidence, v.doc_id % 2 = 0 AS printed, v.rib AS rib_f, {_AMOUNT} AS amount_f, {duck.date_text("due")} AS due_f, {duck.date_text("made")} AS made_f, rib_w, amount_w, et, ct FROM v JOIN tr USING (doc_id))
+_P = checks.V_ + _TRUTH + f""", pq AS (SELECT v.doc_id, review, CAST(confidence AS DOUBLE) AS confidence, tr.printed, v.rib AS rib_f, {_AMOUNT} AS amount_f, {duck.date_text("due")} AS due_f, {duck.date_text("made")} AS made_f, tr.rib AS rib_w, tr.amount AS amount_w, tr.echeance AS et, tr.creation AS ct FROM v JOIN tr ON v.doc_id = tr.doc_id)
 , pp AS ({" UNION ALL ".join(f"SELECT doc_id, review, confidence, printed, '{f}' AS field, {a} AS found, {b} AS wanted, {a} IS NOT DISTINCT FROM {b} AS correct FROM pq" for f, a, b in (("rib", "rib_f", "rib_w"), ("amount", "amount_f", "amount_w"), ("echeance", "due_f", "et"), ("creation", "made_f", "ct")))})
 , rt AS (SELECT doc_id, bool_and(correct) AS "right", any_value(review) AS review, any_value(confidence) AS confidence FROM pp GROUP BY doc_id)
 """
@@ -97,9 +97,9 @@ PAIRS = {
     h6_calls_per_document: duck.READINGS + ", c AS (SELECT doc_id, count(*) FILTER (WHERE engine = 'qwen' AND available) AS calls FROM readings GROUP BY doc_id) SELECT round(avg(calls), 6) AS mean, round(quantile_cont(calls, 0.95), 6) AS p95 FROM c",
     h7_accuracy_by_stratum: _P + "SELECT printed, field, count(*) AS n, round(avg(CAST(correct AS INT)), 6) AS rate FROM pp GROUP BY CUBE (printed, field)",
     h8_words_mismatches: checks.V_ + "SELECT doc_id, CAST(v AS DOUBLE) AS figures, CAST(vw AS DOUBLE) AS in_words FROM v WHERE v IS NOT NULL AND vw IS NOT NULL AND NOT words_match",
-    h9_city_rule: duck.READINGS + f", w AS ({duck.wide('first_r')}) SELECT doc_id, coalesce(t04 <> '' AND upper(trim(t04)) = upper(trim(t11)), false) AS same FROM w",
+    h9_city_rule: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) SELECT doc_id, coalesce(t04 <> '' AND upper(trim(t04)) = upper(trim(t11)), false) AS same FROM w",
     h10_late_due_dates: checks.V_ + "SELECT doc_id, coalesce(due > made + INTERVAL 12 MONTH, false) AS late FROM v",
-    h11_missing_fields: duck.READINGS + "SELECT d.doc_id, region.roi_id, 'MISSING_FIELD' AS error_type FROM (SELECT DISTINCT doc_id FROM first_r) AS d CROSS JOIN region WHERE NOT EXISTS (SELECT 1 FROM first_r AS f WHERE f.doc_id = d.doc_id AND f.roi_id = region.roi_id) UNION ALL SELECT doc_id, roi_id, 'OCR_ERROR' FROM first_r WHERE score < 0.55",
+    h11_missing_fields: duck.READINGS + duck.MERGED + "SELECT d.doc_id, region.roi_id, 'MISSING_FIELD' AS error_type FROM (SELECT DISTINCT doc_id FROM rs) AS d CROSS JOIN region WHERE NOT EXISTS (SELECT 1 FROM rs AS f WHERE f.doc_id = d.doc_id AND f.roi_id = region.roi_id) UNION ALL SELECT doc_id, roi_id, 'OCR_ERROR' FROM rs WHERE score < 0.55",
     h12_error_shares: checks.V_ + "SELECT error_type, count(*) AS n, round(count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS share FROM fl GROUP BY error_type",
     h13_calibration: _P + ', cb AS (SELECT CAST(least(floor(round(confidence * 10, 6)), 9) AS INT) AS bucket, count(*) AS n, round(avg(CAST("right" AS INT)), 6) AS accuracy FROM rt GROUP BY 1) SELECT bucket, n, accuracy, coalesce(accuracy >= lag(accuracy) OVER (ORDER BY bucket), true) AS monotonic FROM cb',
     h14_corrections: _P + """SELECT field, count(*) FILTER (WHERE NOT correct AND doc_id % 3 = 0) AS corrected, count(*) FILTER (WHERE correct OR doc_id % 3 = 0) AS "right", count(*) AS n FROM pp GROUP BY field""",

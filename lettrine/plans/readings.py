@@ -51,14 +51,15 @@ def a5_doc_id_collisions(spark, sf_dir):
 
 
 def a6_readings(spark, sf_dir):
-    return _readings(spark, sf_dir)
+    """Through the JSON that engines write, a line for each document and engine."""
+    return ingest.parsed_readings(fixtures.reading_lines(spark, sf_dir))
 
 
 def a7_word_boxes(spark, sf_dir):
     return R.word_boxes(fixtures.words(spark, sf_dir), _first(spark, sf_dir).select("doc_id", "roi_id")).withColumn("confidence", F.round("confidence", 6))
 
 
-_WORDS = duck.READINGS + """, wd AS (SELECT doc_id, roi_id, j AS seq, str_split(text, ' ')[j] AS word, CASE WHEN (doc_id + j) % 13 = 0 THEN -1 ELSE (doc_id * 3 + j * 17) % 101 END AS conf FROM first_r CROSS JOIN (VALUES (1),(2),(3),(4),(5),(6)) AS v(j)),
+_WORDS = duck.READINGS + """, wd AS (SELECT doc_id, roi_id, j AS seq, str_split(text, ' ')[j] AS word, CASE WHEN (doc_id + j) % 13 = 0 THEN -1 ELSE (doc_id * 3 + j * 17) % 101 END AS conf FROM (SELECT doc_id, roi_id, text, unnest(generate_series(1, len(str_split(text, ' ')))) AS j FROM first_r)),
 wk AS (SELECT doc_id, roi_id, string_agg(trim(word), ' ' ORDER BY seq) AS text, avg(conf) / 100 AS c FROM wd WHERE word IS NOT NULL AND trim(word) <> '' AND conf >= 0 GROUP BY doc_id, roi_id)
 SELECT f.doc_id, f.roi_id, coalesce(wk.text, '') AS text, round(coalesce(c, 0.0), 6) AS confidence FROM first_r AS f LEFT JOIN wk ON f.doc_id = wk.doc_id AND f.roi_id = wk.roi_id"""
 
@@ -119,7 +120,7 @@ def c9_single_engine(spark, sf_dir):
 
 
 def c10_barcodes(spark, sf_dir):
-    return _flat(R.barcodes(_readings(spark, sf_dir)))
+    return _flat(R.barcodes(_readings(spark, sf_dir), catalogues.regions(spark)))
 
 
 def c11_agreement(spark, sf_dir):
@@ -144,7 +145,7 @@ def c15_digits_changed(spark, sf_dir):
 
 
 def c16_best_variant(spark, sf_dir):
-    return R.best_variant(fixtures.variants(spark, sf_dir))
+    return R.best_variant(fixtures.variants(spark, sf_dir), catalogues.regions(spark))
 
 
 def c17_prompts(spark, sf_dir):
@@ -174,20 +175,20 @@ PAIRS = {
     a9_explanations: duck.READINGS + "SELECT * FROM explanations_m",
     c1_digit_confusion: duck.READINGS + f"SELECT doc_id, roi_id, translate(text, '{P.DIGIT_LIKE}', '{P.DIGITS}') AS fixed FROM first_r",
     c2_date_confusion: duck.READINGS + f"SELECT doc_id, roi_id, translate(text, '{P.DATE_LIKE}', '{P.DATE_DIGITS}') AS fixed FROM first_r WHERE roi_id IN ('R02', 'R03', 'R12', 'R13')",
-    c3_spaces: duck.READINGS + "SELECT doc_id, roi_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS text FROM first_r",
-    c4_whitelist: duck.READINGS + f", z AS (SELECT doc_id, roi_id, allowed, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS t FROM first_r JOIN region USING (roi_id)) SELECT doc_id, roi_id, CASE allowed WHEN 'amount' THEN regexp_replace(translate(t, '{P.DIGIT_LIKE}', '{P.DIGITS}'), '[^0-9,.]', '', 'g') WHEN 'digits' THEN regexp_replace(translate(t, '{P.DIGIT_LIKE}', '{P.DIGITS}'), '[^0-9]', '', 'g') ELSE t END AS cleaned FROM z",
+    c3_spaces: duck.READINGS + f"SELECT doc_id, roi_id, {duck.collapsed('text')} AS text FROM first_r",
+    c4_whitelist: duck.READINGS + f", z AS (SELECT doc_id, roi_id, allowed, {duck.collapsed('text')} AS t FROM first_r JOIN region USING (roi_id)) SELECT doc_id, roi_id, CASE allowed WHEN 'amount' THEN regexp_replace(translate(t, '{P.DIGIT_LIKE}', '{P.DIGITS}'), '[^0-9,.]', '', 'g') WHEN 'digits' THEN regexp_replace(translate(t, '{P.DIGIT_LIKE}', '{P.DIGITS}'), '[^0-9]', '', 'g') ELSE t END AS cleaned FROM z",
     c5_routes: duck.READINGS + "SELECT false AS skip_second, route, count(*) AS n FROM first_r JOIN region USING (roi_id) GROUP BY route UNION ALL SELECT true, CASE WHEN route = 'barcode_decoder' THEN route ELSE 'tesseract' END, count(*) FROM first_r JOIN region USING (roi_id) GROUP BY 2",
     c6_gate: duck.READINGS + "SELECT roi_id, count(*) FILTER (WHERE score >= 0.80) AS accepted, count(*) AS n FROM first_r GROUP BY roi_id",
     c7_pairs: duck.READINGS + "SELECT a.doc_id, a.roi_id, a.text AS first, a.confidence AS c1, q.text AS second, q.available FROM readings AS a JOIN region USING (roi_id) LEFT JOIN readings AS q ON q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen' AND NOT a.confidence >= 0.80",
     c8_worklist: duck.READINGS + "SELECT a.doc_id, a.roi_id, a.confidence FROM readings AS a JOIN region USING (roi_id) WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen' AND a.confidence < 0.80 AND NOT EXISTS (SELECT 1 FROM readings AS q WHERE q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' AND q.available)",
     c9_single_engine: _PR + "SELECT doc_id, roi_id, text, CAST(score AS DOUBLE) AS score, source, flags FROM sg",
     c10_barcodes: _PR + "SELECT doc_id, roi_id, text, CAST(score AS DOUBLE) AS score, source, flags FROM bcd",
-    c11_agreement: _PR + "SELECT doc_id, roi_id, coalesce(upper(regexp_replace(first, '\\s+', '', 'g')) = upper(regexp_replace(second, '\\s+', '', 'g')) AND regexp_replace(first, '\\s+', '', 'g') <> '', false) AS agree FROM pr",
+    c11_agreement: _PR + f"SELECT doc_id, roi_id, coalesce(upper({duck.solid('first')}) = upper({duck.solid('second')}) AND {duck.solid('first')} <> '', false) AS agree FROM pr",
     c12_fill_unread: _PR + "SELECT doc_id, roi_id, CASE WHEN first = '' THEN sec ELSE filled END AS filled FROM pr2 WHERE available AND contains(sec, '?')",
     c13_divergence: _PR + "SELECT doc_id, roi_id, changed, total > 0 AND changed > 0.30 * total AS rejected FROM pr2 WHERE available",
     c14_merge: _PR + "SELECT doc_id, roi_id, text, CAST(score AS DOUBLE) AS score, source, flags FROM mg",
     c15_digits_changed: _PR + "SELECT doc_id, roi_id, changed, total FROM mg",
-    c16_best_variant: duck.READINGS + """, vq AS (SELECT *, length(text) - length(replace(text, '?', '')) AS q, -length(regexp_replace(text, '[^0-9]', '', 'g')) AS d FROM variants_m), vr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, roi_id ORDER BY q, d, variant) AS rn, max(CASE WHEN text <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, roi_id) AS hit FROM vq) SELECT doc_id, roi_id, text, variant FROM vr WHERE (hit = 1 AND rn = 1) OR (hit = 0 AND variant = 0)""",
+    c16_best_variant: duck.READINGS + """, vq AS (SELECT *, length(text) - length(replace(text, '?', '')) AS q, CASE WHEN allowed <> 'any' THEN -length(regexp_replace(text, '[^0-9]', '', 'g')) ELSE 0 END AS d FROM variants_m JOIN region USING (roi_id)), vr AS (SELECT *, row_number() OVER (PARTITION BY doc_id, roi_id ORDER BY q, d, variant) AS rn, max(CASE WHEN text <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, roi_id) AS hit FROM vq) SELECT doc_id, roi_id, text, variant FROM vr WHERE (hit = 1 AND rn = 1) OR (hit = 0 AND variant = 0)""",
     c17_prompts: duck.READINGS + ", pm(roi_id, prompt) AS (VALUES " + ", ".join(f"('{r}', '{k}')" for k, ids in R.PROMPTS.items() for r in ids) + ") SELECT coalesce(prompt, 'generic') AS prompt, count(*) AS n FROM readings LEFT JOIN pm USING (roi_id) WHERE engine = 'qwen' GROUP BY 1",
     c18_second_calls: duck.READINGS + "SELECT doc_id, count(*) FILTER (WHERE engine = 'qwen' AND available) AS calls FROM readings GROUP BY doc_id",
     c19_reading_summary: _PR + "SELECT doc_id, count(*) AS fields, round(CAST(sum(score) AS DOUBLE) / count(*), 6) AS mean_score, coalesce(string_agg(CASE WHEN flags <> '' THEN concat(roi_id, ':', flags) END, ';' ORDER BY roi_id), '') AS flagged FROM rs GROUP BY doc_id",

@@ -7,13 +7,17 @@ as common table expressions of the queries that results are held against.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .catalogues import BANKS
+
+NBSP, THIN = "\u00a0", "\u202f"  # white space that people type between thousands
 BILLS = """
 WITH b0 AS (
   SELECT o_orderkey AS k, CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS cd,
          CASE WHEN o_orderkey % 10 = 0 THEN '3000000'
               ELSE CAST(CAST(round(o_totalprice * 1000) AS BIGINT) AS STRING) END AS am,
-         substr('02030405070810111214202122232425262731323345', CAST(2*(o_orderkey % 22)+1 AS INT), 2) AS bank,
+         substr('BANKS', CAST(2*(o_orderkey % 22)+1 AS INT), 2) AS bank,
          lpad(CAST(o_custkey % 1000 AS STRING), 3, '0') AS branch,
          lpad(CAST(o_orderkey * 7919 AS STRING), 13, '0') AS account, c_name, n_name
   FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey),
@@ -45,38 +49,40 @@ tess AS (
       WHEN 'R06' THEN CASE WHEN k % 31 = 0 THEN concat('?', w, ',', m)
                            WHEN k % 4 = 1 THEN concat('#', w, '.', m, '#')
                            WHEN k % 4 = 2 THEN concat(w, ',', m, ' DT')
-                           WHEN k % 4 = 3 AND length(w) > 3 THEN concat('# ', substr(w,1,length(w)-3), ' ', substr(w,length(w)-2,3), '.', m, '#')
+                           WHEN k % 4 = 3 AND length(w) > 3 THEN concat('# ', substr(w,1,length(w)-3), CASE k % 12 WHEN 3 THEN 'NBSP' WHEN 7 THEN 'THIN' ELSE ' ' END, substr(w,length(w)-2,3), '.', m, '#')
                            ELSE concat(w, ',', m) END
-      WHEN 'R07' THEN CASE WHEN k % 8 = 0 THEN concat('Ste  ', c_name, ' [STAMP] sarl') ELSE concat('Ste ', c_name, '| sarl') END
+      WHEN 'R07' THEN CASE WHEN k % 16 = 8 THEN concat('SteNBSPTHIN', c_name, ' [STAMP] sarl') WHEN k % 8 = 0 THEN concat('Ste  ', c_name, ' [STAMP] sarl') ELSE concat('Ste ', c_name, '| sarl') END
       WHEN 'R08' THEN lower(c_name)
       WHEN 'R09' THEN CASE WHEN k % 10 = 0 THEN 'trois mille dinars'
                            WHEN k % 10 = 1 THEN 'deux mille huit cent quatre-vingt-treize dinars cent quatre-vingt-douze millimes'
-                           WHEN k % 10 = 2 THEN 'vingt cinq mille dinars' WHEN k % 10 = 3 THEN 'soixante dix sept dinars'
+                           WHEN k % 20 = 12 THEN 'vingtNBSPcinq mille dinars' WHEN k % 10 = 2 THEN 'vingt cinq mille dinars' WHEN k % 10 = 3 THEN 'soixante dix sept dinars'
                            WHEN k % 10 = 4 THEN 'blah dinars' ELSE '' END
       WHEN 'R10' THEN CASE WHEN k % 37 = 0 THEN concat('1', w, ',', m) ELSE concat(w, ',', m) END
       WHEN 'R11' THEN n_name
-      WHEN 'R12' THEN CASE WHEN k % 23 = 0 THEN replace(ct,'/','-') ELSE ct END
+      WHEN 'R12' THEN CASE WHEN k % 23 = 0 THEN replace(ct,'/','-') WHEN k % 25 = 0 THEN replace(ct,'/','NBSP') ELSE ct END
       WHEN 'R13' THEN CASE WHEN k % 19 = 0 THEN '31/02/2024' ELSE et END
       WHEN 'R14' THEN CASE WHEN k % 13 = 0 OR k % 17 = 0 THEN rib_bad ELSE rib END
-      WHEN 'R15' THEN upper(c_name)
+      WHEN 'R15' THEN CASE WHEN k % 18 = 0 THEN concat(upper(c_name), ' CO.LTD') WHEN k % 18 = 1 THEN concat(upper(c_name), ' CO. LTD') ELSE upper(c_name) END
       WHEN 'R16' THEN CASE WHEN k % 6 = 0 THEN concat('AGENCE ', n_name) ELSE concat('biat agence ', n_name) END
       ELSE CASE WHEN k % 41 = 0 THEN '' WHEN k % 43 = 0 THEN concat('9', po) WHEN k % 3 = 0 THEN regexp_replace(po,'^0+','') ELSE po END
     END AS text,
     CAST(50 + (k * 7 + rn * 13) % 51 AS DECIMAL(9,4)) / 100 AS c0
   FROM b2 CROSS JOIN rois
   WHERE NOT (k % 47 = 0 AND roi_id = 'R14'))
-"""
+""".replace("BANKS", "".join(code for code, _ in BANKS)).replace("NBSP", NBSP).replace("THIN", THIN)
 
+# Even documents' symbols were decoded.
 READINGS = """
-SELECT doc_id, roi_id, 'tesseract' AS engine, text, CAST(c0 AS DOUBLE) AS confidence, true AS available FROM tess
-UNION ALL
-SELECT doc_id, roi_id, 'qwen',
-  CASE (doc_id + rn) % 5 WHEN 1 THEN concat(substr(text,1,2),'?',substr(text,4))
-                         WHEN 2 THEN translate(text,'0123456789','1234567890')
-                         WHEN 3 THEN concat(substr(text,1,4), translate(substr(text,5,1),'0123456789','1234567890'), substr(text,6))
-                         WHEN 4 THEN '' ELSE text END,
-  CAST(CASE WHEN (doc_id + rn) % 5 = 4 THEN 0 ELSE 0.7 END AS DOUBLE), (doc_id + rn) % 5 <> 4
-FROM tess WHERE roi_id IN ('R04','R05','R06','R07','R08','R09','R10','R11','R14','R15','R16')
+SELECT doc_id, roi_id, engine,
+  CASE WHEN engine <> 'qwen' THEN text
+       WHEN (doc_id + rn) % 5 = 1 THEN concat(substr(text,1,2),'?',substr(text,4))
+       WHEN (doc_id + rn) % 5 = 2 THEN translate(text,'0123456789','1234567890')
+       WHEN (doc_id + rn) % 5 = 3 THEN concat(substr(text,1,4), translate(substr(text,5,1),'0123456789','1234567890'), substr(text,6))
+       WHEN (doc_id + rn) % 5 = 4 THEN '' ELSE text END AS text,
+  CASE engine WHEN 'tesseract' THEN CAST(c0 AS DOUBLE) WHEN 'pyzbar' THEN CAST(1 AS DOUBLE) ELSE CAST(CASE WHEN (doc_id + rn) % 5 = 4 THEN 0 ELSE 0.7 END AS DOUBLE) END AS confidence,
+  engine <> 'qwen' OR (doc_id + rn) % 5 <> 4 AS available
+FROM tess CROSS JOIN (SELECT * FROM (VALUES ('tesseract'),('qwen'),('pyzbar')) AS v(engine)) AS e
+WHERE engine = 'tesseract' OR (engine = 'qwen' AND roi_id IN ('R04','R05','R06','R07','R08','R09','R10','R11','R14','R15','R16')) OR (engine = 'pyzbar' AND roi_id = 'R17' AND doc_id % 2 = 0)
 """
 
 PAGES = """
@@ -97,6 +103,10 @@ SELECT o_orderkey AS doc_id, j AS seq, CASE WHEN j % 2 = 0 THEN 'hough' ELSE 'co
 FROM {orders} CROSS JOIN (SELECT * FROM (VALUES (1),(2),(3),(4)) AS v(j)) AS v
 """
 
+CONTOURS = """
+SELECT doc_id, seq, rx * 8 AS cw, ry * 6 AS ch, rx * ry * 48 AS area FROM {stamps} AS s
+"""
+
 ANGLES = """
 SELECT o_orderkey AS doc_id, j AS seq, CAST(90 + (o_orderkey*j*7) % 61 - 30 AS DOUBLE) / 10 + 81 AS theta_deg
 FROM {orders} CROSS JOIN (SELECT * FROM (VALUES (1),(2),(3),(4),(5)) AS v(j)) AS v WHERE o_orderkey % 9 <> 0
@@ -140,10 +150,20 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BILLS + READINGS, **_tables(spark, sf_dir, "orders", "customer", "nation"))
 
 
+def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as engines write them: a JSON object (value) for each document and engine, with a map of regions."""
+    record = F.struct("text", "confidence", "engine", "available")
+    fields = F.map_from_entries(F.collect_list(F.struct("roi_id", record.alias("r"))))
+    return readings(spark, sf_dir).groupBy("doc_id", "engine").agg(fields.alias("fields")).select(F.to_json(F.struct("doc_id", "fields")).alias("value"))
+
+
+TRUTH = " SELECT k AS doc_id, replace(rib, ' ', '') AS rib, concat(substr(am, 1, length(am) - 3), '.', substr(am, length(am) - 2, 3)) AS amount, et AS echeance, ct AS creation, k % 2 = 0 AS printed FROM b2"
+
+
 def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bills before noise: po, dates ct and et, rib, am (millimes) and c_name."""
+    """The bills before noise: right texts of the critical fields, and whether the form was printed."""
     head, _, _ = BILLS.rpartition(",\nrois AS")
-    return spark.sql(head + " SELECT k AS doc_id, po, ct, et, rib, am, c_name FROM b2", **_tables(spark, sf_dir, "orders", "customer", "nation"))
+    return spark.sql(head + TRUTH, **_tables(spark, sf_dir, "orders", "customer", "nation"))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +174,10 @@ def stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(STAMPS, **_tables(spark, sf_dir, "orders"))
 
 
+def contours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(CONTOURS, stamps=stamps(spark, sf_dir))
+
+
 def angles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(ANGLES, **_tables(spark, sf_dir, "orders"))
 
@@ -175,7 +199,7 @@ def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ctes() -> str:
-    """The derived tables as common table expressions for DuckDB, without a final SELECT."""
-    plain = dict(orders="orders", customer="customer", nation="nation", readings="readings")
-    parts = {"readings": READINGS, "pages_m": PAGES, "stamps_m": STAMPS, "angles_m": ANGLES, "responses_m": RESPONSES, "variants_m": VARIANTS, "explanations_m": EXPLANATIONS}
-    return BILLS.format(**plain) + "".join(f",\n{n} AS ({s.format(**plain)})" for n, s in parts.items())
+    """The derived tables as common table expressions for DuckDB, without a final SELECT; readings are worked out once."""
+    plain = dict(orders="orders", customer="customer", nation="nation", readings="readings", stamps="stamps_m")
+    parts = {"readings": READINGS, "pages_m": PAGES, "stamps_m": STAMPS, "contours_m": CONTOURS, "angles_m": ANGLES, "responses_m": RESPONSES, "variants_m": VARIANTS, "explanations_m": EXPLANATIONS}
+    return BILLS.format(**plain) + "".join(f",\n{n} AS {'MATERIALIZED ' * (n == 'readings')}({s.format(**plain)})" for n, s in parts.items())

@@ -34,9 +34,9 @@ def test_merge_rules_in_order(spark):
 
 
 def test_variants(spark):
-    rows = [(1, "R06", 0, "3000"), (1, "R06", 1, "300000"), (2, "R06", 0, "3000"), (2, "R06", 1, "3001"), (3, "R06", 0, ""), (3, "R06", 1, ""), (4, "R06", 0, "3?00"), (4, "R06", 1, "30")]
-    best = {r["doc_id"]: (r["text"], r["variant"]) for r in reading.best_variant(spark.createDataFrame(rows, "doc_id long, roi_id string, variant int, text string")).collect()}
-    assert best == {1: ("300000", 1), 2: ("3000", 0), 3: ("", 0), 4: ("30", 1)}
+    rows = [(1, "R06", 0, "3000"), (1, "R06", 1, "300000"), (2, "R06", 0, "3000"), (2, "R06", 1, "3001"), (3, "R06", 0, ""), (3, "R06", 1, ""), (4, "R06", 0, "3?00"), (4, "R06", 1, "30"), (5, "R16", 0, "BIAT AGENCE"), (5, "R16", 1, "B1AT 2 AG")]
+    best = {r["doc_id"]: (r["text"], r["variant"]) for r in reading.best_variant(spark.createDataFrame(rows, "doc_id long, roi_id string, variant int, text string"), catalogues.regions(spark)).collect()}
+    assert best == {1: ("300000", 1), 2: ("3000", 0), 3: ("", 0), 4: ("30", 1), 5: ("BIAT AGENCE", 0)}
 
 
 def test_stamps(spark):
@@ -133,3 +133,16 @@ def test_stream(spark, tmp_path):
     found = audit.read_log(spark, log, "doc_id long, review boolean, confidence double", "2024-01-01").collect()
     spark.streams.removeListener(listener)
     assert sorted((r["doc_id"], r["review"], r["confidence"]) for r in found) == [(i, False, 0.99) for i in (1, 2, 3)]
+
+
+def test_barcodes(spark):
+    rows = [(1, "R17", "tesseract", "12-34", 0.6, True), (1, "R17", "pyzbar", "001234", 1.0, True), (2, "R17", "tesseract", "12-34", 0.6, True), (3, "R17", "tesseract", "x", 0.6, True), (4, "R17", "pyzbar", "9", 1.0, True), (5, "R17", "tesseract", "7", 0.5, True), (5, "R17", "pyzbar", "", 1.0, True)]
+    found = {r["doc_id"]: (r["text"], float(r["score"]), r["source"], r["flags"]) for r in reading.barcodes(spark.createDataFrame(rows, READING), catalogues.regions(spark)).collect()}
+    assert found == {1: ("001234", 1.0, "barcode_pyzbar", []), 2: ("1234", 0.6, "barcode_tesseract_ocrb", []), 3: ("", 0.0, "barcode_none", ["barcode_unreadable"]), 4: ("9", 1.0, "barcode_pyzbar", []), 5: ("7", 0.5, "barcode_tesseract_ocrb", [])}
+
+
+def test_readings_are_dealt_once(spark):
+    """From readings to reviewed documents: one scan, one exchange by document, broadcasts beside it."""
+    readings = spark.range(1000).selectExpr("id as doc_id", "explode(array('R05', 'R06', 'R17')) as roi_id").selectExpr("*", "'tesseract' as engine", "'1' as text", "0.9D as confidence", "true as available")
+    plan = validation.validated(reading.resolved(readings, catalogues.regions(spark)), catalogues.banks(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan

@@ -92,3 +92,10 @@ def test_confusions(spark):
     assert apply(spark, P.digit_confusion, "OolI|SsBGZ") == ["0011155862"]
     assert apply(spark, P.date_confusion, "OolI/S") == ["0011/S"]
     assert apply(spark, P.collapse_spaces, "  a \n\t b ") == ["a b"]
+
+
+def test_white_space_of_unicode_and_legal_forms(spark):
+    row = spark.createDataFrame([("1\u00a0234,500", "1\t234,500", "\u202f25\u00a0000,000\u00a0DT ", "01\u00a005\u20092024", "vingt\u00a0cinq\u3000mille\u202fdinars", " ste\u00a0\u2003x ", "ABC CO.LTD", "ABC CO. LTD")], list("abcdefgh")).select(
+        *[P.amount(F.col(c))["value"].cast("string").alias(c) for c in "abc"], P.date(F.col("d"))["normalised"].alias("d"), P.amount_words(F.col("e"))["value"].cast("string").alias("e"), P.name(F.col("f"))["value"].alias("f"), *[P.name(F.col(c))["company"].alias(c) for c in "gh"]
+    ).first()
+    assert tuple(row) == ("1234.500", "1234.500", "25000.000", "01/05/2024", "25000.000", "STE X", True, False)

@@ -48,7 +48,7 @@ def test_query(spark, duck, name):
 
 
 def test_word_boxes_hold_every_word(spark, duck):
-    """Against the readings' own words: the SQL of a7_word_boxes stops at the sixth."""
+    """Against the readings' own words, worked out here."""
     wanted, longest = {}, 0
     for r in plans.QUERIES["a6_readings"](spark, SF).where("engine = 'tesseract'").collect():
         words = list(enumerate(r["text"].split(" "), 1))
