@@ -15,7 +15,7 @@ more features; ties play no part; documents' other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -112,6 +112,22 @@ def fit_chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarr
     return models
 
 
+def _trainer(c: int, earlier: list[dict[int, float]]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Fits category ``c`` on the rows outside the group's fold (on all for k = -1) and predicts that fold."""
+    earlier = list(earlier)
+
+    def train(pdf: pd.DataFrame) -> pd.DataFrame:
+        k = int(pdf["k"].iloc[0])
+        pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
+        ids = pdf["doc_id"].to_numpy()
+        extra = np.array([[p[i] for p in earlier] for i in ids.tolist()], np.float64).reshape(len(ids), len(earlier))
+        fold = (ids * 2654435761 >> 8) % FOLDS
+        model, found = fit_fold(Rows([np.asarray(f, np.int64) for f in pdf["features"]]), extra, pdf[f"y{c}"].to_numpy(np.float64), fold, k)
+        return pd.DataFrame({"k": [k], "model": [model.tobytes() if k < 0 else None], "ids": [ids[fold == k].tolist()], "p": [found.tolist()]})
+
+    return train
+
+
 def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], max_rows: int = 8000) -> list[bytes]:
     """``categories``: name -> SQL condition over ``labels``, in the chain's order. Weights, 2 MB a category."""
     conditions = [F.expr(c).cast("int").alias(f"y{i}") for i, c in enumerate(categories.values())]
@@ -131,19 +147,9 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], max_ro
     models: list[bytes] = []
     unseen: list[dict[int, float]] = []  # of earlier categories, by document: at most about max_rows numbers each
     for c in range(len(categories)):
-
-        def train(pdf: pd.DataFrame, c: int = c, earlier: tuple = tuple(unseen)) -> pd.DataFrame:
-            k = int(pdf["k"].iloc[0])
-            pdf = pdf.sort_values("doc_id").drop_duplicates("doc_id")
-            ids = pdf["doc_id"].to_numpy()
-            extra = np.array([[p[i] for p in earlier] for i in ids.tolist()], np.float64).reshape(len(ids), len(earlier))
-            fold = (ids * 2654435761 >> 8) % FOLDS
-            model, found = fit_fold(Rows([np.asarray(f, np.int64) for f in pdf["features"]]), extra, pdf[f"y{c}"].to_numpy(np.float64), fold, k)
-            return pd.DataFrame({"k": [k], "model": [model.tobytes() if k < 0 else None], "ids": [ids[fold == k].tolist()], "p": [found.tolist()]})
-
         folds = range(-1, FOLDS if c + 1 < len(categories) else 0)
         dealt = data.select("*", F.explode(F.array(*map(F.lit, folds))).alias("k"))
-        fitted = dealt.groupBy("k").applyInPandas(train, "k int, model binary, ids array<long>, p array<double>").collect()
+        fitted = dealt.groupBy("k").applyInPandas(_trainer(c, unseen), "k int, model binary, ids array<long>, p array<double>").collect()
         if not fitted:
             return []
         models += [bytes(r["model"]) for r in fitted if r["k"] < 0]
