@@ -75,10 +75,12 @@ def test_odd_and_empty(spark, odd, empty):
     assert minhash.near_duplicates(empty).count() == 0
 
 
-@pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (5, 4), (4, 4), (3, 1)], [(i, i + 1) for i in range(40)]])
+@pytest.mark.parametrize("edges", [[], [(1, 2), (2, 3), (5, 4), (4, 4), (3, 1)], [(i, i + 1) for i in range(40)], [(7, i) for i in range(1000)] + [(2000 + i, 2999) for i in range(500)] + [(999, 2100)]])
 def test_components(spark, edges):
     root = {x: x for e in edges for x in e}
-    for _ in root:
+    before = None
+    while before != root:
+        before = dict(root)
         for a, b in edges:
             root[a] = root[b] = min(root[a], root[b])
     wanted = {(n, r) for n, r in root.items() if sum(v == r for v in root.values()) > 1}
