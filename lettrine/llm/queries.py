@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lattice, media, minhash, packing, repeats, secrets, toxicity, vectors
+from . import balls, bpe, centroids, langid, lattice, media, minhash, packing, repeats, secrets, toxicity, vectors, warc
 from .sql import ORACLE_SQL
 from .tables import table
 
@@ -80,6 +80,25 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id, op9_vectors, op10_repeats)}
+def op11_ball_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = balls.coded(table(spark, sf_dir, "embeddings"))
+    numbers = [str(c) for r in sorted(books.collect()) for c in r["centre"]]  # parts x entries x width, all of them parameters but the width
+    digest = F.sha2(F.lit(",".join(numbers)), 256)
+    code = F.array_join(F.transform("codes", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    return balls.label_errors(codes).select("vec_id", code.alias("code"), "error", "label_error", digest.alias("codebooks_sha256"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"), payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned, centres = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    named = centres.select("cluster", F.col("inertia").alias("cluster_inertia"), F.sha2(F.array_join("centroid", ","), 256).alias("centroid_sha256"))
+    whole = centres.agg(F.sum("inertia").alias("inertia"))
+    return assigned.join(F.broadcast(named.crossJoin(whole)), "cluster").select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")  # k rows
+
+
+QUERIES = {f.__name__: f for f in (op1_packing, op2_minhash, op3_lattice_likelihood, op4_byte_bpe, op5_secrets, op6_media, op7_toxicity, op8_language_id, op9_vectors, op10_repeats, op11_ball_codes, op12_warc, op13_centroids)}
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

@@ -70,6 +70,28 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Keys that hold more than one row in HOT are fewer than HOT; their rows are dealt to SALTS tasks.
+HOT, SALTS = 256, 64
+
+
+def with_totals(rows: DataFrame, totals: DataFrame, key: str, spread: str) -> DataFrame:
+    """``rows`` with the other columns of ``totals``, which has one row a key and ``n``, the key's number of rows; NULL where it has none.
+
+    Nulls are a key as any other. The frequent keys, fewer than HOT, are sent to all
+    tasks as names only; their rows are dealt by ``spread`` too, and their totals
+    repeated for each share. Neither side is broadcast, as both may grow.
+    """
+    totals = settled(totals)
+    count = totals.agg(F.sum("n")).first()[0] or 0
+    hot = totals.where(F.col("n") * HOT > count).select(F.col(key).alias("_k"), F.lit(True).alias("_hot"))
+    dealt = rows.join(F.broadcast(hot), rows[key].eqNullSafe(hot["_k"]), "left")
+    dealt = dealt.withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(0).cast("int"))
+    names = [c for c in totals.columns if c not in (key, "n")]
+    shares = F.when(F.col("n") * HOT > count, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread_out = totals.select(F.col(key).alias("_key"), *names, F.explode(shares).alias("_share")).hint("merge")
+    return dealt.join(spread_out, dealt[key].eqNullSafe(spread_out["_key"]) & (dealt["_salt"] == spread_out["_share"]), "left").select(*rows.columns, *names)
+
+
 def slot_of(key: Column, slots: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(slots))
 
