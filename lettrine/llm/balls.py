@@ -43,7 +43,7 @@ from . import grid
 from .tables import lean, stored, with_totals
 
 #: Rows whose parts are worked on at once.
-ROWS = 4096
+ROWS = 1 << 14
 FAR = 1 << 62
 
 
@@ -87,25 +87,22 @@ def reassigned(x: np.ndarray, codes: np.ndarray, b: Balls) -> tuple[np.ndarray,
     codes, distances, compared = codes.copy(), np.empty(codes.shape, np.int64), 0
     entries = b.centre.shape[1]
     for p in range(codes.shape[1]):
-        part, centre = x[:, p], b.centre[p]
-        distance = square(part - centre[codes[:, p]])
-        order = codes[:, p].argsort(kind="stable")
-        bounds = np.searchsorted(codes[order, p], np.arange(entries + 1))
-        for i in np.flatnonzero((np.diff(bounds) > 0) & ~b.still[p] & (b.near[p] > 0)):
-            members = order[bounds[i] : bounds[i + 1]]
-            ring = np.searchsorted(b.apart[p, i, : b.near[p, i]], 4 * distance[members], side="right")
-            outward = (-ring).argsort(kind="stable")
-            members, ring = members[outward], ring[outward]
-            best, who = distance[members], np.full(len(members), i)
-            for q in range(ring[0]):
-                n = np.searchsorted(-ring, -q)  # members in rings beyond q
-                j = b.order[p, i, q]
-                d = square(part[members[:n]] - centre[j])
-                compared += n
-                better = (d < best[:n]) | ((d == best[:n]) & (j < who[:n]))
-                best[:n][better], who[:n][better] = d[better], j
-            codes[members, p], distance[members] = who, best
-        distances[:, p] = distance
+        part, centre, own = x[:, p], b.centre[p], codes[:, p].copy()
+        distance = square(part - centre[own])
+        best, who, reach = distance.copy(), codes[:, p], 4 * distance
+        outer = np.flatnonzero(~b.still[p, own])
+        for q in range(entries - 1):
+            i = own[outer]
+            outer = outer[(q < b.near[p, i]) & (b.apart[p, i, q] <= reach[outer])]  # those in rings beyond the q-th neighbour
+            if not len(outer):
+                break
+            j = b.order[p, own[outer], q]
+            d = square(part[outer] - centre[j])
+            compared += len(outer)
+            better = (d < best[outer]) | ((d == best[outer]) & (j < who[outer]))
+            at = outer[better]
+            best[at], who[at] = d[better], j[better]
+        distances[:, p] = best
     return codes, distances, compared
 
 
