@@ -60,21 +60,24 @@ def diverges(first: Column, second: Column, threshold: float = DIVERGENCE) -> Co
     return (total > 0) & (digits_changed(first, second) > threshold * total)
 
 
-def sides(readings: DataFrame, regions: DataFrame) -> DataFrame:
+def sides(readings: DataFrame, regions: DataFrame, *routes: str) -> DataFrame:
     """One row a region of a document: its route and the readings ``one``, ``two`` and ``symbol`` of the two engines and the decoder, NULL where there is none.
 
-    Readings are dealt by document once, which serves what follows by document
+    With ``routes`` named, readings of other regions are left out where they are read.
+    The rest are dealt by document once, which serves what follows by document
     too. Of repeated readings by one engine the last in order counts.
     """
+    known = routed(readings, regions)
+    if routes:
+        known = known.where(F.col("route").isin(*routes))
     whole = F.struct("text", "confidence", "available")
     of = lambda engine: F.max(F.when(F.col("engine") == engine, whole))
-    rows = readings.repartition("doc_id").groupBy("doc_id", "roi_id").agg(of("tesseract").alias("one"), of("qwen").alias("two"), of("pyzbar").alias("symbol"))
-    return routed(rows, regions)
+    return known.repartition("doc_id").groupBy("doc_id", "roi_id", "route").agg(of("tesseract").alias("one"), of("qwen").alias("two"), of("pyzbar").alias("symbol"))
 
 
 def pairs(readings: DataFrame, regions: DataFrame) -> DataFrame:
     """First and second reading side by side, for the regions that take both."""
-    both = sides(readings, regions).where("route = 'tesseract_then_qwen' and one is not null")
+    both = sides(readings, regions, "tesseract_then_qwen").where("one is not null")
     return both.select("doc_id", "roi_id", F.col("one.text").alias("first"), F.col("one.confidence").alias("c1"), F.col("two.text").alias("second"), F.col("two.available").alias("available"))
 
 
@@ -137,11 +140,11 @@ def _flat(rows: DataFrame, reading: Column) -> DataFrame:
 
 
 def singles(readings: DataFrame, regions: DataFrame) -> DataFrame:
-    return _flat(sides(readings, regions), single_reading())
+    return _flat(sides(readings, regions, "tesseract", "qwen"), single_reading())
 
 
 def barcodes(readings: DataFrame, regions: DataFrame) -> DataFrame:
-    return _flat(sides(readings, regions), barcode_reading())
+    return _flat(sides(readings, regions, "barcode_decoder"), barcode_reading())
 
 
 def resolved(readings: DataFrame, regions: DataFrame) -> DataFrame:

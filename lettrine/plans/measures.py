@@ -82,13 +82,37 @@ def h14_corrections(spark, sf_dir):
     return done.groupBy("field").agg(F.count("correction").alias("corrected"), F.count_if(F.col("final").eqNullSafe(F.col("wanted"))).alias("right"), F.count("*").alias("n"))
 
 
+def h14_patterns(spark, sf_dir):
+    """What reviewers put right, character by character."""
+    return M.correction_patterns(_pairs(spark, sf_dir).where("not correct and doc_id % 3 = 0").select("field", "found", F.col("wanted").alias("correction")))
+
+
 _TRUTH = f", tr AS ({fixtures.TRUTH})"
 _AMOUNT = "CASE WHEN vu IS NOT NULL THEN CAST(vu AS VARCHAR) WHEN t10 IS NOT NULL THEN CASE WHEN contains(t10, '?') THEN nl ELSE CAST(vl AS VARCHAR) END END"
 _P = checks.V_ + _TRUTH + f""", pq AS (SELECT v.doc_id, review, CAST(confidence AS DOUBLE) AS confidence, tr.printed, v.rib AS rib_f, {_AMOUNT} AS amount_f, {duck.date_text("due")} AS due_f, {duck.date_text("made")} AS made_f, tr.rib AS rib_w, tr.amount AS amount_w, tr.echeance AS et, tr.creation AS ct FROM v JOIN tr ON v.doc_id = tr.doc_id)
 , pp AS ({" UNION ALL ".join(f"SELECT doc_id, review, confidence, printed, '{f}' AS field, {a} AS found, {b} AS wanted, {a} IS NOT DISTINCT FROM {b} AS correct FROM pq" for f, a, b in (("rib", "rib_f", "rib_w"), ("amount", "amount_f", "amount_w"), ("echeance", "due_f", "et"), ("creation", "made_f", "ct")))})
 , rt AS (SELECT doc_id, bool_and(correct) AS "right", any_value(review) AS review, any_value(confidence) AS confidence FROM pp GROUP BY doc_id)
 """
+_ALIKE = "len(list_filter(range(1, least(length({x}), length({y})) + 1), lambda i: {x}[1:i] = {y}[1:i]))"
+_PAIR = "concat({x}, chr(31), {y}, chr(30))"
+_CHANGE, _UP, _LEFT = "(rw[len(cu)].cost + CASE WHEN x[i] = y[len(cu)] THEN 0 ELSE 1 END)", "(rw[len(cu) + 1].cost + 1)", "(cu[len(cu)].cost + 1)"
+_CELL = f"""CASE WHEN len(cu) = 0 THEN {{'cost': rw[1].cost + 1, 'path': concat(rw[1].path, {_PAIR.format(x="x[i]", y="''")})}}
+ WHEN {_CHANGE} <= {_UP} AND {_CHANGE} <= {_LEFT} THEN {{'cost': {_CHANGE}, 'path': concat(rw[len(cu)].path, CASE WHEN x[i] = y[len(cu)] THEN '' ELSE {_PAIR.format(x="x[i]", y="y[len(cu)]")} END)}}
+ WHEN {_UP} <= {_LEFT} THEN {{'cost': {_UP}, 'path': concat(rw[len(cu) + 1].path, {_PAIR.format(x="x[i]", y="''")})}}
+ ELSE {{'cost': {_LEFT}, 'path': concat(cu[len(cu)].path, {_PAIR.format(x="''", y="y[len(cu)]")})}} END"""
+# A cell of the table of costs at a time, over the middles of the distinct corrections.
+_PATTERNS = _P.replace("WITH", "WITH RECURSIVE", 1) + f"""
+, k0 AS MATERIALIZED (SELECT field, coalesce(found, '') AS a, wanted AS b, count(*) AS n FROM pp WHERE NOT correct AND doc_id % 3 = 0 GROUP BY ALL)
+, k1 AS (SELECT field, n, reverse(substr(a, {_ALIKE.format(x="a", y="b")} + 1)) AS a, reverse(substr(b, {_ALIKE.format(x="a", y="b")} + 1)) AS b FROM k0)
+, k2 AS (SELECT field, n, reverse(substr(a, {_ALIKE.format(x="a", y="b")} + 1)) AS x, reverse(substr(b, {_ALIKE.format(x="a", y="b")} + 1)) AS y FROM k1)
+, k3 AS MATERIALIZED (SELECT row_number() OVER () AS id, field, n, x, y FROM (SELECT field, x, y, sum(n) AS n FROM k2 GROUP BY ALL))
+, rc AS (SELECT id, x, y, CAST(1 AS BIGINT) AS i, list_transform(range(0, length(y) + 1), lambda j: {{'cost': CAST(j AS BIGINT), 'path': array_to_string(list_transform(range(1, j + 1), lambda q: {_PAIR.format(x="''", y="y[q]")}), '')}}) AS rw, CAST([] AS STRUCT(cost BIGINT, path VARCHAR)[]) AS cu FROM k3
+  UNION ALL SELECT id, x, y, CASE WHEN len(cu) = length(y) THEN i + 1 ELSE i END, CASE WHEN len(cu) = length(y) THEN list_append(cu, cl) ELSE rw END, CASE WHEN len(cu) = length(y) THEN [] ELSE list_append(cu, cl) END
+  FROM (SELECT *, {_CELL} AS cl FROM rc WHERE i <= length(x)) AS s)
+, pt AS (SELECT field, n, unnest(list_filter(string_split(rw[length(k3.y) + 1].path, chr(30)), lambda p: p <> '')) AS p FROM rc JOIN k3 USING (id) WHERE i = length(k3.x) + 1)
+SELECT field, split_part(p, chr(31), 1) AS wrong, split_part(p, chr(31), 2) AS "right", CAST(sum(n) AS BIGINT) AS n FROM pt GROUP BY 1, 2, 3"""
 PAIRS = {
+    h14_patterns: _PATTERNS,
     h1_match_rate: _P + "SELECT field, round(avg(CAST(correct AS INT)), 6) AS rate FROM pp GROUP BY field",
     h2_character_errors: _P + "SELECT field, round(CAST(sum(levenshtein(coalesce(found, ''), wanted)) AS DOUBLE) / sum(length(wanted)), 6) AS rate FROM pp GROUP BY field",
     h3_document_accuracy: _P + 'SELECT count(*) AS n, round(avg(CAST("right" AS INT)), 6) AS accuracy FROM rt',

@@ -146,3 +146,16 @@ def test_readings_are_dealt_once(spark):
     readings = spark.range(1000).selectExpr("id as doc_id", "explode(array('R05', 'R06', 'R17')) as roi_id").selectExpr("*", "'tesseract' as engine", "'1' as text", "0.9D as confidence", "true as available")
     plan = validation.validated(reading.resolved(readings, catalogues.regions(spark)), catalogues.banks(spark))._jdf.queryExecution().executedPlan().toString()
     assert plan.split("== Initial Plan ==")[-1].count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_routes_are_chosen_before_readings_are_dealt(spark):
+    """Regions of other routes reach no exchange and no aggregate."""
+    readings = spark.range(1000).selectExpr("id as doc_id", "explode(array('R05', 'R06', 'R17')) as roi_id").selectExpr("*", "'tesseract' as engine", "'1' as text", "0.9D as confidence", "true as available")
+    for table in (reading.pairs, reading.singles, reading.barcodes, reading.worklist):
+        plan = table(readings, catalogues.regions(spark))._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+        exchange, join = plan.index("Exchange hashpartitioning(doc_id"), plan.index("BroadcastHashJoin")
+        assert plan.count("Exchange hashpartitioning") == 1 and exchange < join  # the plan's lower lines come first
+        assert plan.count("BroadcastHashJoin") == 1 and "route" in plan[exchange:]
+    # The catalogue's filter stands at its own scan, under the broadcast.
+    dealt = reading.sides(readings, catalogues.regions(spark), "barcode_decoder")
+    assert {r["roi_id"] for r in dealt.collect()} == {"R17"}
