@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .validation import RULES, _ok
+from .validation import CHANGED, RULES, _ok
 
 
 def merged_date(upper: Column, lower: Column) -> Column:
@@ -34,18 +34,20 @@ def amount_value() -> Column:
     return F.when(a.isNotNull(), F.struct(a["value"].alias("value"), F.coalesce("t09", F.lit("")).alias("in_words"), F.lit("DT").alias("currency"), F.col("words_match").alias("words_match"), F.col("s_amount").cast("double").alias("confidence"), (~_ok(a)).alias("needs_review")))
 
 
-def assembled(documents: DataFrame, stamps: DataFrame | None = None, explanations: DataFrame | None = None) -> DataFrame:
-    """One nested record a document. Stamps and explanations are optional tables by doc_id."""
+def assembled(documents: DataFrame, stamps: DataFrame | None = None, explanations: DataFrame | None = None, runs: DataFrame | None = None) -> DataFrame:
+    """One nested record a document. Optional, by doc_id: stamps (n_stamps, and hints and affected_rois if known), explanations, and runs (extracted_at)."""
     c = F.col
     docs = documents
-    if "second_used" not in docs.columns:
-        docs = docs.withColumn("second_used", F.lit(False))
-    docs = docs.join(stamps, "doc_id", "left") if stamps is not None else docs.withColumn("n_stamps", F.lit(0).cast("long"))
-    docs = docs.join(explanations, "doc_id", "left") if explanations is not None else docs.withColumn("explanation", F.lit(None).cast("string"))
+    for table in (stamps, explanations, runs):
+        docs = docs.join(table, "doc_id", "left") if table is not None else docs
+    absent = {"second_used": F.lit(False), "n_stamps": F.lit(0).cast("long"), "explanation": F.lit(None).cast("string"), "extracted_at": F.lit(None).cast("string"), "hints": F.lit(None).cast("array<string>"), "affected_rois": F.lit(None).cast("array<string>"), **{n: F.lit(0) for n in CHANGED}}
+    docs = docs.select("*", *[value.alias(n) for n, value in absent.items() if n not in docs.columns])
     explained = F.when(F.size("flags") > 0, c("explanation"))
+    none = F.array().cast("array<string>")
     return docs.select(
         "doc_id",
         F.nullif(c("t01"), F.lit("")).alias("payment_order"),
+        "extracted_at",
         merged_date(c("due_u"), c("due_l")).alias("echeance"),
         merged_date(c("made_u"), c("made_l")).alias("creation"),
         city(c("t04"), c("t11"), c("c04"), c("c11")).alias("city"),
@@ -54,13 +56,15 @@ def assembled(documents: DataFrame, stamps: DataFrame | None = None, explanation
         name_value(c("tireur"), c("c07")).alias("tireur"),
         name_value(c("beneficiary"), c("c08")).alias("beneficiary"),
         name_value(c("drawee"), c("c15")).alias("drawee"),
-        F.struct(F.nullif(c("t16"), F.lit("")).alias("value"), (F.coalesce(c("t16"), F.lit("")) == "").alias("needs_review")).alias("domiciliation"),
+        F.struct(F.nullif(c("t16"), F.lit("")).alias("value"), F.coalesce(c("c16"), F.lit(0)).alias("confidence"), F.lit("single").alias("source"), (F.coalesce(c("t16"), F.lit("")) == "").alias("needs_review")).alias("domiciliation"),
         F.struct(*[c(r) for r in RULES]).alias("validation"),
         c("confidence").cast("double").alias("confidence"),
         "review",
         F.when(F.coalesce("second_used", F.lit(False)), "qwen_fallback").otherwise("tesseract_only").alias("correction_source"),
+        F.struct(*[c(n).cast("int").alias(n) for n in CHANGED]).alias("corrections"),
         F.transform("flags", lambda f: F.struct(f["field"].alias("field"), f["error_type"].alias("error_type"), f["message"].alias("message"), f["hard"].alias("hard"), explained.alias("explanation"))).alias("flags"),
         F.coalesce("n_stamps", F.lit(0)).cast("long").alias("n_stamps"),
+        F.struct(F.coalesce("affected_rois", none).alias("affected_rois"), F.coalesce("hints", none).alias("hints")).alias("stamp_info"),
         explained.alias("explanation"),
     )
 
@@ -70,3 +74,14 @@ def failed(errors: DataFrame, record: DataFrame) -> DataFrame:
     flag = F.array(F.struct(F.lit("pipeline").alias("field"), F.lit("OCR_ERROR").alias("error_type"), F.col("error").alias("message"), F.lit(True).alias("hard"), F.lit(None).cast("string").alias("explanation")))
     given = {"doc_id": F.col("doc_id"), "confidence": F.lit(0.0), "review": F.lit(True), "flags": flag, "correction_source": F.lit("tesseract_only"), "n_stamps": F.lit(0).cast("long")}
     return errors.select([given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in record.schema])
+
+
+def with_failures(documents: DataFrame, failures: DataFrame) -> DataFrame:
+    """Assembled documents and failed ones (doc_id, error, line): one record for a document that failed, in place of what the rest of its lines gave.
+
+    Of several errors of a document the first in order is told. A failure that names no
+    document is a record of its own, so every line that came is in some record.
+    """
+    known = failures.where("doc_id is not null").groupBy("doc_id").agg(F.min("error").alias("error"))
+    unknown = failures.where("doc_id is null").select("doc_id", F.concat_ws(": ", "error", F.substring("line", 1, 200)).alias("error"))
+    return documents.join(known, "doc_id", "left_anti").unionByName(failed(known.unionByName(unknown), documents))

@@ -111,6 +111,18 @@ def hints(stamps: DataFrame) -> DataFrame:
     return stamps.groupBy("doc_id").agg(F.count("*").alias("n_stamps"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", text.alias("t")))), lambda x: x["t"]), "; ").alias("hints"))
 
 
-def page_warnings(pages: DataFrame, skews: DataFrame, aligned: DataFrame) -> DataFrame:
+def stamp_info(stamps: DataFrame, boxes_: DataFrame) -> DataFrame:
+    """Of each document with stamps: their number, the regions that they affect, and hints, in order."""
+    text = F.concat(F.initcap("colour"), F.lit(" stamp centred at ("), F.col("cx"), F.lit(", "), F.col("cy"), F.lit("), radius ~"), F.col("rx"), F.lit(" px"))
+    told = stamps.groupBy("doc_id").agg(F.count("*").alias("n_stamps"), F.transform(F.array_sort(F.collect_list(F.struct("seq", text.alias("t")))), lambda x: x["t"]).alias("hints"))
+    hit = overlaps(stamps, boxes_).groupBy("doc_id").agg(F.array_sort(F.collect_set("roi_id")).alias("affected_rois"))
+    return told.join(hit, "doc_id", "left").withColumn("affected_rois", F.coalesce("affected_rois", F.array().cast("array<string>")))
+
+
+def page_warning_lists(pages: DataFrame, skews: DataFrame, aligned: DataFrame) -> DataFrame:
     when: list[Column] = [F.when(F.col("border_w").isNull(), F.lit("perspective skipped")), F.when(F.col("steep"), F.lit("large skew")), F.when(F.col("low"), F.lit("low alignment confidence"))]
-    return pages.join(skews, "doc_id").join(aligned.select("doc_id", "low"), "doc_id").select("doc_id", F.array_join(F.array_compact(F.array(*when)), "; ").alias("warnings"))
+    return pages.join(skews, "doc_id").join(aligned.select("doc_id", "low"), "doc_id").select("doc_id", F.array_compact(F.array(*when)).alias("warnings"))
+
+
+def page_warnings(pages: DataFrame, skews: DataFrame, aligned: DataFrame) -> DataFrame:
+    return page_warning_lists(pages, skews, aligned).withColumn("warnings", F.array_join("warnings", "; "))

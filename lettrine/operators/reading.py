@@ -26,8 +26,9 @@ def routed(readings: DataFrame, regions: DataFrame, skip_second: bool = False) -
     return readings.join(F.broadcast(regions.select("roi_id", "route")), "roi_id").withColumn("route", route)
 
 
-def passes_gate(confidence: Column, gate: float = GATE) -> Column:
-    return confidence >= gate
+def passes_gate(confidence: Column, error: Column | None = None, gate: float = GATE) -> Column:
+    """Sure enough, and read without an error."""
+    return (confidence >= gate) & (F.lit(True) if error is None else F.coalesce(error, F.lit("")) == "")
 
 
 def digits(text: Column) -> Column:
@@ -70,7 +71,8 @@ def sides(readings: DataFrame, regions: DataFrame, *routes: str) -> DataFrame:
     known = routed(readings, regions)
     if routes:
         known = known.where(F.col("route").isin(*routes))
-    whole = F.struct("text", "confidence", "available")
+    error = F.col("error") if "error" in readings.columns else F.lit(None).cast("string")
+    whole = F.struct("text", "confidence", "available", error.alias("error"))
     of = lambda engine: F.max(F.when(F.col("engine") == engine, whole))
     return known.repartition("doc_id").groupBy("doc_id", "roi_id", "route").agg(of("tesseract").alias("one"), of("qwen").alias("two"), of("pyzbar").alias("symbol"))
 
@@ -78,18 +80,19 @@ def sides(readings: DataFrame, regions: DataFrame, *routes: str) -> DataFrame:
 def pairs(readings: DataFrame, regions: DataFrame) -> DataFrame:
     """First and second reading side by side, for the regions that take both."""
     both = sides(readings, regions, "tesseract_then_qwen").where("one is not null")
-    return both.select("doc_id", "roi_id", F.col("one.text").alias("first"), F.col("one.confidence").alias("c1"), F.col("two.text").alias("second"), F.col("two.available").alias("available"))
+    return both.select("doc_id", "roi_id", F.col("one.text").alias("first"), F.col("one.confidence").alias("c1"), F.col("two.text").alias("second"), F.col("two.available").alias("available"), F.col("one.error").alias("error"))
 
 
-def _row(text: Column, score: Column, source: Column | str, flags: Column | None = None) -> Column:
+def _row(text: Column, score: Column, source: Column | str, flags: Column | None = None, changed: Column | None = None) -> Column:
     none = F.array().cast("array<string>")
-    return F.struct(text.alias("text"), score.cast(SCORE).alias("score"), (F.lit(source) if isinstance(source, str) else source).alias("source"), (none if flags is None else F.coalesce(flags, none)).alias("flags"))
+    changed = (F.lit(0) if changed is None else F.coalesce(changed, F.lit(0))).cast("int").alias("changed")
+    return F.struct(text.alias("text"), score.cast(SCORE).alias("score"), (F.lit(source) if isinstance(source, str) else source).alias("source"), (none if flags is None else F.coalesce(flags, none)).alias("flags"), changed)
 
 
-def merged_reading(first: Column, c1_: Column, second_: Column, available: Column) -> Column:
-    """One reading of two: text, score, source and flags.
+def merged_reading(first: Column, c1_: Column, second_: Column, available: Column, error: Column | None = None) -> Column:
+    """One reading of two: text, score, source, flags, and how many digits the second reading changes where it was asked for. ``error`` is the first reading's.
 
-    In this order: sure enough, no second reading, question marks filled,
+    In this order: sure enough and without error, no second reading, question marks filled,
     second reading diverges, both agree, they disagree.
     """
     c1 = c1_.cast(SCORE)
@@ -99,20 +102,21 @@ def merged_reading(first: Column, c1_: Column, second_: Column, available: Colum
     left = F.length(filled) - F.length(F.replace(filled, F.lit("?"), F.lit("")))
     partial = F.greatest(F.lit("0.20").cast(SCORE), (F.lit("0.70").cast(SCORE) - left * F.lit("0.05").cast("decimal(4,2)")).cast(SCORE))
     weight = lambda x: F.lit(x).cast("decimal(4,2)")
+    changed = digits_changed(first, second)
     return (
-        F.when(passes_gate(c1_), _row(first, c1, "tesseract"))
+        F.when(passes_gate(c1_, error), _row(first, c1, "tesseract"))
         .when(~known, _row(first, c1, "tesseract", F.array(F.lit("qwen_unavailable"))))
-        .when(F.contains(second, F.lit("?")), _row(filled, partial, "merged", F.when(left > 0, F.array(F.format_string("partial_unreadable_%d_chars", left)))))
-        .when(diverges(first, second), _row(first, c1 * weight("0.85"), "tesseract", F.array(F.lit("qwen_rejected_divergence"))))
-        .when(texts_agree(first, second), _row(first, F.least(F.lit(1).cast(SCORE), (weight("0.70") + weight("0.30") * c1).cast(SCORE)), "tesseract"))
-        .otherwise(_row(second, F.least(weight("0.75").cast(SCORE), (weight("0.27") + weight("0.30") * c1).cast(SCORE)), "qwen", F.array(F.lit("tess_qwen_disagree"))))
+        .when(F.contains(second, F.lit("?")), _row(filled, partial, "merged", F.when(left > 0, F.array(F.format_string("partial_unreadable_%d_chars", left))), changed))
+        .when(diverges(first, second), _row(first, c1 * weight("0.85"), "tesseract", F.array(F.lit("qwen_rejected_divergence")), changed))
+        .when(texts_agree(first, second), _row(first, F.least(F.lit(1).cast(SCORE), (weight("0.70") + weight("0.30") * c1).cast(SCORE)), "tesseract", None, changed))
+        .otherwise(_row(second, F.least(weight("0.75").cast(SCORE), (weight("0.27") + weight("0.30") * c1).cast(SCORE)), "qwen", F.array(F.lit("tess_qwen_disagree")), changed))
     )
 
 
 def merged(side_by_side: DataFrame) -> DataFrame:
     """The merged readings of pairs, with the digits that the second reading changes and the first one's."""
     c = F.col
-    outcome = merged_reading(c("first"), c("c1"), c("second"), c("available"))
+    outcome = merged_reading(c("first"), c("c1"), c("second"), c("available"), c("error") if "error" in side_by_side.columns else None)
     return side_by_side.select("doc_id", "roi_id", "first", "second", outcome.alias("m")).select("doc_id", "roi_id", "m.text", "m.score", "m.source", "m.flags", digits_changed(c("first"), F.coalesce("second", F.lit(""))).alias("changed"), F.length(digits(c("first"))).alias("total"))
 
 
@@ -148,15 +152,15 @@ def barcodes(readings: DataFrame, regions: DataFrame) -> DataFrame:
 
 
 def resolved(readings: DataFrame, regions: DataFrame) -> DataFrame:
-    """One reading for each region of a document: doc_id, roi_id, text, score, source, flags. Readings are read and dealt once."""
+    """One reading for each region of a document: doc_id, roi_id, text, score, source, flags, changed. Readings are read and dealt once."""
     one, two = F.col("one"), F.col("two")
-    pair = F.when((F.col("route") == "tesseract_then_qwen") & one.isNotNull(), merged_reading(one["text"], one["confidence"], two["text"], two["available"]))
+    pair = F.when((F.col("route") == "tesseract_then_qwen") & one.isNotNull(), merged_reading(one["text"], one["confidence"], two["text"], two["available"], one["error"]))
     return _flat(sides(readings, regions), F.coalesce(pair, single_reading(), barcode_reading()))
 
 
 def worklist(readings: DataFrame, regions: DataFrame) -> DataFrame:
     """Readings that still need a second one: under the gate, and without an available second reading."""
-    return pairs(readings, regions).where(~passes_gate(F.col("c1")) & ~F.coalesce("available", F.lit(False))).select("doc_id", "roi_id", F.col("c1").alias("confidence"))
+    return pairs(readings, regions).where(~passes_gate(F.col("c1"), F.col("error")) & ~F.coalesce("available", F.lit(False))).select("doc_id", "roi_id", F.col("c1").alias("confidence"))
 
 
 def prompt(roi_id: Column) -> Column:

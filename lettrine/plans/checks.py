@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lettrine.operators import assembly as A
+from lettrine.operators import audit as U
 from lettrine.operators import geometry as G
 from lettrine.operators import reading as R
 from lettrine.operators import validation as V
-from lettrine.sources import catalogues, fixtures
+from lettrine.sources import catalogues, fixtures, ingest
 
 from . import duck
 
@@ -22,17 +23,25 @@ def documents(spark, sf_dir):
     return V.validated(merged_readings(spark, sf_dir), catalogues.banks(spark))
 
 
+def _assembled(spark, sf_dir, merged):
+    stamps = G.stamp_info(G.score_stamps(fixtures.stamps(spark, sf_dir)), G.boxes(fixtures.pages(spark, sf_dir), catalogues.regions(spark), padded=False))
+    runs = fixtures.runs(spark, sf_dir).select("doc_id", "extracted_at")
+    return A.assembled(V.validated(merged, catalogues.banks(spark)), stamps, fixtures.explanations(spark, sf_dir), runs)
+
+
 def assembled(spark, sf_dir):
-    stamps = G.score_stamps(fixtures.stamps(spark, sf_dir)).groupBy("doc_id").agg(F.count("*").alias("n_stamps"))
-    return A.assembled(documents(spark, sf_dir), stamps, fixtures.explanations(spark, sf_dir))
+    return _assembled(spark, sf_dir, merged_readings(spark, sf_dir))
+
+
+def arrived(spark, sf_dir):
+    """(readings, failures) of the lines as they arrive."""
+    return ingest.split_lines(fixtures.arrived_lines(spark, sf_dir))
 
 
 def batch(spark, sf_dir):
-    """Assembled documents, and records of those that could not be read."""
-    good = assembled(spark, sf_dir)
-    failed = F.col("doc_id") % 50 == 3  # stands for documents whose reading raised an error
-    errors = fixtures.pages(spark, sf_dir).where(failed).select("doc_id", F.concat(F.lit("cannot read page of "), F.col("doc_id")).alias("error"))
-    return good.where(~failed).unionByName(A.failed(errors, good))
+    """Assembled documents, and records of those with lines that could not be read."""
+    good, failures = arrived(spark, sf_dir)
+    return A.with_failures(_assembled(spark, sf_dir, R.resolved(good, catalogues.regions(spark))), failures)
 
 
 def review_by_bank(spark, sf_dir):
@@ -99,7 +108,8 @@ def e20_names(spark, sf_dir):
 
 
 def e21_texts(spark, sf_dir):
-    return assembled(spark, sf_dir).select("doc_id", "payment_order", F.col("domiciliation.value").alias("domiciliation"), F.col("domiciliation.needs_review").alias("needs_review"))
+    d = assembled(spark, sf_dir)
+    return d.select("doc_id", "payment_order", F.col("domiciliation.value").alias("domiciliation"), F.col("domiciliation.confidence").cast("double").alias("confidence"), F.col("domiciliation.source").alias("source"), F.col("domiciliation.needs_review").alias("needs_review"))
 
 
 def e22_validation(spark, sf_dir):
@@ -119,13 +129,13 @@ def e25_explained(spark, sf_dir):
 
 
 def e26_document(spark, sf_dir):
-    return assembled(spark, sf_dir).select("doc_id", "payment_order", F.col("echeance.value").alias("due"), F.col("creation.value").alias("made"), F.col("city.value").alias("city"), F.col("rib.full").alias("rib"), F.col("amount.value").cast("double").alias("amount"), F.col("drawee.value").alias("drawee"), "confidence", "review", "n_stamps", F.size("flags").alias("n_flags"))
+    return assembled(spark, sf_dir).select("doc_id", "payment_order", F.col("echeance.value").alias("due"), F.col("creation.value").alias("made"), F.col("city.value").alias("city"), F.col("rib.full").alias("rib"), F.col("amount.value").cast("double").alias("amount"), F.col("drawee.value").alias("drawee"), "confidence", "review", "n_stamps", F.size("flags").alias("n_flags"), "extracted_at", F.array_join("stamp_info.affected_rois", ",").alias("affected_rois"), F.array_join("stamp_info.hints", "; ").alias("hints"), "corrections.*")
 
 
 def a10_document_json(spark, sf_dir):
     """Whole nested documents as JSON, an amount as text; what is returned was read back from that."""
-    d = assembled(spark, sf_dir).withColumn("amount", F.col("amount").withField("value", F.col("amount.value").cast("string")))
-    lines = d.select(F.to_json(F.struct(*d.columns)).alias("json"))
+    d = assembled(spark, sf_dir)
+    lines = d.select(U.document_json(d).alias("json"))
     of = lambda path, kind="string": F.get_json_object("json", f"$.{path}").cast(kind)
     rules = F.concat_ws(",", *[of(f"validation.{r}") for r in V.RULES])
     return lines.select(
@@ -135,14 +145,28 @@ def a10_document_json(spark, sf_dir):
 
 
 def a14_failed_documents(spark, sf_dir):
-    return batch(spark, sf_dir).select("doc_id", "confidence", "review", F.size("flags").alias("n_flags"), F.get("flags", F.lit(0))["field"].alias("first_field"))
+    return batch(spark, sf_dir).select("doc_id", "confidence", "review", F.size("flags").alias("n_flags"), F.get("flags", F.lit(0))["field"].alias("first_field"), F.when(F.get("flags", F.lit(0))["field"] == "pipeline", F.get("flags", F.lit(0))["message"]).alias("error"))
+
+
+def a14_line_outcomes(spark, sf_dir):
+    """What has come of every line: lines, documents and regions by error."""
+    outcomes = ingest.line_outcomes(fixtures.arrived_lines(spark, sf_dir))
+    return outcomes.groupBy("error").agg(F.count("*").alias("lines"), F.count("doc_id").alias("named"), F.coalesce(F.sum(F.when(F.col("error").isNull(), F.size("fields"))), F.lit(0)).alias("regions"))
 
 
+_FAILS = f"doc_id % 50 IN ({fixtures.CUT}, {fixtures.WORD}, {fixtures.BARE})"
+_ERROR = f"CASE WHEN doc_id % 50 = {fixtures.BARE} THEN 'no regions' ELSE 'not a record of readings' END"
+#: What is left of the readings after the lines of the second engine that are no JSON.
+ARRIVED = duck.readings(f"NOT (engine = 'qwen' AND doc_id % 50 = {fixtures.GARBLED})")
 V_ = duck.READINGS + duck.MERGED + duck.parsed("rs") + duck.CHECKED
 ASM = V_ + duck.GEOMETRY + """
 , src AS (SELECT doc_id, bool_or(source = 'qwen') AS second FROM rs GROUP BY doc_id)
-, stc AS (SELECT doc_id, count(*) AS n_stamps FROM ss GROUP BY doc_id)
-, asm AS (SELECT v.*, coalesce(second, false) AS second, coalesce(n_stamps, 0) AS n_stamps, CASE WHEN n_hard + n_soft > 0 THEN explanation END AS explanation FROM v LEFT JOIN src USING (doc_id) LEFT JOIN stc USING (doc_id) LEFT JOIN explanations_m USING (doc_id))
+, stc AS (SELECT doc_id, count(*) AS n_stamps, list(concat(upper(substr(colour, 1, 1)), substr(colour, 2), ' stamp centred at (', cx, ', ', cy, '), radius ~', rx, ' px') ORDER BY seq) AS hints FROM ss GROUP BY doc_id)
+, hit AS (SELECT doc_id, list(DISTINCT roi_id ORDER BY roi_id) AS affected_rois FROM ov GROUP BY doc_id)
+, chg AS (SELECT doc_id, CAST(sum(CASE WHEN rule >= 2 AND roi_id IN ('R05', 'R14') THEN changed ELSE 0 END) AS INT) AS rib_changed, CAST(sum(CASE WHEN rule >= 2 AND roi_id IN ('R06', 'R10') THEN changed ELSE 0 END) AS INT) AS amount_changed FROM mg GROUP BY doc_id)
+, asm AS (SELECT v.*, coalesce(second, false) AS second, coalesce(n_stamps, 0) AS n_stamps, coalesce(hints, []) AS hints, coalesce(affected_rois, []) AS affected_rois, coalesce(rib_changed, 0) AS rib_changed, coalesce(amount_changed, 0) AS amount_changed, CASE WHEN n_hard + n_soft > 0 THEN explanation END AS explanation,
+  image_path, operator_id, extracted_at, logged_at, log_date, seconds
+  FROM v LEFT JOIN src USING (doc_id) LEFT JOIN stc USING (doc_id) LEFT JOIN hit USING (doc_id) LEFT JOIN chg USING (doc_id) LEFT JOIN explanations_m USING (doc_id) LEFT JOIN runs_m USING (doc_id))
 """
 
 
@@ -172,12 +196,15 @@ PAIRS = {
     e18_rib_value: V_ + 'SELECT doc_id, rib AS "full", CASE WHEN rib IS NOT NULL THEN bank_code END AS bank_code, CASE WHEN rib IS NOT NULL THEN rib_ok END AS key_valid, CASE WHEN rib IS NOT NULL THEN bank_name END AS bank_name, CASE WHEN rib IS NOT NULL THEN CAST(s_rib AS DOUBLE) END AS confidence, CASE WHEN rib IS NOT NULL THEN rib_source END AS source, CASE WHEN rib IS NOT NULL THEN NOT rib_ok END AS needs_review FROM v',
     e19_city: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) SELECT doc_id, coalesce(nullif(t04, ''), nullif(t11, '')) AS value, CASE WHEN nullif(t04, '') IS NOT NULL THEN 'upper' WHEN nullif(t11, '') IS NOT NULL THEN 'lower' ELSE 'single' END AS source, CAST(coalesce(CASE WHEN nullif(t04, '') IS NOT NULL THEN c04 ELSE c11 END, 0) AS DOUBLE) AS confidence FROM w",
     e20_names: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) " + _NAMES,
-    e21_texts: V_ + "SELECT doc_id, nullif(t01, '') AS payment_order, nullif(t16, '') AS domiciliation, coalesce(t16, '') = '' AS needs_review FROM v",
+    e21_texts: V_ + "SELECT doc_id, nullif(t01, '') AS payment_order, nullif(t16, '') AS domiciliation, CAST(coalesce(c16, 0) AS DOUBLE) AS confidence, 'single' AS source, coalesce(t16, '') = '' AS needs_review FROM v",
     e22_validation: V_ + f"SELECT doc_id, {', '.join(V.RULES)} FROM v",
     e23_correction_source: ASM + "SELECT doc_id, CASE WHEN second THEN 'qwen_fallback' ELSE 'tesseract_only' END AS correction_source FROM asm",
     e24_flagged_fields: V_ + "SELECT v.doc_id, n_hard + n_soft AS n, coalesce(flagged, '') AS flagged FROM v LEFT JOIN (SELECT doc_id, string_agg(concat(field, ':', error_type), ',' ORDER BY seq) AS flagged FROM fl GROUP BY doc_id) USING (doc_id)",
     e25_explained: ASM + "SELECT doc_id, explanation, CASE WHEN explanation IS NULL THEN 0 ELSE n_hard + n_soft END AS explained FROM asm WHERE n_hard + n_soft > 0",
-    e26_document: ASM + f"SELECT doc_id, nullif(t01, '') AS payment_order, {_DUE[0]} AS due, {_MADE[0]} AS made, coalesce(nullif(t04, ''), nullif(t11, '')) AS city, rib, CAST(v AS DOUBLE) AS amount, nullif({duck.name_value('t15')}, '') AS drawee, CAST(confidence AS DOUBLE) AS confidence, review, n_stamps, n_hard + n_soft AS n_flags FROM asm",
+    e26_document: ASM + f"SELECT doc_id, nullif(t01, '') AS payment_order, {_DUE[0]} AS due, {_MADE[0]} AS made, coalesce(nullif(t04, ''), nullif(t11, '')) AS city, rib, CAST(v AS DOUBLE) AS amount, nullif({duck.name_value('t15')}, '') AS drawee, CAST(confidence AS DOUBLE) AS confidence, review, n_stamps, n_hard + n_soft AS n_flags, extracted_at, array_to_string(affected_rois, ',') AS affected_rois, array_to_string(hints, '; ') AS hints, rib_changed, amount_changed, 0 AS dates_changed FROM asm",
     a10_document_json: ASM + f"""SELECT asm.doc_id, nullif(t01, '') AS payment_order, CAST(v AS VARCHAR) AS amount, CASE WHEN t06 IS NOT NULL OR t10 IS NOT NULL THEN 'DT' END AS currency, rib, CASE WHEN rib IS NOT NULL THEN bank_name END AS bank, {_DUE[0]} AS due, {_MADE[1]} AS made_source, coalesce(nullif(t04, ''), nullif(t11, '')) AS city, nullif({duck.name_value('t15')}, '') AS drawee, coalesce(t16, '') = '' AS no_bank, concat_ws(',', {", ".join(f"CAST({r} AS VARCHAR)" for r in V.RULES)}) AS rules, CAST(confidence AS DOUBLE) AS confidence, review, CASE WHEN second THEN 'qwen_fallback' ELSE 'tesseract_only' END AS correction_source, n_stamps, field AS first_field, explanation AS first_explanation FROM asm LEFT JOIN (SELECT doc_id, arg_min(field, seq) AS field FROM fl GROUP BY doc_id) AS ff ON ff.doc_id = asm.doc_id""",
-    a14_failed_documents: V_ + "SELECT v.doc_id, CAST(confidence AS DOUBLE) AS confidence, review, n_hard + n_soft AS n_flags, field AS first_field FROM v LEFT JOIN (SELECT doc_id, arg_min(field, seq) AS field FROM fl GROUP BY doc_id) USING (doc_id) WHERE doc_id % 50 <> 3 UNION ALL SELECT doc_id, 0.0, true, 1, 'pipeline' FROM pages_m WHERE doc_id % 50 = 3",
+    a14_failed_documents: ARRIVED + duck.MERGED + duck.parsed("rs") + duck.CHECKED + f"""SELECT v.doc_id, CAST(confidence AS DOUBLE) AS confidence, review, n_hard + n_soft AS n_flags, field AS first_field, NULL AS error FROM v LEFT JOIN (SELECT doc_id, arg_min(field, seq) AS field FROM fl GROUP BY doc_id) USING (doc_id) WHERE NOT {_FAILS}
+UNION ALL SELECT doc_id, 0.0, true, 1, 'pipeline', {_ERROR} FROM pages_m WHERE {_FAILS} UNION ALL SELECT NULL, 0.0, true, 1, 'pipeline', concat('not a record of readings: engine stopped at ', CAST(doc_id AS VARCHAR)) FROM pages_m WHERE doc_id % 50 = {fixtures.GARBLED}""",
+    a14_line_outcomes: duck.READINGS + f""", ln AS (SELECT doc_id, engine, count(*) AS n FROM readings GROUP BY doc_id, engine), oc AS (SELECT n, CASE WHEN engine = 'tesseract' AND {_FAILS} THEN {_ERROR} WHEN engine = 'qwen' AND doc_id % 50 = {fixtures.GARBLED} THEN 'not a record of readings' END AS error, NOT (engine = 'qwen' AND doc_id % 50 = {fixtures.GARBLED}) AS named FROM ln)
+SELECT error, count(*) AS lines, count(*) FILTER (WHERE named) AS named, CAST(coalesce(sum(CASE WHEN error IS NULL THEN n END), 0) AS BIGINT) AS regions FROM oc GROUP BY error""",
 }

@@ -13,12 +13,17 @@ def _values(rows: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(show(x).replace("''", "''") for x in r) + ")" for r in rows)
 
 
-READINGS = fixtures.ctes() + f"""
+def readings(condition: str = "true") -> str:
+    """The derived tables, with the readings that the condition chooses."""
+    return fixtures.ctes(condition) + _CATALOGUES
+
+
+_CATALOGUES = f"""
 , region(roi_id, name, tier, x, y, w, h, padding, route, allowed) AS (VALUES {_values(catalogues.REGIONS)})
 , bank(code, bank_name) AS (VALUES {_values(catalogues.BANKS)})
-, first_r AS (SELECT doc_id, roi_id, text, CAST(confidence AS DECIMAL(9,4)) AS score FROM readings WHERE engine = 'tesseract')
+, first_r AS (SELECT doc_id, roi_id, text, CAST(confidence AS DECIMAL(9,4)) AS score, error FROM readings WHERE engine = 'tesseract')
 """
-
+READINGS = readings()
 
 #: White space in texts, each character named; DuckDB's own patterns know ASCII alone.
 WHITE = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -136,8 +141,6 @@ def parsed(of: str) -> str:
 """
 
 
-PARSED = parsed("first_r")
-
 _BEST = """CASE WHEN rvu THEN {u} WHEN rvl THEN {l} WHEN t05 IS NOT NULL AND NOT qu THEN {u} WHEN t14 IS NOT NULL AND NOT ql THEN {l} ELSE {u} END"""
 CHECKED = f"""
 , b AS (SELECT p.*, {_BEST.format(u="CASE WHEN wu THEN xu END", l="CASE WHEN wl THEN xl END")} AS rib, {_BEST.format(u="qu", l="ql")} AS rib_q, {_BEST.format(u="rvu", l="rvl")} AS rib_ok,
@@ -184,14 +187,14 @@ CHECKED = f"""
 _DIG = "regexp_replace({t}, '[^0-9]', '', 'g')"
 _CHANGED = "(len(list_filter(generate_series(1, least(length(d1), length(d2))), lambda i: substr(d1, CAST(i AS INT), 1) <> substr(d2, CAST(i AS INT), 1))) + abs(length(d1) - length(d2)))"
 MERGED = f"""
-, pr AS (SELECT a.doc_id, a.roi_id, a.text AS first, CAST(a.confidence AS DECIMAL(9,4)) AS c1, q.text AS second, coalesce(q.available, false) AS available
+, pr AS (SELECT a.doc_id, a.roi_id, a.text AS first, CAST(a.confidence AS DECIMAL(9,4)) AS c1, q.text AS second, coalesce(q.available, false) AS available, coalesce(a.error, '') AS err
   FROM readings AS a JOIN region USING (roi_id) LEFT JOIN readings AS q ON q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen')
 , pr1 AS (SELECT pr.*, CASE WHEN available THEN second ELSE '' END AS sec, {_DIG.format(t="first")} AS d1, {_DIG.format(t="coalesce(second, '')")} AS d2,
   {_DIG.format(t="CASE WHEN available THEN second ELSE '' END")} AS ds FROM pr)
 , pr2 AS (SELECT pr1.*, {_CHANGED} AS changed, {_CHANGED.replace("d2", "ds")} AS changed_s, length(d1) AS total,
   CASE WHEN first <> '' THEN coalesce(array_to_string(list_transform(generate_series(1, length(sec)), lambda i: CASE WHEN substr(sec, CAST(i AS INT), 1) = '?' AND regexp_matches(substr(first, CAST(i AS INT), 1), '^[0-9]$') THEN substr(first, CAST(i AS INT), 1) ELSE substr(sec, CAST(i AS INT), 1) END), ''), '') ELSE sec END AS filled FROM pr1)
 , pr3 AS (SELECT pr2.*, length(filled) - length(replace(filled, '?', '')) AS lft,
-  CASE WHEN c1 >= 0.80 THEN 0 WHEN NOT available THEN 1 WHEN contains(sec, '?') THEN 2 WHEN total > 0 AND changed_s > 0.30 * total THEN 3 WHEN upper({solid("first")}) = upper({solid("sec")}) AND {solid("first")} <> '' THEN 4 ELSE 5 END AS rule FROM pr2)
+  CASE WHEN c1 >= 0.80 AND err = '' THEN 0 WHEN NOT available THEN 1 WHEN contains(sec, '?') THEN 2 WHEN total > 0 AND changed_s > 0.30 * total THEN 3 WHEN upper({solid("first")}) = upper({solid("sec")}) AND {solid("first")} <> '' THEN 4 ELSE 5 END AS rule FROM pr2)
 , mg AS MATERIALIZED (SELECT doc_id, roi_id, changed, total, rule,
   CASE rule WHEN 2 THEN filled WHEN 5 THEN sec ELSE first END AS text,
   CASE rule WHEN 0 THEN c1 WHEN 1 THEN c1 WHEN 2 THEN CAST(greatest(0.20, 0.70 - lft * 0.05) AS DECIMAL(9,4)) WHEN 3 THEN CAST(c1 * 0.85 AS DECIMAL(9,4)) WHEN 4 THEN CAST(least(1, 0.70 + 0.30 * c1) AS DECIMAL(9,4)) ELSE CAST(least(0.75, 0.27 + 0.30 * c1) AS DECIMAL(9,4)) END AS score,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from lettrine.operators import geometry as G
 from lettrine.operators import measures as M
 from lettrine.operators import validation as V
 from lettrine.sources import catalogues, fixtures
@@ -41,8 +42,18 @@ def h6_calls_per_document(spark, sf_dir):
     return calls.agg(F.round(F.avg("calls"), 6).alias("mean"), F.round(F.percentile("calls", 0.95), 6).alias("p95"))
 
 
+def h6_calls_sketch(spark, sf_dir):
+    """The same from sketches of each year's runs, and whether the quantile's rank is within the sketch's stated error."""
+    calls = fixtures.readings(spark, sf_dir).groupBy("doc_id").agg(F.count_if((F.col("engine") == "qwen") & F.col("available")).alias("calls"))
+    calls = calls.join(fixtures.runs(spark, sf_dir).select("doc_id", "log_date"), "doc_id")
+    found = M.calls_of_sketches(M.call_sketches(calls, "log_date"))
+    ranks = calls.crossJoin(F.broadcast(found)).agg(F.avg((F.col("calls") <= F.col("quantile")).cast("int")).alias("upto"), F.avg((F.col("calls") < F.col("quantile")).cast("int")).alias("below"))
+    return found.crossJoin(ranks).select("n", "mean", ((F.col("upto") >= 0.95 - M.SKETCH_ERROR) & (F.col("below") <= 0.95 + M.SKETCH_ERROR)).alias("within"))
+
+
 def h7_accuracy_by_stratum(spark, sf_dir):
-    return _pairs(spark, sf_dir).cube("printed", "field").agg(F.count("*").alias("n"), F.round(F.avg(F.col("correct").cast("int")), 6).alias("rate"))
+    overlaps = G.overlaps(G.score_stamps(fixtures.stamps(spark, sf_dir)), G.boxes(fixtures.pages(spark, sf_dir), catalogues.regions(spark), padded=False))
+    return M.by_stratum(_pairs(spark, sf_dir), M.affected_fields(overlaps))
 
 
 def h8_words_mismatches(spark, sf_dir):
@@ -93,6 +104,7 @@ _P = checks.V_ + _TRUTH + f""", pq AS (SELECT v.doc_id, review, CAST(confidence
 , pp AS ({" UNION ALL ".join(f"SELECT doc_id, review, confidence, printed, '{f}' AS field, {a} AS found, {b} AS wanted, {a} IS NOT DISTINCT FROM {b} AS correct FROM pq" for f, a, b in (("rib", "rib_f", "rib_w"), ("amount", "amount_f", "amount_w"), ("echeance", "due_f", "et"), ("creation", "made_f", "ct")))})
 , rt AS (SELECT doc_id, bool_and(correct) AS "right", any_value(review) AS review, any_value(confidence) AS confidence FROM pp GROUP BY doc_id)
 """
+_FIELD_OF = "CASE " + " ".join(f"WHEN roi_id IN {ids} THEN '{f}'" for f, ids in M.FIELD_REGIONS.items()) + " END"
 _ALIKE = "len(list_filter(range(1, least(length({x}), length({y})) + 1), lambda i: {x}[1:i] = {y}[1:i]))"
 _PAIR = "concat({x}, chr(31), {y}, chr(30))"
 _CHANGE, _UP, _LEFT = "(rw[len(cu)].cost + CASE WHEN x[i] = y[len(cu)] THEN 0 ELSE 1 END)", "(rw[len(cu) + 1].cost + 1)", "(cu[len(cu)].cost + 1)"
@@ -119,7 +131,8 @@ PAIRS = {
     h4_rejection_rate: checks.V_ + "SELECT round(avg(CAST(review AS INT)), 6) AS rate FROM v",
     h5_false_acceptance: _P + 'SELECT count(*) FILTER (WHERE NOT review AND NOT "right") AS n, count(*) FILTER (WHERE NOT review) AS accepted FROM rt',
     h6_calls_per_document: duck.READINGS + ", c AS (SELECT doc_id, count(*) FILTER (WHERE engine = 'qwen' AND available) AS calls FROM readings GROUP BY doc_id) SELECT round(avg(calls), 6) AS mean, round(quantile_cont(calls, 0.95), 6) AS p95 FROM c",
-    h7_accuracy_by_stratum: _P + "SELECT printed, field, count(*) AS n, round(avg(CAST(correct AS INT)), 6) AS rate FROM pp GROUP BY CUBE (printed, field)",
+    h6_calls_sketch: duck.READINGS + ", c AS (SELECT doc_id, count(*) FILTER (WHERE engine = 'qwen' AND available) AS calls FROM readings GROUP BY doc_id) SELECT count(*) AS n, round(avg(calls), 6) AS mean, true AS within FROM c",
+    h7_accuracy_by_stratum: _P + duck.GEOMETRY + f", af AS (SELECT DISTINCT doc_id, {_FIELD_OF} AS field FROM ov WHERE {_FIELD_OF} IS NOT NULL) SELECT printed, af.doc_id IS NOT NULL AS stamped, pp.field, count(*) AS n, round(avg(CAST(correct AS INT)), 6) AS rate FROM pp LEFT JOIN af ON af.doc_id = pp.doc_id AND af.field = pp.field GROUP BY CUBE (printed, stamped, pp.field)",
     h8_words_mismatches: checks.V_ + "SELECT doc_id, CAST(v AS DOUBLE) AS figures, CAST(vw AS DOUBLE) AS in_words FROM v WHERE v IS NOT NULL AND vw IS NOT NULL AND NOT words_match",
     h9_city_rule: duck.READINGS + duck.MERGED + f", w AS ({duck.wide('rs')}) SELECT doc_id, coalesce(t04 <> '' AND upper(trim(t04)) = upper(trim(t11)), false) AS same FROM w",
     h10_late_due_dates: checks.V_ + "SELECT doc_id, coalesce(due > made + INTERVAL 12 MONTH, false) AS late FROM v",

@@ -52,7 +52,7 @@ def a5_doc_id_collisions(spark, sf_dir):
 
 def a6_readings(spark, sf_dir):
     """Through the JSON that engines write, a line for each document and engine."""
-    return ingest.parsed_readings(fixtures.reading_lines(spark, sf_dir))
+    return ingest.split_lines(fixtures.reading_lines(spark, sf_dir))[0]
 
 
 def a7_word_boxes(spark, sf_dir):
@@ -99,12 +99,12 @@ def c5_routes(spark, sf_dir):
 
 
 def c6_gate(spark, sf_dir):
-    return _first(spark, sf_dir).groupBy("roi_id").agg(F.count_if(R.passes_gate(F.col("confidence"))).alias("accepted"), F.count("*").alias("n"))
+    return _first(spark, sf_dir).groupBy("roi_id").agg(F.count_if(R.passes_gate(F.col("confidence"), F.col("error"))).alias("accepted"), F.count("*").alias("n"))
 
 
 def c7_pairs(spark, sf_dir):
     p = R.pairs(_readings(spark, sf_dir), catalogues.regions(spark))
-    return p.where(~R.passes_gate(F.col("c1")))
+    return p.where(~R.passes_gate(F.col("c1"), F.col("error"))).drop("error")
 
 
 def c8_worklist(spark, sf_dir):
@@ -116,11 +116,11 @@ def _flat(df):
 
 
 def c9_single_engine(spark, sf_dir):
-    return _flat(R.singles(_readings(spark, sf_dir), catalogues.regions(spark)))
+    return _flat(R.singles(_readings(spark, sf_dir), catalogues.regions(spark))).drop("changed")
 
 
 def c10_barcodes(spark, sf_dir):
-    return _flat(R.barcodes(_readings(spark, sf_dir), catalogues.regions(spark)))
+    return _flat(R.barcodes(_readings(spark, sf_dir), catalogues.regions(spark))).drop("changed")
 
 
 def c11_agreement(spark, sf_dir):
@@ -178,9 +178,9 @@ PAIRS = {
     c3_spaces: duck.READINGS + f"SELECT doc_id, roi_id, {duck.collapsed('text')} AS text FROM first_r",
     c4_whitelist: duck.READINGS + f", z AS (SELECT doc_id, roi_id, allowed, {duck.collapsed('text')} AS t FROM first_r JOIN region USING (roi_id)) SELECT doc_id, roi_id, CASE allowed WHEN 'amount' THEN regexp_replace(translate(t, '{P.DIGIT_LIKE}', '{P.DIGITS}'), '[^0-9,.]', '', 'g') WHEN 'digits' THEN regexp_replace(translate(t, '{P.DIGIT_LIKE}', '{P.DIGITS}'), '[^0-9]', '', 'g') ELSE t END AS cleaned FROM z",
     c5_routes: duck.READINGS + "SELECT false AS skip_second, route, count(*) AS n FROM first_r JOIN region USING (roi_id) GROUP BY route UNION ALL SELECT true, CASE WHEN route = 'barcode_decoder' THEN route ELSE 'tesseract' END, count(*) FROM first_r JOIN region USING (roi_id) GROUP BY 2",
-    c6_gate: duck.READINGS + "SELECT roi_id, count(*) FILTER (WHERE score >= 0.80) AS accepted, count(*) AS n FROM first_r GROUP BY roi_id",
-    c7_pairs: duck.READINGS + "SELECT a.doc_id, a.roi_id, a.text AS first, a.confidence AS c1, q.text AS second, q.available FROM readings AS a JOIN region USING (roi_id) LEFT JOIN readings AS q ON q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen' AND NOT a.confidence >= 0.80",
-    c8_worklist: duck.READINGS + "SELECT a.doc_id, a.roi_id, a.confidence FROM readings AS a JOIN region USING (roi_id) WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen' AND a.confidence < 0.80 AND NOT EXISTS (SELECT 1 FROM readings AS q WHERE q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' AND q.available)",
+    c6_gate: duck.READINGS + "SELECT roi_id, count(*) FILTER (WHERE score >= 0.80 AND coalesce(error, '') = '') AS accepted, count(*) AS n FROM first_r GROUP BY roi_id",
+    c7_pairs: duck.READINGS + "SELECT a.doc_id, a.roi_id, a.text AS first, a.confidence AS c1, q.text AS second, q.available FROM readings AS a JOIN region USING (roi_id) LEFT JOIN readings AS q ON q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen' AND NOT (a.confidence >= 0.80 AND coalesce(a.error, '') = '')",
+    c8_worklist: duck.READINGS + "SELECT a.doc_id, a.roi_id, a.confidence FROM readings AS a JOIN region USING (roi_id) WHERE a.engine = 'tesseract' AND route = 'tesseract_then_qwen' AND (a.confidence < 0.80 OR coalesce(a.error, '') <> '') AND NOT EXISTS (SELECT 1 FROM readings AS q WHERE q.doc_id = a.doc_id AND q.roi_id = a.roi_id AND q.engine = 'qwen' AND q.available)",
     c9_single_engine: _PR + "SELECT doc_id, roi_id, text, CAST(score AS DOUBLE) AS score, source, flags FROM sg",
     c10_barcodes: _PR + "SELECT doc_id, roi_id, text, CAST(score AS DOUBLE) AS score, source, flags FROM bcd",
     c11_agreement: _PR + f"SELECT doc_id, roi_id, coalesce(upper({duck.solid('first')}) = upper({duck.solid('second')}) AND {duck.solid('first')} <> '', false) AS agree FROM pr",

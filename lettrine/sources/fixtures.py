@@ -80,7 +80,8 @@ SELECT doc_id, roi_id, engine,
        WHEN (doc_id + rn) % 5 = 3 THEN concat(substr(text,1,4), translate(substr(text,5,1),'0123456789','1234567890'), substr(text,6))
        WHEN (doc_id + rn) % 5 = 4 THEN '' ELSE text END AS text,
   CASE engine WHEN 'tesseract' THEN CAST(c0 AS DOUBLE) WHEN 'pyzbar' THEN CAST(1 AS DOUBLE) ELSE CAST(CASE WHEN (doc_id + rn) % 5 = 4 THEN 0 ELSE 0.7 END AS DOUBLE) END AS confidence,
-  engine <> 'qwen' OR (doc_id + rn) % 5 <> 4 AS available
+  engine <> 'qwen' OR (doc_id + rn) % 5 <> 4 AS available,
+  CASE WHEN engine = 'tesseract' AND (doc_id + rn) % 53 = 0 THEN 'read timed out' WHEN engine = 'qwen' AND (doc_id + rn) % 5 = 4 THEN 'no connection' END AS error
 FROM tess CROSS JOIN (SELECT * FROM (VALUES ('tesseract'),('qwen'),('pyzbar')) AS v(engine)) AS e
 WHERE engine = 'tesseract' OR (engine = 'qwen' AND roi_id IN ('R04','R05','R06','R07','R08','R09','R10','R11','R14','R15','R16')) OR (engine = 'pyzbar' AND roi_id = 'R17' AND doc_id % 2 = 0)
 """
@@ -141,22 +142,48 @@ SELECT o_orderkey AS doc_id, concat('explanation of bill ', CAST(o_orderkey AS S
 """
 
 
+# Runs of the bills: by the day of the order, 25 years on; the log has a folder for each year.
+RUNS = """
+SELECT o_orderkey AS doc_id, concat('scans/', CAST(o_orderkey AS STRING), '.jpg') AS image_path, concat('operator-', CAST(o_custkey % 20 AS STRING)) AS operator_id,
+ concat(substr(CAST(CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS STRING), 1, 10), 'T08:00:00Z') AS extracted_at, concat(substr(CAST(CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS STRING), 1, 10), 'T09:00:00Z') AS logged_at,
+ concat(substr(CAST(CAST(o_orderdate + INTERVAL 25 YEAR AS DATE) AS STRING), 1, 4), '-12-31') AS log_date, CAST(o_orderkey % 100 AS DOUBLE) / 20 AS seconds FROM {orders}
+"""
+
+
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, roi_id, engine, text, confidence, available."""
+    """doc_id, roi_id, engine, text, confidence, available, error."""
     return spark.sql(BILLS + READINGS, **_tables(spark, sf_dir, "orders", "customer", "nation"))
 
 
 def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The readings as engines write them: a JSON object (value) for each document and engine, with a map of regions."""
-    record = F.struct("text", "confidence", "engine", "available")
+    record = F.struct("text", "confidence", "engine", "available", "error")
     fields = F.map_from_entries(F.collect_list(F.struct("roi_id", record.alias("r"))))
     return readings(spark, sf_dir).groupBy("doc_id", "engine").agg(fields.alias("fields")).select(F.to_json(F.struct("doc_id", "fields")).alias("value"))
 
 
+#: Lines of the first engine that break off, hold a word for a number, and have no regions; lines of the second that are no JSON. By doc_id % 50.
+CUT, WORD, BARE, GARBLED = 3, 13, 23, 33
+
+
+def arrived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reading_lines`` as they arrive, some of them spoilt."""
+    value, doc = F.col("value"), F.get_json_object("value", "$.doc_id").cast("long")
+    engine = F.regexp_extract("value", '"engine":"([a-z]+)"', 1)
+    of = lambda name, rest: (F.col("engine") == name) & (F.pmod("doc", F.lit(50)) == rest)
+    spoilt = (
+        F.when(of("tesseract", CUT), F.substring(value, 1, 60))
+        .when(of("tesseract", WORD), F.regexp_replace(value, '"confidence":[0-9.]+', '"confidence":"high"'))
+        .when(of("tesseract", BARE), F.format_string('{"doc_id":%d,"fields":{}}', "doc"))
+        .when(of("qwen", GARBLED), F.format_string("engine stopped at %d", "doc"))
+    )
+    return reading_lines(spark, sf_dir).select(value, doc.alias("doc"), engine.alias("engine")).select(F.coalesce(spoilt, value).alias("value"))
+
+
 TRUTH = " SELECT k AS doc_id, replace(rib, ' ', '') AS rib, concat(substr(am, 1, length(am) - 3), '.', substr(am, length(am) - 2, 3)) AS amount, et AS echeance, ct AS creation, k % 2 = 0 AS printed FROM b2"
 
 
@@ -198,8 +225,13 @@ def explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(EXPLANATIONS, **_tables(spark, sf_dir, "orders"))
 
 
-def ctes() -> str:
-    """The derived tables as common table expressions for DuckDB, without a final SELECT; readings are worked out once."""
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, image_path, operator_id, extracted_at, logged_at, log_date, seconds."""
+    return spark.sql(RUNS, **_tables(spark, sf_dir, "orders"))
+
+
+def ctes(readings: str = "true") -> str:
+    """The derived tables as common table expressions for DuckDB, without a final SELECT; readings, of those that a condition chooses, are worked out once."""
     plain = dict(orders="orders", customer="customer", nation="nation", readings="readings", stamps="stamps_m")
-    parts = {"readings": READINGS, "pages_m": PAGES, "stamps_m": STAMPS, "contours_m": CONTOURS, "angles_m": ANGLES, "responses_m": RESPONSES, "variants_m": VARIANTS, "explanations_m": EXPLANATIONS}
+    parts = {"readings": READINGS if readings == "true" else f"SELECT * FROM ({READINGS}) AS r WHERE {readings}", "pages_m": PAGES, "stamps_m": STAMPS, "contours_m": CONTOURS, "angles_m": ANGLES, "responses_m": RESPONSES, "variants_m": VARIANTS, "explanations_m": EXPLANATIONS, "runs_m": RUNS}
     return BILLS.format(**plain) + "".join(f",\n{n} AS {'MATERIALIZED ' * (n == 'readings')}({s.format(**plain)})" for n, s in parts.items())
