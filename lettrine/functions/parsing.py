@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from itertools import product
 
 from pyspark.sql import Column
@@ -163,7 +164,7 @@ def words_to_int(words: Column) -> Column:
     joined = F.array_join(words, "  ")
     joined = F.trim(F.regexp_replace(joined, APART, "$1$5$9$2$6$10-$3$7$11$4$8$12"))
     parts = F.filter(F.split(joined, " +"), lambda t: ~t.isin(*NOISE) & (t != ""))
-    lexicon = F.create_map(*[F.lit(x) for pair in LEXICON.items() for x in pair])
+    lexicon = F.from_json(F.lit(json.dumps(LEXICON)), "map<string,int>")  # a constant
     codes = F.transform(parts, lambda t: F.try_element_at(lexicon, t))
     start = F.struct(F.lit(0).cast("bigint").alias("total"), F.lit(0).cast("bigint").alias("now"), F.lit(True).alias("known"))
 

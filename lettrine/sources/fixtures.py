@@ -151,7 +151,11 @@ SELECT o_orderkey AS doc_id, concat('scans/', CAST(o_orderkey AS STRING), '.jpg'
 
 
 def _tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    """The tables by name; orders, of which the others are made, in as many parts as there are cores: a small file is a single part."""
+    tables = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
+    if "orders" in tables and tables["orders"].rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
+        tables["orders"] = tables["orders"].repartition(spark.sparkContext.defaultParallelism)
+    return tables
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +174,25 @@ def reading_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 CUT, WORD, BARE, GARBLED = 3, 13, 23, 33
 
 
+#: Files that a document's readings arrive in, by chance, and after them one reading of no document a day later.
+ARRIVALS = 3
+
+
+def write_arrivals(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The readings as a stream finds them: singly, with the time of reading, spread over files; every ninth document doesn't tell how many it has."""
+    alone = readings(spark, sf_dir)
+    many = alone.groupBy("doc_id").agg(F.count("*").cast("int").alias("of"))
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.xxhash64("doc_id", "roi_id"), F.lit(1800)))
+    told = F.when(F.col("doc_id") % 9 != 0, F.col("of"))
+    rows = alone.join(many, "doc_id").select("doc_id", "roi_id", "engine", "text", "confidence", "available", "error", told.alias("of"), at.alias("at"), F.pmod(F.xxhash64("doc_id", "roi_id", "engine"), F.lit(ARRIVALS)).alias("part"))
+    rows.persist()
+    for part in range(ARRIVALS):
+        rows.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(folder)
+    rows.unpersist()
+    tick = spark.range(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit("R01").alias("roi_id"), F.lit("tesseract").alias("engine"), F.lit("").alias("text"), F.lit(0.0).alias("confidence"), F.lit(False).alias("available"), F.lit(None).cast("string").alias("error"), F.lit(None).cast("int").alias("of"), F.timestamp_seconds(F.lit(1_700_086_400)).alias("at"))
+    tick.write.mode("append").parquet(folder)
+
+
 def arrived_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``reading_lines`` as they arrive, some of them spoilt."""
     value, doc = F.col("value"), F.get_json_object("value", "$.doc_id").cast("long")

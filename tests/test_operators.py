@@ -91,7 +91,7 @@ def test_json_sources(spark, tmp_path):
     assert [tuple(r) for r in catalogues.read_banks(spark, str(tmp_path / "bank.json")).collect()] == [("08", "BIAT")]
     assert catalogues.read_banks(spark, str(tmp_path / "none.json")).count() == 0
     (tmp_path / "r.json").write_text(json.dumps({"doc_id": 1, "fields": {"R01": {"text": "1", "confidence": 0.5, "engine": "tesseract", "available": True}}}))
-    assert tuple(ingest.read_readings(spark, str(tmp_path / "r.json")).first()) == (1, "R01", "tesseract", "1", 0.5, True)
+    assert tuple(ingest.read_readings(spark, str(tmp_path / "r.json"))[0].first()) == (1, "R01", "tesseract", "1", 0.5, True, None)
 
 
 def test_scans(spark, tmp_path):
@@ -102,20 +102,6 @@ def test_scans(spark, tmp_path):
     assert ingest.list_scans(spark, str(tmp_path), 1).count() == 1 and "content" not in scans.columns
 
 
-def test_audit_log(spark, tmp_path):
-    schema = "needs_human_review boolean, hard_failure_count int, document_confidence double, stamp_count long, processing_time_s double"
-    path = str(tmp_path / "log")
-    assert audit.read_log(spark, path, schema).count() == 0
-    rows = spark.createDataFrame([(True, 2, 0.3, 1, 1.0), (False, 0, 0.9, 0, 2.0)], schema)
-    audit.append_log(rows, path, F.lit("2024-01-01"))
-    audit.append_log(rows.limit(1), path, F.lit("2024-01-02"))
-    (tmp_path / "log" / "log_date=2024-01-01" / "broken.json").write_text("\nnot json\n\n")
-    assert audit.read_log(spark, path, schema).count() == 3
-    day = audit.summary(audit.read_log(spark, path, schema, "2024-01-01")).first()
-    assert (day["total_docs"], day["review_rate"], day["hard_failure_rate"], day["avg_confidence"], day["stamp_detection_rate"], day["avg_processing_time_s"]) == (2, 0.5, 1.0, 0.6, 0.5, 1.5)
-    assert audit.summary(rows.where("false")).first()["total_docs"] == 0
-
-
 def test_stream(spark, tmp_path):
     source, log, checkpoint = (str(tmp_path / n) for n in ("in", "log", "check"))
     write = lambda *ids: spark.createDataFrame([(i, [(r, t, Decimal("0.9")) for r, t in bill()]) for i in ids], audit_stream.SCHEMA).write.mode("append").parquet(source)
@@ -130,7 +116,7 @@ def test_stream(spark, tmp_path):
     for ids in ((1, 2), (3,)):
         write(*ids)
         audit_stream.run(spark, source, log, checkpoint, transform, "2024-01-01").awaitTermination(120)
-    found = audit.read_log(spark, log, "doc_id long, review boolean, confidence double", "2024-01-01").collect()
+    found = spark.read.schema("doc_id long, review boolean, confidence double, log_date string").json(log).collect()
     spark.streams.removeListener(listener)
     assert sorted((r["doc_id"], r["review"], r["confidence"]) for r in found) == [(i, False, 0.99) for i in (1, 2, 3)]
 
