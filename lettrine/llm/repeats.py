@@ -266,7 +266,7 @@ def _inside(different: DataFrame, window: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
-    """key and spans: for each row with repeats, by hash of doc_id and text, the stretches [from, to) of window starts."""
+    """key and spans: for each row with repeats, by hash of doc_id and text, the stretches [from, to) of window starts. Rows that repeat share a key and its spans, each of which is kept once."""
     texts = docs.select(F.xxhash64("doc_id", "text").alias("key"), "text").where(F.octet_length("text") >= window)
     every = stored(_runs(texts, window), "runs")
     # A table of its own, so that the join's large keys can be split.
@@ -280,7 +280,7 @@ def repeated_spans(docs: DataFrame, window: int) -> DataFrame:
 
     whole = found.where("not open").select("key", F.col("first").alias("from"), (F.col("first") + F.col("count")).alias("to"))
     partly = found.where("open").join(inside, ["g", "w"]).select("key", (F.col("first") + F.col("from")).alias("from"), (F.col("first") + F.col("to")).alias("to"))
-    return whole.union(partly).groupBy("key").agg(F.collect_list(F.struct("from", "to")).alias("spans"))
+    return whole.union(partly).groupBy("key").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
 
 
 def cut(docs: DataFrame, window: int = 200, whole_characters: bool = False) -> DataFrame:

@@ -1,10 +1,12 @@
 import hashlib
+import time
 from collections import Counter
 from itertools import combinations
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lettrine.llm import queries, repeats
 
@@ -111,3 +113,12 @@ def test_odd_and_empty(odd, empty):
     wanted = sorted((n, removed, kept) for n, removed, _, kept in brute([(r["text"] or "").encode() for r in odd.collect()], 200))
     assert sorted((r["n_bytes"], sum(s["end"] - s["start"] for s in r["removed"]), bytes(r["kept"])) for r in rows) == wanted
     assert repeats.cut(empty).count() == 0
+
+
+def test_many_repeated_rows_take_linear_time(spark):
+    text = " ".join(f"word{i * i % 7919}" for i in range(330))
+    rows = [(1, text)] * 1500 + [(None, text)] * 500 + [(2, text[:1000] + "?" + text[1200:]), (3, "short")]
+    began = time.monotonic()
+    found = repeats.cut(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("doc_id", "n_bytes", F.col("kept").cast("string").alias("kept"), F.size("removed").alias("spans")).count().collect()
+    assert time.monotonic() - began < 120
+    assert {(r["doc_id"], r["n_bytes"], r["kept"], r["spans"], r["count"]) for r in found} == {(1, len(text), "", 1, 1500), (None, len(text), "", 1, 500), (2, len(text) - 199, "?", 2, 1), (3, 5, "short", 0, 1)}
