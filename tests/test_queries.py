@@ -15,7 +15,7 @@ from lettrine import plans
 ROOT = Path(__file__).parents[1]
 SF = "/root/testdata/sf0.001"
 #: One or two of each kind; the others share their steps.
-CHOSEN = ["a2_bank_catalogue", "a4_doc_id", "a7_word_boxes", "a8_model_responses", "a14_failed_documents", "b1_region_boxes", "b5_alignment", "b8_distinct_stamps", "b11_affected_regions", "c4_whitelist", "c8_worklist", "c14_merge", "c16_best_variant", "c19_reading_summary", "d1_rib", "d4_dates", "d12_amount_words", "d16_name_match", "e12_flags", "e15_review", "e26_document", "f3_run_totals", "f9_field_rows", "h7_accuracy_by_stratum", "h13_calibration"]
+CHOSEN = ["a2_bank_catalogue", "a4_doc_id", "a7_word_boxes", "a8_model_responses", "a11_audit_log", "a14_failed_documents", "a14_line_outcomes", "b1_region_boxes", "b5_alignment", "b8_distinct_stamps", "b11_affected_regions", "c4_whitelist", "c8_worklist", "c14_merge", "c16_best_variant", "c19_reading_summary", "d1_rib", "d4_dates", "d12_amount_words", "d16_name_match", "d16_name_join", "e12_flags", "e15_review", "e26_document", "f1_audit_records", "f2_summary_by_day", "f3_run_totals", "f6_batch_index", "f9_field_rows", "f11_overview", "f12_review_queue", "g1_readings_stream", "h6_calls_sketch", "h7_accuracy_by_stratum", "h13_calibration", "h14_patterns"]
 
 
 def plain(value):
