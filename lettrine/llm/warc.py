@@ -34,6 +34,7 @@ from base64 import b32encode
 from collections.abc import Iterator
 
 import pyarrow as pa
+import zstandard
 from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -98,17 +99,30 @@ def info_record(name: str) -> bytes:
     return record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, name)}>"), ("WARC-Date", DATE), ("WARC-Filename", name), ("Content-Type", "application/warc-fields")], block)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Payloads compressed one by one, since they are dealt by their hash: less is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            at = batch.schema.get_field_index("payload")
+            packed = pa.array((pack.compress(p.as_buffer()) for p in batch.column(at)), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], packed], schema=batch.schema)
+
+    return rows.mapInArrow(lean(run), rows.schema)
+
+
 def page_rows(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, url, n_bytes, sha1, refers_to (NULL for responses) and payload (NULL for revisits).
+    """page_id, url, n_bytes, sha1, refers_to (NULL for responses) and payload, by zstandard (NULL for revisits).
 
     Payloads shorter than ``least`` are never revisited. A payload may have any share of the pages.
     """
     payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    rows = pages.select("page_id", "url", payload.alias("payload")).select("*", F.octet_length("payload").cast("long").alias("n_bytes"), F.unhex(F.sha2("payload", 256)).alias("sha"))
+    rows = pages.select("page_id", "url", payload.alias("payload")).select("page_id", "url", F.octet_length("payload").cast("long").alias("n_bytes"), F.sha1("payload").alias("sha1"), F.unhex(F.sha2("payload", 256)).alias("sha"), "payload")
     totals = rows.where(F.col("n_bytes") >= least).groupBy("sha").agg(F.count("*").alias("n"), F.min("page_id").alias("first"))
-    both = with_totals(rows, totals, "sha", "page_id")
+    both = with_totals(_packed(rows), totals, "sha", "page_id")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") != F.col("first")), F.col("first"))
-    return both.select("page_id", "url", "n_bytes", F.sha1("payload").alias("sha1"), refers.alias("refers_to"), F.when(refers.isNull(), F.col("payload")).alias("payload"))
+    return both.select("page_id", "url", "n_bytes", "sha1", refers.alias("refers_to"), F.when(refers.isNull(), F.col("payload")).alias("payload"))
 
 
 def write_archives(rows: DataFrame, folder: str, level: int = 6, size: int = ARCHIVE) -> DataFrame:
@@ -118,7 +132,7 @@ def write_archives(rows: DataFrame, folder: str, level: int = 6, size: int = ARC
         system, root = opened(folder)
         system.create_dir(root, recursive=True)
         sink = path = None
-        paths, counts, left = [], [], 0
+        paths, counts, left, unpack = [], [], 0, zstandard.ZstdDecompressor()
         for batch in batches:
             columns = [batch.column(n) for n in ("page_id", "url", "refers_to", "n_bytes", "sha1", "payload")]
             for at in range(batch.num_rows):
@@ -128,7 +142,8 @@ def write_archives(rows: DataFrame, folder: str, level: int = 6, size: int = ARC
                     sink.write(deflate.compress(info_record(path)))
                     paths.append(path)
                     counts.append(0)
-                data = page_record(*(c[at].as_py() for c in columns))
+                *row, payload = (c[at].as_py() for c in columns)
+                data = page_record(*row, None if payload is None else unpack.decompress(payload))
                 sink.write(deflate.compress(data))
                 counts[-1] += 1
                 left -= len(data)
