@@ -3,20 +3,27 @@
 Equal vectors of one label are one node with a multiplicity. Pivots, one for
 about SHARD nodes of a label and taken from the nodes by hash, so that a dense
 region gets many, make the clusters; a node lies in the shards of its OVERLAP
-nearest pivots, the nearest being its own. Every shard builds a graph: candidates
+nearest pivots, the nearest being its home. Every shard builds a graph: candidates
 are the nearest and some random nodes, robust pruning keeps those that no kept
 one is nearer to. Adjacency lists of a node from all its shards are united. A
 second pass over the shards searches the united graph for all nodes at once,
-best first from the medoid along edges and then expanding everything in range,
-with cosines in double precision; shards give spanning links of their components.
-
-Partners may share no shard, so links are counted by a closing comparison without
-loss: nodes are dealt once into cells (by nearest of few pivots) and these into
-blocks of about BLOCK. Two blocks of a label are compared unless the angle between
-their centres exceeds both radii and the angle of the least cosine; so are single
-nodes. Every pair of nodes meets in one task at most; tasks give counts and the
-spanning links that the search left, so no pairs are written. Where no angle
-excludes anything, work grows with the square of a label's distinct vectors.
+best first from the medoid (and, as every query is a node too, from its own
+place) along edges and then expanding everything in range, with cosines in
+double precision.
+
+What the search reaches decides what is compared. A node for which it finds no
+partner goes no further. The others are packed into blocks of about BLOCK; two
+blocks meet where the search found a link between homes of theirs, and from there
+the range is widened block by block, along such links, as long as the angle
+between two blocks' centres doesn't exceed both radii and the angle of the least
+cosine. Blocks that meet are compared exactly, which verifies the links and
+counts those between nodes that share no shard. Every pair of nodes meets in one
+task at most; tasks give counts and spanning links, so no pairs are written.
+
+What can be missed is a node none of whose partners shares a shard with it, and
+blocks in range that no chain of found links joins; ``audit`` measures it.
+Labels of up to MOST nodes are one shard. In a region where everything links,
+work grows with the square of its distinct vectors.
 
 Two vectors link if their labels are equal and their cosine reaches the least.
 Vectors that are null, zero or hold null or non-finite numbers, and rows without
@@ -41,9 +48,9 @@ from pyspark.sql import functions as F
 from .components import components
 from .tables import lean, settled
 
-SHARD = 400
+SHARD = 200
 #: Nodes of a shard at most, on average, after large ones are dealt.
-MOST = 1000
+MOST = 1600
 #: Cosines worked out at once.
 PAIRS = 1 << 15
 BLOCK = 4096
@@ -96,7 +103,7 @@ def robust_graph(x: np.ndarray, seed: int = 1) -> np.ndarray:
 
 
 def range_search(x: np.ndarray, graph: np.ndarray, least: float) -> np.ndarray:
-    """Rows x rows: which rows the search from the medoid finds for each row with a cosine of at least ``least``.
+    """Rows x rows: which rows the search from the medoid and its own place finds for each row with a cosine of at least ``least``.
 
     All rows search at once, and a cosine is worked out only where a search arrives over an edge.
     """
@@ -117,6 +124,7 @@ def range_search(x: np.ndarray, graph: np.ndarray, least: float) -> np.ndarray:
     every = np.arange(n)
     first = np.zeros((n, n), bool)
     first[:, int((x @ x.mean(0)).argmax())] = True
+    first[every, every] = True
     arrive(first, every)
     for _ in range(min(BEAM, n)):
         best = np.where(done, -np.inf, cosine).argmax(1)
@@ -149,15 +157,15 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def sharded(nodes: DataFrame) -> DataFrame:
-    """Nodes (node, label, embedding, times) with shard, one row for each shard of a node.
+    """Nodes (node, label, embedding, times) with home, the name of the nearest cell, and shard, one row for each shard of a node.
 
-    A label (with one length of vectors) of at most SHARD nodes is a shard of its
+    A label (with one length of vectors) of at most MOST nodes is a shard of its
     own and has no pivot. A cell of more than MOST nodes is dealt to several
     shards by hash.
     """
     nodes = nodes.withColumn("dim", F.size("embedding"))
     counts = settled(nodes.groupBy("label", "dim").agg(F.count("*").alias("n")))
-    large = counts.where(F.col("n") > SHARD).select("label", "dim", F.lit(True).alias("large"))
+    large = counts.where(F.col("n") > MOST).select("label", "dim")
     total = counts.agg(F.sum("n")).first()[0] or 0
     size = max(SHARD, -(-total // MOST_PIVOTS))
     chance = F.pmod(F.xxhash64("node", F.lit("pivot")), F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -170,32 +178,33 @@ def sharded(nodes: DataFrame) -> DataFrame:
         for pdf in batches:
             for key, part in pdf.groupby(["label", "dim"]):
                 if key not in centres:
-                    yield part.assign(cell=0)
+                    yield part.assign(cell=0, home=0)
                     continue
                 k = min(OVERLAP, len(centres[key]))
                 near = np.argsort(-(unit(part["embedding"].tolist()) @ centres[key].T), axis=1, kind="stable")[:, :k]
                 out = part.loc[part.index.repeat(k)].reset_index(drop=True)
                 out["cell"] = near.ravel().astype(np.int64)
+                out["home"] = np.repeat(near[:, 0], k).astype(np.int64)
                 yield out
 
     label, kind = nodes.schema["label"].dataType.simpleString(), nodes.schema["embedding"].dataType.elementType.simpleString()
-    dealt = settled(nodes.select("node", "label", "embedding", "times", "dim").mapInPandas(lean(run), f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long"))
+    dealt = settled(nodes.select("node", "label", "embedding", "times", "dim").mapInPandas(lean(run), f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long, home long"))
     full = dealt.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")).where(F.col("n") > MOST).withColumn("parts", F.ceil(F.col("n") / MOST)).drop("n")
-    part = F.pmod(F.xxhash64("node", F.lit("shard")), F.coalesce("parts", F.lit(1)))
-    return dealt.join(full, ["label", "dim", "cell"], "left").select("node", "label", "embedding", "times", F.struct("label", "dim", "cell", part.alias("part")).alias("shard"))
+    part = F.pmod(F.xxhash64("node", "cell"), F.coalesce("parts", F.lit(1)))  # two nodes are parted in one shard and not in another
+    return dealt.join(full, ["label", "dim", "cell"], "left").select("node", "label", "embedding", "times", F.xxhash64("label", "dim", "home").alias("home"), F.struct("label", "dim", "cell", part.alias("part")).alias("shard"))
 
 
 def blocked(nodes: DataFrame) -> DataFrame:
-    """Nodes (node, label, embedding, times) packed into rows of about BLOCK nodes: label, dim, block, centre and radius of a cone around them, and their names, times and x."""
+    """Nodes (node, label, embedding, times, home) packed into rows of about BLOCK nodes: block, dim, centre and radius of a cone around them, their homes, and their names, times and x."""
     kind = nodes.schema["embedding"].dataType.elementType.simpleString()
     width = np.float32 if kind == "float" else np.float64
     nodes = nodes.withColumn("dim", F.size("embedding"))
     counts = settled(nodes.groupBy("label", "dim").agg(F.count("*").alias("n")))
     size = max(BLOCK, -(-(counts.agg(F.sum("n")).first()[0] or 0) // MOST_PIVOTS))
     chance = F.pmod(F.xxhash64("node", F.lit("cell")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    large = F.broadcast(counts.where(F.col("n") > size).select("label", "dim"))
+    large = counts.where(F.col("n") > size).select("label", "dim")
     grouped: dict[tuple, list] = {}
-    for r in nodes.where(chance * size < 1).join(large, ["label", "dim"]).select("label", "dim", "embedding").collect():
+    for r in nodes.where(chance * size < 1).join(large, ["label", "dim"], "left_semi").select("label", "dim", "embedding").collect():
         grouped.setdefault((r["label"], r["dim"]), []).append(r["embedding"])
     centres = {key: unit(rows) for key, rows in grouped.items()}
 
@@ -209,17 +218,17 @@ def blocked(nodes: DataFrame) -> DataFrame:
             yield pdf.assign(cell=cell)
 
     label = nodes.schema["label"].dataType.simpleString()
-    dealt = nodes.select("node", "label", "embedding", "times", "dim")
-    dealt = settled(dealt.mapInPandas(lean(deal), f"node long, label {label}, embedding array<{kind}>, times long, dim int, cell long")) if centres else dealt.withColumn("cell", F.lit(0).cast("long"))
+    dealt = nodes.select("node", "label", "embedding", "times", "home", "dim")
+    dealt = settled(dealt.mapInPandas(lean(deal), f"node long, label {label}, embedding array<{kind}>, times long, home long, dim int, cell long")) if centres else dealt.withColumn("cell", F.lit(0).cast("long"))
     full = dealt.groupBy("label", "dim", "cell").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK).withColumn("parts", F.ceil(F.col("n") / BLOCK)).drop("n")
-    dealt = dealt.join(F.broadcast(full), ["label", "dim", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.coalesce("parts", F.lit(1))))
+    dealt = dealt.join(full, ["label", "dim", "cell"], "left").withColumn("part", F.pmod(F.xxhash64("node", F.lit("part")), F.coalesce("parts", F.lit(1))))
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         rows = np.array([np.asarray(r, np.float64) for r in pdf["embedding"]])
         centre, radius = cone(unit(pdf["embedding"].tolist()))
-        return pd.DataFrame({"label": pdf["label"].iloc[:1], "dim": pdf["dim"].iloc[:1], "centre": [centre.tolist()], "radius": radius, "names": pdf["node"].to_numpy(np.int64).tobytes(), "times": pdf["times"].to_numpy(np.int64).tobytes(), "x": rows.astype(width).tobytes(), "width": np.dtype(width).str})
+        return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "homes": [pdf["home"].unique().tolist()], "centre": [centre.tolist()], "radius": radius, "names": pdf["node"].to_numpy(np.int64).tobytes(), "times": pdf["times"].to_numpy(np.int64).tobytes(), "x": rows.astype(width).tobytes(), "width": np.dtype(width).str})
 
-    packed = dealt.select("node", "label", "embedding", "times", "dim", "cell", "part").groupBy("label", "dim", "cell", "part").applyInPandas(pack, f"label {label}, dim int, centre array<double>, radius double, names binary, times binary, x binary, width string")
+    packed = dealt.groupBy("label", "dim", "cell", "part").applyInPandas(pack, "dim int, homes array<long>, centre array<double>, radius double, names binary, times binary, x binary, width string")
     return settled(packed.withColumn("block", F.monotonically_increasing_id()))
 
 
@@ -273,14 +282,36 @@ def all_links(x: np.ndarray, times: np.ndarray, n_first: int, least: float) -> t
     return counts.astype(np.int64), root
 
 
-def closed(nodes: DataFrame, least: float) -> DataFrame:
-    """All links of the nodes, block against block: node, root of its component in a task, n (links there); nodes that link in no task are left out."""
-    blocks = blocked(nodes)
-    one = blocks.select("label", "dim", F.col("block").alias("a"), F.col("centre").alias("ca"), F.col("radius").alias("ra"))
-    two = blocks.select("label", "dim", F.col("block").alias("b"), F.col("centre").alias("cb"), F.col("radius").alias("rb"))
+def meeting(blocks: DataFrame, gates: DataFrame, least: float) -> DataFrame:
+    """Pairs of blocks (a < b) that the search reaches from one another.
+
+    It starts with those between whose homes it found links (``gates``: home,
+    other) and goes on along them, a step a round, to blocks that the angles leave in range.
+    """
+    of = blocks.select("block", F.explode("homes").alias("home"))
+    cones = blocks.select("block", "centre", "radius")
     dot = F.aggregate(F.zip_with("ca", "cb", lambda v, w: v * w), F.lit(0.0), lambda s, v: s + v)
     between = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), dot)))
-    tasks = one.join(two, ["label", "dim"]).where((F.col("a") == F.col("b")) | ((F.col("a") < F.col("b")) & (between <= F.col("ra") + F.col("rb") + F.lit(float(np.arccos(least)) + SLACK)))).select("a", "b")
+    reach = F.lit(float(np.arccos(least)) + SLACK)
+
+    def in_range(pairs: DataFrame) -> DataFrame:
+        one, two = (cones.select(F.col("block").alias(e), F.col("centre").alias(f"c{e}"), F.col("radius").alias(f"r{e}")) for e in "ab")
+        return pairs.join(one, "a").join(two, "b").where(between <= F.col("ra") + F.col("rb") + reach).select("a", "b")
+
+    pairs = gates.join(of.select("home", F.col("block").alias("a")), "home").join(of.select(F.col("home").alias("other"), F.col("block").alias("b")), "other")
+    beside = settled(in_range(pairs.where("a != b").select("a", "b").distinct()))
+    reached = last = beside
+    while not last.isEmpty():
+        onward = last.select("a", F.col("b").alias("via")).join(beside.select(F.col("a").alias("via"), "b"), "via").where("a != b").select("a", "b").distinct()
+        last = settled(in_range(onward.join(reached, ["a", "b"], "left_anti")))
+        reached = reached.union(last)
+    return reached.where("a < b")
+
+
+def verified(nodes: DataFrame, gates: DataFrame, least: float) -> DataFrame:
+    """The links of the nodes, compared within blocks and between blocks that meet: node, root of its component in a task, n (links there); nodes that link in no task are left out."""
+    blocks = blocked(nodes)
+    tasks = blocks.select(F.col("block").alias("a"), F.col("block").alias("b")).union(meeting(blocks, gates, least))
     sides = tasks.select("a", "b", F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -319,12 +350,20 @@ def near_vectors(vectors: DataFrame, least: float = 0.93) -> DataFrame:
         place = np.arange(here.sum()) - np.concatenate(([0], np.cumsum(np.bincount(of[here], minlength=len(pdf)))))[of[here]]
         graph[of[here], place] = at[here]
         links = range_search(unit(pdf["embedding"].tolist()), graph, least)
-        roots = _roots(links | links.T)
-        return pd.DataFrame({"node": names, "root": names[roots]})
-
-    found = placed.join(lists, "node").groupBy("shard").applyInPandas(search, "node long, root long")
-    every = settled(closed(merged.select("node", "label", "embedding", "times"), least))
-    linked = components(found.union(every.select("node", "root")).where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
+        links |= links.T
+        some = links.any(1)
+        homes, home = np.unique(pdf["home"].to_numpy(), return_inverse=True)
+        p, q = np.divmod(np.unique(np.concatenate([k * len(homes) + np.unique(home[links[home == k].any(0)]) for k in range(len(homes))])), len(homes))
+        apart = p != q
+        own = pd.DataFrame({"node": names[some], "root": names[_roots(links)][some], "home": homes[home[some]], "other": homes[home[some]]})
+        return pd.concat((own, pd.DataFrame({"node": -1, "root": -1, "home": homes[p[apart]], "other": homes[q[apart]]})), ignore_index=True)
+
+    found = settled(placed.join(lists, "node").groupBy("shard").applyInPandas(search, "node long, root long, home long, other long"))
+    partnered = found.where("home = other").groupBy("node").agg(F.first("home").alias("home"))
+    gates = found.where("home != other").select("home", "other").distinct()
+    every = settled(verified(merged.join(partnered, "node").select("node", "label", "embedding", "times", "home"), gates, least))
+    found = found.where("home = other")
+    linked = components(found.select("node", "root").union(every.select("node", "root")).where("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")).distinct())
     rooted = merged.select("node", "rep", "times").join(linked, "node", "left").select("node", "rep", "times", F.coalesce("component", "node").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("rep").alias("smallest"))
     result = rooted.join(smallest, "root").join(every.groupBy("node").agg(F.sum("n").alias("n")), "node", "left").select("node", (F.coalesce("n", F.lit(0)) + F.col("times") - 1).alias("n_links"), "smallest")

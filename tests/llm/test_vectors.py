@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from lettrine.llm import queries, vectors
 
@@ -28,8 +29,14 @@ def cluster(spark, groups=8, each=90, seed=1):
     return rows
 
 
+def small(monkeypatch):
+    """Several overlapping shards and blocks to a label."""
+    for name, value in (("SHARD", 60), ("MOST", 200), ("BLOCK", 64)):
+        monkeypatch.setattr(vectors, name, value)
+
+
 def test_against_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(vectors, "SHARD", 60)  # several overlapping shards
+    small(monkeypatch)
     rows = cluster(spark)
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
     found = vectors.near_vectors(table)
@@ -41,6 +48,30 @@ def test_against_brute_force(spark, monkeypatch):
     assert there and counted >= 0.9 * there
 
 
+@pytest.mark.parametrize("step", ["range_search", "robust_graph"])
+def test_links_come_from_the_graph(spark, monkeypatch, step):
+    """A graph without edges, or a search that finds nothing, leaves nothing to compare, in one shard and in many."""
+    rows = cluster(spark, groups=80, each=5)  # so that hardly any is near a medoid
+    wanted = sum(n for n, _ in brute(rows).values())
+    if step == "range_search":
+        monkeypatch.setattr(vectors, step, lambda x, graph, least: np.zeros((len(x), len(x)), bool))
+    else:
+        monkeypatch.setattr(vectors, step, lambda x, seed=1: np.full((len(x), 1), -1))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sum(r["n_links"] for r in vectors.near_vectors(table).collect())
+    assert wanted and got <= 0.1 * wanted
+
+
+def test_blocks_meet_along_found_links(spark):
+    """A chain of blocks: the ends are in range of the next but one, and reached over the one between."""
+    at = [0.0, 0.3, 0.6, 2.0]
+    blocks = spark.createDataFrame([(i, [float(np.cos(a)), float(np.sin(a))], 0.15, [10 * i, 10 * i + 1]) for i, a in enumerate(at)], "block long, centre array<double>, radius double, homes array<long>")
+    gates = spark.createDataFrame([(0, 10), (20, 11), (30, 0)], "home long, other long")
+    both = gates.union(gates.select("other", "home"))
+    assert {tuple(r) for r in vectors.meeting(blocks, both, 0.93).collect()} == {(0, 1), (1, 2), (0, 2)}
+    assert vectors.meeting(blocks, gates.where("false"), 0.93).count() == 0
+
+
 def test_query(spark, sf_dir):
     rows = [(r["vec_id"], r["embedding"], r["label"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in queries.op9_vectors(spark, sf_dir).collect()}
