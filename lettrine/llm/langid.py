@@ -19,7 +19,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,12 +65,10 @@ class Classifier:
         return sizes[0][1], 1.0 - sizes[0][0] / sizes[1][0]
 
 
-def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.005, min_bytes: int = 64) -> DataFrame:
-    """The documents with lang_pred, score and accepted: a language was found and its margin is at least ``min_margin``.
-
-    Sizes are whole bytes, so the margin says little of texts under ``min_bytes``;
-    those are accepted at any margin.
+def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.005) -> DataFrame:
+    """The documents with lang_pred, score and accepted: a language was found and its margin is at least ``min_margin``, at every length.
 
+    Sizes are whole bytes, so a short text needs one byte at least between its languages.
     Columns of these names are replaced.
     """
     docs = docs.drop("lang_pred", "score", "accepted")
@@ -81,11 +78,10 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float
         classifier = Classifier(dictionaries)
         for batch in batches:
             found = [classifier.classify(t) for (texts,) in slices([batch], ["text"]) for t in texts]
-            short = [n is not None and n < min_bytes for n in pc.binary_length(batch.column("text")).to_pylist()]
             added = [
                 pa.array([f[0] for f in found], pa.string()),
                 pa.array([f[1] for f in found], pa.float64()),
-                pa.array([f[0] != UNKNOWN and (f[1] >= min_margin or small) for f, small in zip(found, short)], pa.bool_()),
+                pa.array([f[0] != UNKNOWN and f[1] >= min_margin for f in found], pa.bool_()),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, "lang_pred", "score", "accepted"])
 
