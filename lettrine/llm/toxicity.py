@@ -7,7 +7,7 @@ training these are out-of-fold: predicted by models that have not seen the row.
 Training takes a bounded sample of the labelled documents, about ``max_rows``
 by hash of doc_id; of a category its model and those of the folds are fitted side
 by side, a task each. A document that holds more labels rows than one counts
-once, with the largest label. Null and empty texts have no words and get the base
+once, with the largest label, and one that stands in several rows with its least text. Null and empty texts have no words and get the base
 rate; without labelled rows all probabilities are 0 and nothing is flagged; an
 empty table gives no rows; repeated rows are scored each; very long texts have
 more features; ties play no part; documents' other columns are ignored.
@@ -98,20 +98,6 @@ def fit_fold(rows: Rows, extra: np.ndarray, y: np.ndarray, fold: np.ndarray, k:
     return model, predict(rows.take(out), extra[out], model)
 
 
-def fit_chain(rows: Rows, labels: np.ndarray, fold: np.ndarray) -> list[np.ndarray]:
-    """A model for each column of ``labels``; earlier probabilities come from folds that left the row out."""
-    extra = np.zeros((len(labels), 0))
-    models = []
-    for c, y in enumerate(labels.T.astype(np.float64)):
-        models.append(fit(rows, extra, y))
-        if c + 1 < labels.shape[1]:
-            unseen = np.zeros(len(y))
-            for k in range(FOLDS):
-                unseen[fold == k] = fit_fold(rows, extra, y, fold, k)[1]
-            extra = np.column_stack((extra, unseen))
-    return models
-
-
 def _trainer(c: int, earlier: list[dict[int, float]]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Fits category ``c`` on the rows outside the group's fold (on all for k = -1) and predicts that fold."""
     earlier = list(earlier)
@@ -136,6 +122,7 @@ def learn(docs: DataFrame, labels: DataFrame, categories: dict[str, str], max_ro
     share = min(1.0, max_rows / max(1, n))
     sample = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     chosen = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # at most about max_rows rows of a few numbers
+    chosen = chosen.groupBy("doc_id").agg(F.min("text").alias("text"), *[F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

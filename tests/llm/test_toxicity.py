@@ -19,16 +19,20 @@ def _rows(n, seed):
     return words, np.column_stack((bad, toxic)).astype(float)
 
 
-def test_chain_learns_and_feeds_on():
-    train, y = _rows(800, 1)
-    rows = toxicity.Rows([f.astype(np.int64) for f in toxicity.features(train)])
-    models = toxicity.fit_chain(rows, y, np.arange(800) % toxicity.FOLDS)
-    assert [len(m) - (1 << toxicity.BITS) for m in models] == [1, 2]  # the second takes the first's probability
+def test_chain_learns_and_feeds_on(spark):
+    """The chain that the query fits, on documents some of whose rows repeat."""
+    texts, y = _rows(800, 1)
+    rows = [(i, t) for i, t in enumerate(texts)] + [(7, texts[7])] * 50 + [(8, None)] * 50
+    labels = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(y.tolist())], "doc_id long, bad int, toxic int")
+    chain = {"bad": "bad = 1", "toxic": "toxic = 1"}
+    models = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string"), labels, chain)
+    assert [len(m) // 8 - (1 << toxicity.BITS) for m in models] == [1, 2]  # the second takes the first's probability
+    plain = toxicity.learn(spark.createDataFrame(rows[:800], "doc_id long, text string"), labels, chain)
+    assert all(np.allclose(np.frombuffer(a), np.frombuffer(b)) for a, b in zip(models, plain))
     test, z = _rows(400, 2)
-    unseen = toxicity.Rows([f.astype(np.int64) for f in toxicity.features(test)])
-    first = toxicity.predict(unseen, np.zeros((400, 0)), models[0])
-    second = toxicity.predict(unseen, first[:, None], models[1])
-    assert ((first > 0.5) == z[:, 0]).mean() > 0.97 and ((second > 0.5) == z[:, 1]).mean() > 0.97
+    found = {r["doc_id"]: r for r in toxicity.score(spark.createDataFrame(list(enumerate(test)), "doc_id long, text string"), models, chain).collect()}
+    assert np.mean([(found[i]["p_bad"] > 0.5) == z[i, 0] for i in range(400)]) > 0.97
+    assert np.mean([(found[i]["p_toxic"] > 0.5) == z[i, 1] for i in range(400)]) > 0.97
 
 
 def test_odd_and_empty(spark, odd, empty):
