@@ -6,7 +6,8 @@ identifiers, are compared by the mean log-likelihood ratio of a string's
 character pairs; what the rules' spans leave of a string of at least
 ``MIN_LENGTH`` characters is a secret of kind ``random`` if its mean ratio reaches
 ``MIN_RATIO`` and its whole ratio ``MIN_TOTAL``, so a shorter one needs a higher
-mean; as ordinary words show no signs, a shorter one has letters and digits only. The models are counted on a sample of about ``max_docs`` documents
+mean; as ordinary words show no signs, a shorter one
+has letters and digits, both and nothing else, so numbers aren't meant. The models are counted on a sample of about ``max_docs`` documents
 by hash: what the rules find there and as many digests of the texts, in
 upper-case hex and in base64, are labelled random, other words ordinary.
 
@@ -150,7 +151,7 @@ def scan(docs: DataFrame, ratios: list[float]) -> DataFrame:
     def random(string: Column) -> Column:
         whole = F.aggregate(_pairs(string), F.lit(0.0), lambda acc, p: acc + F.get(ratio, p))
         short = F.char_length(string) - 1 < MIN_TOTAL / MIN_RATIO
-        return (whole >= F.when(short, MIN_TOTAL).otherwise(MIN_RATIO * (F.char_length(string) - 1))) & (~short | F.regexp_like(string, F.lit("^[A-Za-z0-9]+$")))
+        return (whole >= F.when(short, MIN_TOTAL).otherwise(MIN_RATIO * (F.char_length(string) - 1))) & (~short | F.regexp_like(string, F.lit("^(?=.*[0-9])(?=.*[A-Za-z])[A-Za-z0-9]+$")))
 
     docs = docs.drop("base_spans", "spans")
     left, strings = fresh(docs, "left"), fresh(docs, "strings")
