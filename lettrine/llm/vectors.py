@@ -48,7 +48,7 @@ from pyspark.sql import functions as F
 from .components import components
 from .tables import lean, settled
 
-SHARD = 200
+SHARD = 100
 #: Nodes of a shard at most, on average, after large ones are dealt.
 MOST = 1600
 #: Cosines worked out at once.
