@@ -12,9 +12,11 @@ probability is the product over them.
 Texts are dealt to blocks of about ``block_bytes``. A block asks for its
 distinct words once and gets their probabilities back, so what is shuffled is
 the texts once and distinct words per block and task, and no vocabulary is held whole.
+Rows that repeat are folded where they are read: about ``block_bytes`` of a task's rows
+send one of each, with the number of its copies, so no block holds them all.
 
 Null texts are empty: an end alone. With no training text the words have only
-their lattice, with equal pieces. Repeated rows are scored each; extra columns
+their lattice, with equal pieces. Repeated rows are given out each; extra columns
 are ignored; an empty table gives no rows.
 """
 
@@ -109,11 +111,36 @@ def split(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
 
 
+def folded(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """doc_id, text, copies: the rows that a task reads, ``block_bytes`` at a time, with equal ones as one."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        copies: Counter = Counter()
+        size = 0
+
+        def rows() -> pa.RecordBatch:
+            ids, texts = zip(*copies) if copies else ((), ())
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts, pa.string()), pa.array(list(copies.values()), pa.int64())], ["doc_id", "text", "copies"])
+
+        for ids, texts in slices(batches, ["doc_id", "text"]):
+            for row in zip(ids, texts):
+                size += 0 if row in copies else len(row[1] or "")
+                copies[row] += 1
+            if size > block_bytes:
+                yield rows()
+                copies.clear()
+                size = 0
+        yield rows()
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(lean(fold), "doc_id long, text string, copies long")
+
+
 def score_documents(docs: DataFrame, vocabulary: str, train: str = "train", block_bytes: int = 8 << 20) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score, both log10; ``train`` names a boolean column of ``docs``."""
     size = docs.agg(F.sum(F.octet_length("text")), F.count_if(train)).first()
     n_blocks, ends = max(1, -(-(size[0] or 0) // block_bytes)), size[1]
-    blocked = docs.select("doc_id", F.col(train).alias("train"), "text", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)).alias("block"))
+
+    blocked = folded(docs, block_bytes).withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_blocks)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -181,6 +208,7 @@ def score_documents(docs: DataFrame, vocabulary: str, train: str = "train", bloc
             out["n_known"].append(int((n[at] > 0).sum()) + (ends > 0))
             out["base_score"].append(float(base[at].sum()) + end_base)
             out["score"].append(float(score[at].sum()) + end_score)
-        return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([tokens] * len(texts), pa.int64()), "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
+        return pa.table({"doc_id": texts.column("doc_id"), "copies": texts.column("copies"), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()), "train_tokens": pa.array([tokens] * len(texts), pa.int64()), "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64())})
 
-    return blocked.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(add, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    scored = blocked.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(add, "doc_id long, copies long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    return scored.withColumn("copy", F.explode(F.expr("array_repeat(true, int(copies))"))).drop("copies", "copy")

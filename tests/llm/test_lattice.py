@@ -53,3 +53,14 @@ def test_odd_and_empty(spark, odd, empty):
     none = lattice.score_documents(docs.selectExpr("doc_id", "text", "false as train"), PATH).collect()
     assert all(math.isfinite(r["score"]) and r["n_known"] == 0 and r["train_tokens"] == 0 for r in none)
     assert lattice.score_documents(empty.selectExpr("doc_id", "text", "true as train"), PATH).count() == 0
+
+
+def test_repeated_rows_meet_folded(spark):
+    """4000 equal rows, read by 4 tasks, reach a block as 4 rows with their copies, and are given out 4000 times, with the score that one has."""
+    many = spark.range(0, 4000, 1, 4).selectExpr("7L as doc_id", "'one two three ' as text", "false as train")
+    rest = spark.createDataFrame([(1, "one two", True), (2, "three four", True), (3, None, False)], "doc_id long, text string, train boolean")
+    alone = {r["doc_id"]: r for r in lattice.score_documents(rest.union(many.limit(1)), PATH).collect()}
+    rows = lattice.score_documents(rest.union(many), PATH).collect()
+    assert Counter(r["doc_id"] for r in rows) == {1: 1, 2: 1, 3: 1, 7: 4000}
+    assert all(r == alone[r["doc_id"]] for r in rows)
+    assert [tuple(r) for r in lattice.folded(many, 1 << 20).collect()] == [(7, "one two three ", 1000)] * 4
