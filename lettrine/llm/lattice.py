@@ -124,7 +124,7 @@ def folded(docs: DataFrame, block_bytes: int) -> DataFrame:
 
         for ids, texts in slices(batches, ["doc_id", "text"]):
             for row in zip(ids, texts):
-                size += 0 if row in copies else len(row[1] or "")
+                size += 0 if row in copies else 64 + len(row[1] or "")  # a row weighs something without text too
                 copies[row] += 1
             if size > block_bytes:
                 yield rows()
