@@ -2,7 +2,7 @@
 
 from lettrine.operators import reading
 from lettrine.plans import checks
-from lettrine.sources import catalogues, fixtures
+from lettrine.sources import catalogues, fixtures, ingest
 
 SF = "/root/testdata/sf0.001"
 READING = "doc_id long, roi_id string, engine string, text string, confidence double, available boolean, error string"
@@ -47,3 +47,14 @@ def test_engines_are_merged_once(spark):
     found = plan(checks.merged_readings(spark, SF).selectExpr("doc_id", "inline(array_compact(cells))"))
     assert found.count("qwen_rejected_divergence") == 1 and found.count("Exchange hashpartitioning") == 1
     assert "Filter (size" not in plan(reading.sides(fixtures.reading_sets(spark, SF), catalogues.regions(spark)))
+
+
+def test_lines_are_parsed_once(spark):
+    """A filter on what has come of a line doesn't parse it again, and good ones keep their readings together."""
+    good, failures = ingest.split_lines(fixtures.arrived_lines(spark, SF))
+    for df in (good, failures):
+        assert plan(df).count("from_json") == 1
+    documents, also = ingest.split_documents(ingest.line_outcomes(fixtures.arrived_lines(spark, SF)))
+    assert also.exceptAll(failures).count() == failures.exceptAll(also).count() == 0
+    rows = documents.selectExpr("doc_id", "inline(array_compact(readings))").select(good.columns)
+    assert rows.exceptAll(good).count() == good.exceptAll(rows).count() == 0
