@@ -1,5 +1,9 @@
 """What keeps work in proportion to the input: even tasks, arrays of a document's readings, nothing worked out twice."""
 
+import re
+
+from pyspark.sql import functions as F
+
 from lettrine.operators import reading
 from lettrine.plans import checks
 from lettrine.sources import catalogues, fixtures, ingest
@@ -58,3 +62,17 @@ def test_lines_are_parsed_once(spark):
     assert also.exceptAll(failures).count() == failures.exceptAll(also).count() == 0
     rows = documents.selectExpr("doc_id", "inline(array_compact(readings))").select(good.columns)
     assert rows.exceptAll(good).count() == good.exceptAll(rows).count() == 0
+
+
+def test_documents_are_dealt_while_they_are_orders(spark):
+    """Whole documents, stamps, pages and runs meet by document without a further exchange of what was made of the orders."""
+    found = plan(checks.assembled(spark, SF))
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", found)) == {"o_orderkey", "k"}
+
+
+def test_arrivals_are_written_by_many_tasks(spark, monkeypatch, tmp_path):
+    """Files of a step grow in number with the orders, and not in size."""
+    monkeypatch.setattr(fixtures, "SHARE", 100)
+    files = fixtures.write_arrivals(spark, SF, str(tmp_path / "in"))
+    rows = [r["n"] for r in spark.read.parquet(str(tmp_path / "in")).groupBy(F.input_file_name()).agg(F.count("*").alias("n")).collect()]
+    assert files == 5 and len(rows) == 16 and sum(rows) == 42687 and max(rows) < 42687 / 10
