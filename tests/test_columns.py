@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from lettrine.functions import parsing as P
 from lettrine.operators import reading as R
 from lettrine.plans import QUERIES, checks
+from lettrine.sources import fixtures, ingest
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +45,18 @@ def test_no_reading_goes_through_a_fold_of_arrays(spark):
     for name in ("h9_city_rule", "e19_city", "d5_date_order", "c14_merge", "c15_digits_changed", "c19_reading_summary"):
         plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
         assert "collect_list" not in plan and "map_from_entries" not in plan
+
+
+def test_validated_documents_are_columns(spark):
+    """Nor is any whole document merged reading by reading, and tables that meet it are joined before it is."""
+    for name in ("e2_best_rib", "f8_last_flags", "e25_explained", "h14_patterns", "f2_audit_summary", "f1_audit_records"):
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert "transform(sides" not in plan and "Join" not in plan[: plan.index("qwen_rejected_divergence")], name
+
+
+def test_arrived_documents_are_columns(spark):
+    """The same of documents that arrive as lines; and good lines aren't kept beside their fields."""
+    lines = checks.arrived(spark, SF)
+    assert "transform(sides" not in checks.batch(spark, SF, lines)._jdf.queryExecution().optimizedPlan().toString()
+    outcomes = ingest.line_outcomes(fixtures.arrived_lines(spark, SF))
+    assert outcomes.where("error is null and value is not null").count() == 0 < outcomes.where("error is not null and value is not null").count()
