@@ -1,11 +1,37 @@
 """Plans that stay as small as what is asked for."""
 
+import duckdb
+
 from lettrine.operators import validation as V
+from lettrine.plans import measures, reports
+
+SF = "/root/testdata/sf0.001"
+
+
+def optimized(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def by_columns(df):
+    """No document is merged reading by reading, and nothing is joined to what is made of it."""
+    plan = optimized(df)
+    return "transform(sides" not in plan and "Join" not in plan[: plan.index("qwen_rejected_divergence")]
 
 
 def test_flag_rows_infer_no_filter(spark):
     """A filter on the flags would be pushed down, with all that they are made of written into it; documents without flags give no rows all the same."""
     rows = [(1, [(2, "rib", "INCONSISTENCY", "a", True), (7, "amount", "INCONSISTENCY", "b", False)]), (2, []), (3, None)]
     found = V.flag_rows(spark.createDataFrame(rows, f"doc_id long, flags array<{V.FLAG}>"))
-    assert "Filter" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" not in optimized(found)
     assert sorted(map(tuple, found.collect())) == [(1, 2, "rib", "INCONSISTENCY", "a", True), (1, 7, "amount", "INCONSISTENCY", "b", False)]
+
+
+def test_patterns_take_every_correction(spark, monkeypatch):
+    """Of all bills, as many as the SQL's pairs that aren't right."""
+    db = duckdb.connect()
+    for name in ("orders", "customer", "nation"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SF}/{name}.parquet'")
+    wanted = db.sql(measures._P + "SELECT count(*) FROM pp WHERE NOT correct").fetchall()[0][0]
+    monkeypatch.setattr(measures.M, "correction_patterns", lambda corrections: corrections)
+    assert measures.h14_patterns(spark, SF).count() == wanted > 0
+    assert "% 3 = 0" not in measures._PATTERNS[measures._PATTERNS.index("k0 AS") :]
