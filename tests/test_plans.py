@@ -35,3 +35,8 @@ def test_patterns_take_every_correction(spark, monkeypatch):
     monkeypatch.setattr(measures.M, "correction_patterns", lambda corrections: corrections)
     assert measures.h14_patterns(spark, SF).count() == wanted > 0
     assert "% 3 = 0" not in measures._PATTERNS[measures._PATTERNS.index("k0 AS") :]
+
+
+def test_review_queue_is_of_columns(spark, monkeypatch):
+    monkeypatch.setattr(reports.U, "_written", lambda rows, path, **totals: rows.withColumn("waiting", reports.F.lit(0)))
+    assert by_columns(reports.f12_review_queue(spark, SF))
