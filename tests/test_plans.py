@@ -40,3 +40,9 @@ def test_patterns_take_every_correction(spark, monkeypatch):
 def test_review_queue_is_of_columns(spark, monkeypatch):
     monkeypatch.setattr(reports.U, "_written", lambda rows, path, **totals: rows.withColumn("waiting", reports.F.lit(0)))
     assert by_columns(reports.f12_review_queue(spark, SF))
+
+
+def test_mismatches_are_of_columns(spark):
+    """The choice of rows is no filter, and regions that have no part in it aren't made."""
+    found = measures.h8_words_mismatches(spark, SF)
+    assert by_columns(found) and "R05" not in optimized(found)
