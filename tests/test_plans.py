@@ -46,3 +46,10 @@ def test_mismatches_are_of_columns(spark):
     """The choice of rows is no filter, and regions that have no part in it aren't made."""
     found = measures.h8_words_mismatches(spark, SF)
     assert by_columns(found) and "R05" not in optimized(found)
+
+
+def test_strata_are_of_columns(spark):
+    """Stamped fields come beside the bill, and a pair is counted once before every choice of strata is."""
+    plan = optimized(measures.h7_accuracy_by_stratum(spark, SF))
+    assert "transform(sides" not in plan and plan.index("Expand") < plan.index("Generate inline")
+    assert plan[: plan.index("Generate inline")].count("Aggregate") == 2 and "Join" not in plan[: plan.index("qwen_rejected_divergence")]
