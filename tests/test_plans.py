@@ -53,3 +53,24 @@ def test_strata_are_of_columns(spark):
     plan = optimized(measures.h7_accuracy_by_stratum(spark, SF))
     assert "transform(sides" not in plan and plan.index("Expand") < plan.index("Generate inline")
     assert plan[: plan.index("Generate inline")].count("Aggregate") == 2 and "Join" not in plan[: plan.index("qwen_rejected_divergence")]
+
+
+class Stored(Exception):
+    pass
+
+
+def stored(monkeypatch, query, spark):
+    """What the query stores first."""
+
+    def stop(df, name):
+        raise Stored(df)
+
+    monkeypatch.setattr(reports.shared, "stored", stop)
+    try:
+        query(spark, SF)
+    except Stored as found:
+        return found.args[0]
+
+
+def test_logged_records_are_of_columns(spark, monkeypatch):
+    assert by_columns(stored(monkeypatch, reports.a11_audit_log, spark))
