@@ -74,3 +74,10 @@ def stored(monkeypatch, query, spark):
 
 def test_logged_records_are_of_columns(spark, monkeypatch):
     assert by_columns(stored(monkeypatch, reports.a11_audit_log, spark))
+
+
+def test_states_are_made_of_columns(spark, monkeypatch):
+    """Of the lines as they arrive; these are stored too, so what stands for that comes first."""
+    lines = reports.checks.arrived(spark, SF)
+    monkeypatch.setattr(reports.checks, "arrived", lambda *_: lines)
+    assert "transform(sides" not in optimized(stored(monkeypatch, reports.f2_summary_by_day, spark))
