@@ -1,9 +1,13 @@
 """Plans that stay as small as what is asked for."""
 
+import re
+
 import duckdb
+from pyspark.sql import functions as F
 
+from lettrine.functions import parsing as P
 from lettrine.operators import validation as V
-from lettrine.plans import measures, reports
+from lettrine.plans import checks, measures, reports
 
 SF = "/root/testdata/sf0.001"
 
@@ -81,3 +85,15 @@ def test_states_are_made_of_columns(spark, monkeypatch):
     lines = reports.checks.arrived(spark, SF)
     monkeypatch.setattr(reports.checks, "arrived", lambda *_: lines)
     assert "transform(sides" not in optimized(stored(monkeypatch, reports.f2_summary_by_day, spark))
+
+
+def test_no_pattern_is_compiled_for_a_row(spark):
+    """Java splits at a single plain character without a pattern; and white space is found the same way whatever character stands there."""
+    kinds = {n: getattr(P, n)(F.col("t")).alias(n) for n in ("date", "amount_words")}
+    texts = [f"{c}1{c}2{c}2024{c}" for c in P.SPACES + "/.-"] + ["1a2a2024", "vingt cinq  mille,dinars"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", P.stripped(F.col("t")).alias("bare"), *kinds.values())
+    splits = re.findall(r"split\(.*?, (.{1,3}?), -1\)", optimized(df))
+    assert splits and set(splits) <= {"/", " "}
+    rows = {r["t"]: r for r in df.collect()}
+    assert all(rows[t]["date"]["normalised"] == "01/02/2024" for t in texts[:-2]) and not rows["1a2a2024"]["date"]["valid"]
+    assert all(rows[t]["bare"] == t[1:-1] for t in texts[: len(P.SPACES)]) and rows[texts[-1]]["amount_words"]["value"] == 25000
