@@ -97,3 +97,9 @@ def test_no_pattern_is_compiled_for_a_row(spark):
     rows = {r["t"]: r for r in df.collect()}
     assert all(rows[t]["date"]["normalised"] == "01/02/2024" for t in texts[:-2]) and not rows["1a2a2024"]["date"]["valid"]
     assert all(rows[t]["bare"] == t[1:-1] for t in texts[: len(P.SPACES)]) and rows[texts[-1]]["amount_words"]["value"] == 25000
+
+
+def test_documents_are_read_back_once(spark):
+    """The JSON is parsed once for a document, and not once for each value."""
+    plan = optimized(checks.a10_document_json(spark, SF))
+    assert "get_json_object" not in plan and plan.count("from_json") == 1
