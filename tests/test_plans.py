@@ -87,6 +87,16 @@ def test_states_are_made_of_columns(spark, monkeypatch):
     assert "transform(sides" not in optimized(stored(monkeypatch, reports.f2_summary_by_day, spark))
 
 
+def test_streamed_documents_are_of_columns(spark, monkeypatch):
+    """What is made of the stream's log: its arrays are read into columns once."""
+    log = spark.createDataFrame([(1, [("R05", "tesseract", "08 006", 0.5, True, None)])], reports.reading_stream.DOCUMENT.replace("complete boolean, ", ""))
+    monkeypatch.setattr(reports.fixtures, "write_arrivals", lambda *_: 1)
+    monkeypatch.setattr(reports.reading_stream, "run", lambda *_, **__: type("Query", (), {"awaitTermination": lambda self: None})())
+    monkeypatch.setattr(reports.U, "read_log", lambda *_: log)
+    found = reports.g1_readings_stream(spark, SF)
+    assert by_columns(found) and found.count() == 1
+
+
 def test_no_pattern_is_compiled_for_a_row(spark):
     """Java splits at a single plain character without a pattern; and white space is found the same way whatever character stands there."""
     kinds = {n: getattr(P, n)(F.col("t")).alias(n) for n in ("date", "amount_words")}
